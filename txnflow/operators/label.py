@@ -40,14 +40,13 @@ def label_lines(lines: DataFrame, customers: DataFrame) -> DataFrame:
     label = customers.select("customer_id", "high_value_customer", "lines")
     total = label.agg(F.sum("lines")).first()[0] or 0
     is_hot = F.col("lines") * F.lit(HOT_SHARE) > F.lit(total)
-    hot = label.where(is_hot).drop("lines")
     rest = label.where(~is_hot).drop("lines")
-
-    labelled = body.join(F.broadcast(hot), "customer_id")
-    others = body.join(F.broadcast(hot.select("customer_id")), "customer_id", "left_anti").join(
-        rest, "customer_id", "left"
-    )
-    joined = labelled.unionByName(others).withColumn(
-        "high_value_customer", F.coalesce("high_value_customer", F.lit(0))
-    )
+    hot = label.where(is_hot).drop("lines")
+    if hot.isEmpty():
+        joined = body.join(rest, "customer_id", "left")
+    else:
+        frequent = body.join(F.broadcast(hot), "customer_id")
+        others = body.join(F.broadcast(hot.select("customer_id")), "customer_id", "left_anti")
+        joined = frequent.unionByName(others.join(rest, "customer_id", "left"))
+    joined = joined.withColumn("high_value_customer", F.coalesce("high_value_customer", F.lit(0)))
     return joined.select(*columns) if "high_value_customer" in columns else joined

@@ -7,6 +7,8 @@ them. Scores are projections, so they run on batch and streaming frames alike.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,66 +94,70 @@ def validate(df: DataFrame, family: str) -> DataFrame:
     return df.withColumn("error", missing_field(df, REQUIRED[family]))
 
 
-def _amount(rule: AmountRule, noise_seed: int | None) -> list[Column]:
-    value = F.col("quantity") * F.col("price")
-    details = []
+# Each family gives the helper columns it needs, step by step, and its answer columns.
+# A helper is a column of its own so that nothing is computed twice.
+_Steps = list[dict[str, Column]]
+
+
+def _amount(rule: AmountRule, noise_seed: int | None) -> tuple[_Steps, dict[str, Column]]:
+    value, helpers, details = F.col("quantity") * F.col("price"), {}, {}
     if rule.peak_factor is not None:
-        peak = _in_peak(rule.peak_factor, 1.0)
-        value = value * peak
-        details.append(peak.alias("seasonal_adjustment"))
+        helpers["_peak"] = _in_peak(rule.peak_factor, 1.0)
+        value = value * F.col("_peak")
+        details["seasonal_adjustment"] = F.col("_peak")
     if rule.hour_factors is not None:
-        hours = _in_office_hours(*rule.hour_factors)
-        value = value * hours
-        details.append(hours.alias("hourly_adjustment"))
+        helpers["_hours"] = _in_office_hours(*rule.hour_factors)
+        value = value * F.col("_hours")
+        details["hourly_adjustment"] = F.col("_hours")
     if noise_seed is not None:
         value = value * (F.lit(1.0) + F.randn(noise_seed) * F.lit(rule.noise))
-    return [F.round(value, 2).alias("prediction"), F.lit(rule.confidence).alias("confidence"), *details]
+    return [helpers], {"prediction": F.round(value, 2), "confidence": F.lit(rule.confidence), **details}
 
 
-def _category(rule: CategoryRule) -> list[Column]:
-    quantity, details = F.col("quantity"), []
+def _category(rule: CategoryRule) -> tuple[_Steps, dict[str, Column]]:
+    factors, quantity, details = {}, F.col("quantity"), {}
     if rule.peak_factor is not None and rule.hour_factors is not None:
-        peak, hours = _in_peak(rule.peak_factor, 1.0), _in_office_hours(*rule.hour_factors)
-        quantity = quantity * peak * hours
-        details = [F.struct(
-            peak.alias("seasonal_boost"), hours.alias("time_boost"),
-            F.round(quantity, 2).alias("adjusted_quantity"),
-        ).alias("temporal_adjustments")]
+        factors = {"_peak": _in_peak(rule.peak_factor, 1.0), "_hours": _in_office_hours(*rule.hour_factors)}
+        quantity = quantity * F.col("_peak") * F.col("_hours")
+        details["temporal_adjustments"] = F.struct(
+            F.col("_peak").alias("seasonal_boost"), F.col("_hours").alias("time_boost"),
+            F.round("_quantity", 2).alias("adjusted_quantity"),
+        )
     elif rule.amount_limits is not None:
-        details = [F.lit(True).alias("amount_threshold_used")]
-
-    def choose(values) -> Column:
-        """The value of the lowest category whose limits hold, else the last one."""
-        chosen = F
-        for i, value in enumerate(values[:-1]):
-            fits = quantity <= F.lit(float(rule.quantity_limits[i]))
-            if rule.amount_limits is not None:
-                fits = fits & (F.col("total_amount") < F.lit(float(rule.amount_limits[i])))
-            chosen = chosen.when(fits, F.lit(value))
-        return chosen.otherwise(F.lit(values[-1]))
-
-    category = choose(CATEGORIES)
+        details["amount_threshold_used"] = F.lit(True)
+
+    place = F  # position of the lowest category whose limits hold, else the last one
+    for i, limit in enumerate(rule.quantity_limits):
+        fits = F.col("_quantity") <= F.lit(float(limit))
+        if rule.amount_limits is not None:
+            fits = fits & (F.col("total_amount") < F.lit(float(rule.amount_limits[i])))
+        place = place.when(fits, F.lit(i))
+    steps = [factors, {"_quantity": quantity}, {"_place": place.otherwise(F.lit(len(CATEGORIES) - 1))}]
+
+    def at_place(values) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.col("_place"))
+
     probabilities = F.struct(*[
-        F.when(category == name, F.lit(own)).otherwise(F.lit(other)).alias(name)
-        for name, own, other in zip(CATEGORIES, rule.own_probability, rule.other_probability)
+        F.when(F.col("_place") == i, F.lit(own)).otherwise(F.lit(other)).alias(name)
+        for i, (name, own, other) in enumerate(zip(CATEGORIES, rule.own_probability, rule.other_probability))
     ])
-    return [
-        category.alias("predicted_category"),
-        choose(rule.own_probability).alias("confidence"),
-        probabilities.alias("probabilities"),
-        *details,
-    ]
+    return steps, {
+        "predicted_category": at_place(CATEGORIES),
+        "confidence": at_place(rule.own_probability),
+        "probabilities": probabilities,
+        **details,
+    }
 
 
-def _high_value(rule: HighValueRule) -> list[Column]:
+def _high_value(rule: HighValueRule) -> tuple[_Steps, dict[str, Column]]:
     amount = F.col("total_amount")
     if rule.quantity_weight is None:
-        return [
-            (amount > F.lit(rule.threshold)).alias("is_high_value_customer"),
-            F.round(clamp(amount / F.lit(rule.amount_scale), 0.05, 0.95), 3).alias("probability"),
-            F.lit(rule.confidence).alias("confidence"),
-            F.lit(rule.threshold).alias("threshold_used"),
-        ]
+        return [], {
+            "is_high_value_customer": amount > F.lit(rule.threshold),
+            "probability": F.round(clamp(amount / F.lit(rule.amount_scale), 0.05, 0.95), 3),
+            "confidence": F.lit(rule.confidence),
+            "threshold_used": F.lit(rule.threshold),
+        }
     parts = {
         "base_score": amount / F.lit(rule.amount_scale),
         "quantity_bonus": F.col("quantity") * F.lit(rule.quantity_weight),
@@ -160,58 +166,60 @@ def _high_value(rule: HighValueRule) -> list[Column]:
         parts["seasonal_bonus"] = _in_peak(rule.peak_bonus, 0.0)
     if rule.hour_bonus is not None:
         parts["time_bonus"] = _in_office_hours(rule.hour_bonus, 0.0)
-    total = None
-    for part in parts.values():
-        total = part if total is None else total + part
-    parts["final_score"] = total
-    probability = sigmoid(total)
-    shown = [
-        (c if name in ("seasonal_bonus", "time_bonus") else F.round(c, 3)).alias(name)
-        for name, c in parts.items()
-    ]
-    return [
-        (probability > F.lit(rule.threshold)).alias("is_high_value_customer"),
-        F.round(probability, 3).alias("probability"),
-        F.lit(rule.confidence).alias("confidence"),
-        F.struct(*shown).alias("score_components"),
-        F.lit(rule.threshold).alias("threshold"),
+    total = reduce(add, [F.col(f"_{name}") for name in parts])
+    steps = [
+        {f"_{name}": part for name, part in parts.items()},
+        {"_final_score": total},
+        {"_probability": sigmoid(F.col("_final_score"))},
     ]
+    whole = {"seasonal_bonus", "time_bonus"}
+    components = F.struct(*[
+        (F.col(f"_{name}") if name in whole else F.round(f"_{name}", 3)).alias(name)
+        for name in [*parts, "final_score"]
+    ])
+    return steps, {
+        "is_high_value_customer": F.col("_probability") > F.lit(rule.threshold),
+        "probability": F.round("_probability", 3),
+        "confidence": F.lit(rule.confidence),
+        "score_components": components,
+        "threshold": F.lit(rule.threshold),
+    }
 
 
-def response_columns(family: str, version: int, noise_seed: int | None = None) -> list[Column]:
-    """The answer of one model: name, scores, confidence, features used and version."""
-    name = model_name(family, version)
+def _rule(family: str, version: int, noise_seed: int | None) -> tuple[_Steps, dict[str, Column]]:
     if family == "amount":
-        body = _amount(AMOUNT_RULES[version], noise_seed)
-    elif family == "category":
-        body = _category(CATEGORY_RULES[version])
-    else:
-        body = _high_value(HIGH_VALUE_RULES[version])
-    return [
-        F.lit(name).alias("model"), *body,
-        F.array(*[F.lit(f) for f in REQUIRED[family]]).alias("features_used"),
-        F.lit(version).alias("model_version"),
-    ]
+        return _amount(AMOUNT_RULES[version], noise_seed)
+    if family == "category":
+        return _category(CATEGORY_RULES[version])
+    return _high_value(HIGH_VALUE_RULES[version])
 
 
 def score(df: DataFrame, family: str, version: int, noise_seed: int | None = None) -> DataFrame:
-    """Score every row; rows with a missing field get an ``error`` and null answers.
+    """Score every row: model, answers, confidence, features used and model version.
 
+    Rows with a missing field get an ``error`` that names it, and null answers.
     ``noise_seed`` turns on the random factor of the amount rules, off by default.
     """
-    checked = df
-    for name in REQUIRED[family]:
-        if name not in df.columns:
-            checked = checked.withColumn(name, F.lit(None).cast(REQUEST[name].dataType))
-    answer = F.when(
-        missing_field(df, REQUIRED[family]).isNull(),
-        F.struct(*response_columns(family, version, noise_seed)),
-    )
-    clash = {"model", "confidence", "probability", "prediction"} & set(df.columns)
+    name = model_name(family, version)
+    steps, answers = _rule(family, version, noise_seed)
+    answers = {
+        "model": F.lit(name), **answers,
+        "features_used": F.array(*[F.lit(f) for f in REQUIRED[family]]),
+        "model_version": F.lit(version),
+    }
+    clash = sorted({"error", *answers} & set(df.columns))
     if clash:
-        raise ValueError(f"input already has score columns: {', '.join(sorted(clash))}")
-    scored = checked.withColumns({"error": missing_field(df, REQUIRED[family]), "_answer": answer})
-    return scored.select(*df.columns, "error", "_answer.*")
+        raise ValueError(f"input already has score columns: {', '.join(clash)}")
+    absent = {
+        f: F.lit(None).cast(REQUEST[f].dataType) for f in REQUIRED[family] if f not in df.columns
+    }
+    work = df.withColumns({**absent, "error": missing_field(df, REQUIRED[family])})
+    for step in steps:
+        work = work.withColumns(step) if step else work
+    valid = F.col("error").isNull()
+    return work.select(
+        *df.columns, "error", *[F.when(valid, answer).alias(a) for a, answer in answers.items()]
+    )
 
 
 def score_json(requests: DataFrame, family: str, version: int, column: str = "value") -> DataFrame:
@@ -226,14 +234,15 @@ def score_json(requests: DataFrame, family: str, version: int, column: str = "va
 
 def compare_amount(df: DataFrame) -> DataFrame:
     """The three amount scores side by side, with the shared ``error``."""
-    names = {v: f"v{v}" for v in VERSIONS}
-    answers = {v: response_columns("amount", v)[1] for v in VERSIONS}
-    valid = missing_field(df, AMOUNT_FEATURES).isNull()
-    return df.select(
-        "*",
-        missing_field(df, AMOUNT_FEATURES).alias("error"),
-        *[F.when(valid, answers[v]).alias(names[v]) for v in VERSIONS],
-    )
+    work = df.withColumn("error", missing_field(df, AMOUNT_FEATURES))
+    absent = {f: F.lit(None).cast(REQUEST[f].dataType) for f in AMOUNT_FEATURES if f not in df.columns}
+    work = work.withColumns(absent) if absent else work
+    valid = F.col("error").isNull()
+    for v in VERSIONS:
+        steps, answers = _amount(AMOUNT_RULES[v], None)
+        inner = work.withColumns(steps[0]) if steps[0] else work
+        work = inner.withColumn(f"v{v}", F.when(valid, answers["prediction"])).drop(*steps[0])
+    return work.select(*df.columns, "error", *[f"v{v}" for v in VERSIONS])
 
 
 def compare_amount_long(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.operators.clean import clean
+from txnflow.session import spread
 
 # The line keys order and split rows; with them every row is unique.
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -63,7 +64,7 @@ def raw_from(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_from(table(spark, sf_dir, "lineitem"), spark, sf_dir)
+    return raw_from(spread(table(spark, sf_dir, "lineitem"), *LINE_KEYS), spark, sf_dir)
 
 
 def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

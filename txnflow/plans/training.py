@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from txnflow.config import DEFAULTS, FOREST, LINEAR, LOGISTIC, Settings, TrainingScheme
 from txnflow.operators.features import has_rows, prepare, present, target_values
 from txnflow.operators.metrics import area_under_roc, multiclass_metrics, regression_metrics
-from txnflow.operators.selection import batch_ids, first_batch_minimal, first_folds, with_fold
+from txnflow.operators.selection import batch_ids, first_batch_minimal, first_folds, first_minutes, with_fold
 from txnflow.operators.split import TEST, TRAIN, with_split
 from txnflow.session import stage
 from txnflow.sources.registry import model_path
@@ -141,7 +141,7 @@ def train_incremental(lines: DataFrame, model_dir: str | None = None, time: str
                       settings: Settings = DEFAULTS, after_batch: int | None = None,
                       **options) -> list[TrainResult]:
     """Linear models on the first third, two thirds and all of the lines in time order."""
-    rows = training_rows(with_fold(lines, time), LINEAR, settings, carry=["fold"], **options)
+    rows = with_fold(training_rows(lines, LINEAR, settings, carry=[time], **options), time)
     return [
         fit(first_folds(rows, k), LINEAR, f"linear_model_{k}",
             _path(model_dir, "amount", k, after_batch), settings)
@@ -153,17 +153,9 @@ def train_time_windows(lines: DataFrame, model_dir: str | None = None, time: str
                        settings: Settings = DEFAULTS, after_batch: int | None = None,
                        **options) -> list[TrainResult]:
     """Forests on the first 5, 10 and 15 minutes (by ``window_minutes``) of the lines."""
-    minutes = settings.window_minutes
-    begin = lines.agg(F.min(time).alias("begin"))
-    step = F.make_dt_interval(mins=F.lit(minutes))
-    window = F.when(F.col(time) <= begin.scalar() + step, F.lit(1))
-    for k in (2, 3):
-        window = window.when(F.col(time) <= begin.scalar() + step * F.lit(k), F.lit(k))
-    # Each line carries the first window that holds it; window k is then window <= k.
-    tagged = lines.withColumn("window", window).where(F.col("window").isNotNull())
-    rows = training_rows(tagged, FOREST, settings, carry=["window"], **options)
+    rows = training_rows(lines, FOREST, settings, carry=[time], **options)
     return [
-        fit(rows.where(F.col("window") <= k), FOREST, f"rf_model_window_{k}",
+        fit(first_minutes(rows, time, k, settings.window_minutes), FOREST, f"rf_model_window_{k}",
             _path(model_dir, "category", k, after_batch), settings)
         for k in (1, 2, 3)
     ]

@@ -22,6 +22,8 @@ def build_session(app: str = "txnflow", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Methods beyond 8000 bytes are never compiled by HotSpot; smaller generated units are.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -64,6 +66,18 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores on an input that splits into fewer parts than there are cores.
+
+    One file with one row group is a single task otherwise. Inputs with enough splits,
+    so any large one, are returned as they are and never shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df._jdf.rdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables this process staged; call it when their readers are done."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path

@@ -54,15 +54,14 @@ def encode_messages(records: DataFrame) -> DataFrame:
 def decode_messages(messages: DataFrame) -> DataFrame:
     """Records from ``value`` (text or bytes); empty and malformed messages are skipped."""
     value = F.col("value").cast("string")
-    parsed = messages.select(
-        F.col("key").cast("string").alias("message_key") if "key" in messages.columns
-        else F.lit(None).cast("string").alias("message_key"),
-        F.from_json(value, WIRE.simpleString(), {"mode": "PERMISSIVE"}).alias("record"),
-    )
-    fields = F.coalesce(*[F.col(f"record.{f.name}").cast("string") for f in WIRE.fields])
-    wire = parsed.where(fields.isNotNull()).select("message_key", "record.*")
+    key = F.col("key") if "key" in messages.columns else F.lit(None)
+    # A generator gives the fields as columns: filters on them stay above it, so every
+    # message is parsed once.
+    record = F.inline(F.array(F.from_json(value, WIRE.simpleString())))
+    wire = messages.select(key.cast("string").alias("message_key"), record)
     texts = [f.name for f in WIRE.fields if f.dataType.typeName() == "string"]
-    tidy = wire.withColumns({name: unquote_nan(F.col(name)) for name in texts})
+    some_field = F.coalesce(*[F.col(f.name).cast("string") for f in WIRE.fields])
+    tidy = wire.where(some_field.isNotNull()).withColumns({name: unquote_nan(F.col(name)) for name in texts})
     return conform(tidy, RECORD, keep=["message_key"])
 
 

@@ -18,7 +18,7 @@ from txnflow.operators.metrics import area_under_roc, multiclass_metrics, regres
 from txnflow.operators.numbering import in_order, with_batch_id, with_row_index
 from txnflow.operators.quantiles import quantile_cont, quantiles_disc
 from txnflow.operators.selection import (
-    batch_ids, first_batch_minimal, first_batches, first_folds, first_minutes, with_fold,
+    batch_ids, first_batch_minimal, first_batches, first_folds, first_minutes, first_windows, with_fold, with_window,
 )
 from txnflow.operators.sets import distinct_rows, union_all, union_distinct
 from txnflow.operators.split import count_by_split, with_split
@@ -131,6 +131,9 @@ def test_first_minutes_includes_the_end(spark):
     df = spark.createDataFrame(rows, "i INT, t TIMESTAMP")
     assert [r.i for r in first_minutes(df, "t").orderBy("i").collect()] == [0, 1]
     assert first_minutes(df, "t", windows=2).count() == 3
+    windows = with_window(df.union(spark.createDataFrame([(3, None)], df.schema)), "t")
+    assert [r.window for r in windows.orderBy("i").collect()] == [1, 1, 2, None]
+    assert first_windows(windows, 1).count() == 2 and first_windows(windows, 3).count() == 3
 
 
 def test_batch_selection(spark):
@@ -139,6 +142,7 @@ def test_batch_selection(spark):
     assert first_batches(df, 2).count() == 3
     assert [r.batch_id for r in first_batches(df, 2, cumulative=False).collect()] == [7]
     assert first_batch_minimal(df).count() == 2 and first_batch_minimal(df, 1).count() == 1
+    assert [r.batch_id for r in first_batches(df, 1, ids=[100]).collect()] == [100]
     with pytest.raises(ValueError, match="only 4"):
         first_batches(df, 5)
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txnflow.config import Settings
+from txnflow.plans.training import TRAINED, retrain
 from txnflow.operators.clean import clean
 from txnflow.operators.score import score
 from txnflow.operators.sets import distinct_rows
@@ -99,3 +100,21 @@ def test_scores_and_duplicates_on_a_stream(spark, tmp_path):
     assert write_table(unique, str(tmp_path / "u"), str(tmp_path / "cpu")).awaitTermination(SECONDS)
     found = spark.read.parquet(str(tmp_path / "u"))
     assert found.count() == clean(raw_rows(spark)).select("invoice").distinct().count()
+
+
+def test_retrain_after_a_batch(spark, tmp_path):
+    rows = raw_rows(spark, 400).withColumn("price", (F.col("quantity") + F.length("invoice") * 2).cast("string"))
+    write_message_files(to_record(clean(rows)), str(tmp_path / "topic"))
+    stream = read_message_files(spark, str(tmp_path / "topic"), files_per_trigger=1).select(*RECORD.names)
+    root, models, runs = str(tmp_path / "b"), str(tmp_path / "m"), []
+    settings = Settings(batch_seconds=0)
+    query = save_batches(stream, root, str(tmp_path / "cp"), settings=settings, every=4,
+                         on_batch=lambda s, b: runs.append(retrain(s, root, models, b, settings)))
+    query.processAllAvailable()
+    query.stop()
+    assert len(runs) == 1 and [r.name for r in runs[0]] == [
+        *[f"linear_model_{k}" for k in (1, 2, 3)], *[f"rf_model_window_{k}" for k in (1, 2, 3)],
+        *[f"logistic_model_batch_{k}" for k in (1, 2, 3)],
+    ]
+    assert all(r.status == TRAINED for r in runs[0][:6])
+    assert (tmp_path / "m" / "linear_model_3" / "batch_id=3").is_dir()

@@ -29,14 +29,28 @@ def first_folds(df: DataFrame, k: int) -> DataFrame:
     return df.where(F.col("fold") <= k)
 
 
-def first_minutes(df: DataFrame, time: str, windows: int = 1,
-                  minutes: int = DEFAULTS.window_minutes) -> DataFrame:
-    """Rows up to ``windows * minutes`` minutes after the earliest one, both ends included.
+def with_window(df: DataFrame, time: str, minutes: int = DEFAULTS.window_minutes) -> DataFrame:
+    """Add ``window``: the number of ``minutes`` from the earliest row needed to reach this one.
 
-    The earliest time is a scalar subquery: a single aggregated value, no join.
+    The first window holds its end, so a row exactly ``minutes`` after the earliest has
+    window 1. Rows without time have none. The earliest time is a scalar subquery: a
+    single aggregated value, no join.
     """
-    end = df.agg((F.min(time) + F.make_dt_interval(mins=F.lit(windows * minutes))).alias("end"))
-    return df.where(F.col(time) <= end.scalar())
+    begin = df.agg(F.min(time).alias("begin")).scalar()
+    passed = F.timestamp_diff("MICROSECOND", begin, F.col(time))
+    window = F.ceil(passed / F.lit(minutes * 60_000_000)).cast("int")
+    return df.withColumn("window", F.when(F.col(time).isNotNull(), F.greatest(F.lit(1), window)))
+
+
+def first_windows(df: DataFrame, k: int) -> DataFrame:
+    return df.where(F.col("window") <= k)
+
+
+def first_minutes(df: DataFrame, time: str, windows: int = 1,
+                  minutes: int = DEFAULTS.window_minutes) -> DataFrame:
+    """Rows up to ``windows * minutes`` minutes after the earliest one, both ends included."""
+    begin = df.agg(F.min(time).alias("begin")).scalar()
+    return df.where(F.col(time) <= begin + F.make_dt_interval(mins=F.lit(windows * minutes)))
 
 
 def batch_ids(df: DataFrame, k: int) -> list[int]:
@@ -45,9 +59,12 @@ def batch_ids(df: DataFrame, k: int) -> list[int]:
     return [row.batch_id for row in lowest.collect()]
 
 
-def first_batches(df: DataFrame, k: int, cumulative: bool = True) -> DataFrame:
-    """Rows of the first ``k`` batches, or of the k-th alone; ids are literals, so folders prune."""
-    ids = batch_ids(df, k)
+def first_batches(df: DataFrame, k: int, cumulative: bool = True, ids: list[int] | None = None) -> DataFrame:
+    """Rows of the first ``k`` batches, or of the k-th alone; ids are literals, so folders prune.
+
+    ``ids`` in order, as a catalog of saved batches has them, saves looking for them in the rows.
+    """
+    ids = batch_ids(df, k) if ids is None else ids[:k]
     if len(ids) < k:
         raise ValueError(f"only {len(ids)} batches exist, {k} needed")
     return df.where(F.col("batch_id").isin(ids if cumulative else ids[-1:]))

@@ -6,6 +6,9 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+STREAM_SALTS = 16
 
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
@@ -20,13 +23,18 @@ def distinct_rows(df: DataFrame, ignoring: Sequence[str] = (), watermark: str |
     """Distinct rows, optionally on all columns but ``ignoring`` (say, the publish time).
 
     Copies collapse map-side before the shuffle, so a large group of copies costs one
-    row per task. A stream needs a ``watermark`` delay on ``event_time`` to bound its state.
+    row per task. A stream needs a ``watermark`` delay on ``event_time`` to bound its state;
+    it has no map-side step, so copies first collapse in salted groups by input task and
+    only what is left meets under its key.
     """
     keys = [c for c in df.columns if c not in set(ignoring)]
     if df.isStreaming:
         if not watermark:
             raise ValueError("duplicate removal on a stream needs a watermark delay")
-        return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
+        timed = df.withWatermark(event_time, watermark)
+        salted = timed.withColumn("_salt", F.spark_partition_id() % STREAM_SALTS)
+        few = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+        return few.dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys) if ignoring else df.distinct()
 
 

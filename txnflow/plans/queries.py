@@ -17,19 +17,21 @@ from txnflow.operators.label import high_value_customers, label_lines
 from txnflow.operators.metrics import area_under_roc, multiclass_metrics, regression_metrics
 from txnflow.operators.numbering import with_batch_id
 from txnflow.operators.score import compare_amount, compare_amount_long, score, score_json, validate
-from txnflow.operators.selection import first_batch_minimal, first_batches, first_folds, first_minutes, with_fold
+from txnflow.operators.selection import (
+    first_batch_minimal, first_batches, first_minutes, first_windows, with_fold, with_window,
+)
 from txnflow.operators.sets import union_all, union_distinct
 from txnflow.operators.split import count_by_split, with_split
 from txnflow.operators.standard import label_index, least_squares_line, scale_features
 from txnflow.plans import oracles, training
 from txnflow.plans.oracles import half_up, sql
-from txnflow.plans.sales import LINE_KEYS, raw_from, sales_lines, sales_raw, table
+from txnflow.plans.sales import LINE_KEYS, line_stream, raw_from, sales_lines, sales_raw
 from txnflow.schema import CLEAN, RECORD, REQUEST, cast_present, conform, conformance_report
 from txnflow.session import staging_path
 from txnflow.sources.catalog import (
     batch_file_name, batch_gaps, batch_status, catalog_summary, list_batches, parse_batch_names,
 )
-from txnflow.sources.files import existing_paths, read_batches, read_raw, read_record_files
+from txnflow.sources.files import read_batches, read_raw, read_record_files
 from txnflow.sources.messages import (
     decode_messages, encode_messages, read_message_files, to_record, to_wire, write_message_files,
 )
@@ -347,12 +349,18 @@ def folds_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            + to_minutes(CAST({k * YEAR_MINUTES} AS BIGINT))""" for k in (1, 2, 3)),
            "sales_lines"))
 def window_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = sales_lines(spark, sf_dir).select("invoice_date", "total_amount")
-    return union_all([
-        first_minutes(lines, "invoice_date", k, YEAR_MINUTES)
-        .agg(F.lit(k).alias("windows"), rows_as("lines"), revenue())
-        for k in (1, 2, 3)
-    ])
+    """All three nested selections out of one scan: window w counts for every k >= w."""
+    tagged = with_window(sales_lines(spark, sf_dir), "invoice_date", YEAR_MINUTES)
+    per_window = first_windows(tagged, 3).groupBy("window").agg(rows_as("n"), F.sum("total_amount").alias("amount"))
+    nested = per_window.withColumn("windows", F.explode(F.sequence(F.col("window"), F.lit(3))))
+    return nested.groupBy("windows").agg(F.sum("n").alias("lines"), F.round(F.sum("amount"), 4).alias("revenue"))
+
+
+@query(sql(f"""SELECT {oracles.KEYS} FROM sales_lines WHERE invoice_date <=
+               (SELECT min(invoice_date) FROM sales_lines) + to_minutes(CAST({2 * YEAR_MINUTES} AS BIGINT))""",
+           "sales_lines"))
+def window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_minutes(sales_lines(spark, sf_dir), "invoice_date", 2, YEAR_MINUTES).select(*LINE_KEYS)
 
 
 # Label
@@ -565,10 +573,7 @@ def model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql(f"SELECT {', '.join(PUBLISHED)}, {oracles.KEYS} FROM sales_lines", "sales_lines"))
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The line table read as a stream, joined and cleaned on the way to a parquet table."""
-    # A pattern, since a streaming source takes a folder or a pattern but not a single file.
-    source = f"{sf_dir}/lineitem.parque[t]"
-    stream = spark.readStream.schema(table(spark, sf_dir, "lineitem").schema).parquet(source)
-    records = clean_stream(raw_from(stream, spark, sf_dir), keep=LINE_KEYS)
+    records = clean_stream(raw_from(line_stream(spark, sf_dir), spark, sf_dir), keep=LINE_KEYS)
     out, checkpoint = staging_path(spark, "stream-clean"), staging_path(spark, "checkpoint")
     write_table(records, out, checkpoint).awaitTermination()
     return spark.read.schema(records.schema).parquet(out).select(*PUBLISHED, *LINE_KEYS)

@@ -16,8 +16,27 @@ from txnflow.session import spread
 LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+# The columns used, typed: reading needs no inference job.
+TABLES = {
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                "l_extendedprice DOUBLE, l_returnflag STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line table as a stream.
+
+    A pattern, since a streaming source takes a folder or a pattern but not a single file.
+    """
+    return spark.readStream.schema(TABLES["lineitem"]).parquet(f"{sf_dir}/lineitem.parque[t]")
 
 
 def _whole(value: Column) -> Column:
@@ -26,10 +45,10 @@ def _whole(value: Column) -> Column:
 
 def raw_from(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw sales text for ``lines`` (batch or stream) with the line keys carried along."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    orders = table(spark, sf_dir, "orders")
+    part = table(spark, sf_dir, "part")
+    customer = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
     joined = (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))

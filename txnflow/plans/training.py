@@ -15,10 +15,16 @@ from pyspark.sql import functions as F
 
 from txnflow.config import DEFAULTS, FOREST, LINEAR, LOGISTIC, Settings, TrainingScheme
 from txnflow.operators.features import has_rows, prepare, present, target_values
+from txnflow.operators.label import high_value_customers, label_lines
 from txnflow.operators.metrics import area_under_roc, multiclass_metrics, regression_metrics
-from txnflow.operators.selection import batch_ids, first_batch_minimal, first_folds, first_minutes, with_fold
+from txnflow.operators.selection import (
+    batch_ids, first_batch_minimal, first_folds, first_windows, with_fold, with_window,
+)
 from txnflow.operators.split import TEST, TRAIN, with_split
-from txnflow.session import stage
+from txnflow.schema import RECORD
+from txnflow.session import stage, temporary_stages
+from txnflow.sources.catalog import list_batches
+from txnflow.sources.files import read_batches
 from txnflow.sources.registry import model_path
 
 TRAINED, SKIPPED = "trained", "skipped"
@@ -154,8 +160,9 @@ def train_time_windows(lines: DataFrame, model_dir: str | None = None, time: str
                        **options) -> list[TrainResult]:
     """Forests on the first 5, 10 and 15 minutes (by ``window_minutes``) of the lines."""
     rows = training_rows(lines, FOREST, settings, carry=[time], **options)
+    rows = with_window(rows, time, settings.window_minutes)
     return [
-        fit(first_minutes(rows, time, k, settings.window_minutes), FOREST, f"rf_model_window_{k}",
+        fit(first_windows(rows, k), FOREST, f"rf_model_window_{k}",
             _path(model_dir, "category", k, after_batch), settings)
         for k in (1, 2, 3)
     ]
@@ -170,9 +177,12 @@ def train_first_batch(batches: DataFrame, model_dir: str | None = None, settings
 
 def train_batches(batches: DataFrame, model_dir: str | None = None, cumulative: bool = True,
                   settings: Settings = DEFAULTS, after_batch: int | None = None,
-                  **options) -> list[TrainResult]:
-    """Logistic models on the first one, two and three batches, or on each of them alone."""
-    ids = batch_ids(batches, 3)
+                  ids: Sequence[int] | None = None, **options) -> list[TrainResult]:
+    """Logistic models on the first one, two and three batches, or on each of them alone.
+
+    ``ids`` in order, as a catalog of saved batches has them, saves looking for them in the rows.
+    """
+    ids = batch_ids(batches, 3) if ids is None else list(ids)[:3]
     chosen = batches.where(F.col("batch_id").isin(ids))
     rows = training_rows(chosen, LOGISTIC, settings, carry=["batch_id"], **options)
     return [
@@ -180,3 +190,24 @@ def train_batches(batches: DataFrame, model_dir: str | None = None, cumulative:
             f"logistic_model_batch_{k}", _path(model_dir, "high_value", k, after_batch), settings)
         for k in range(1, len(ids) + 1)
     ]
+
+
+def retrain(spark: SparkSession, batch_root: str, model_dir: str, batch_id: int | None = None,
+            settings: Settings = DEFAULTS) -> list[TrainResult]:
+    """All nine models from the saved batches, one after the other; a callback for each saved batch.
+
+    Models of a run go to folders of their batch id, so a later run never overwrites
+    models in use. The customer label is computed from the batches themselves.
+    """
+    catalog = list_batches(spark, batch_root).select("batch_id")
+    ids = [r.batch_id for r in catalog.orderBy("batch_id").limit(3).collect()]
+    saved = read_batches(spark, batch_root, settings.batch_format)
+    once = saved.groupBy(*RECORD.names).agg(F.min("batch_id").alias("batch_id"))
+    with temporary_stages(spark):
+        lines = stage(once, "saved")
+        labelled = stage(label_lines(lines, high_value_customers(lines)), "labelled")
+        return [
+            *train_incremental(labelled, model_dir, "timestamp", settings, batch_id),
+            *train_time_windows(labelled, model_dir, "timestamp", settings, batch_id),
+            *train_batches(labelled, model_dir, settings=settings, after_batch=batch_id, ids=ids),
+        ]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,12 +80,29 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the tables this process staged; call it when their readers are done."""
+def _delete(spark: SparkSession, paths: list[str]) -> int:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     configuration = spark._jsc.hadoopConfiguration()
     dropped = 0
-    while _staged:
-        path = hadoop_path(_staged.pop())
+    for name in paths:
+        path = hadoop_path(name)
         dropped += bool(path.getFileSystem(configuration).delete(path, True))
     return dropped
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the tables this process staged; call it when their readers are done."""
+    dropped = _delete(spark, _staged)
+    _staged.clear()
+    return dropped
+
+
+@contextmanager
+def temporary_stages(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block at its end, for jobs that run again and again."""
+    mark = len(_staged)
+    try:
+        yield
+    finally:
+        _delete(spark, _staged[mark:])
+        del _staged[mark:]

@@ -253,10 +253,10 @@ def train_linear() -> str:
     last = len(FEATURES)
     selects = "\nUNION ALL\n".join(f"""
     SELECT 'linear_model_{k}' AS model, 'trained' AS status,
-           count_if(split = 'train') AS train_rows, count_if(split = 'test') AS test_rows,
+           count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows,
            round(sqrt(avg((y - fitted) * (y - fitted)) FILTER (split = 'test')), 4) AS rmse,
            round(1 - (sum((y - fitted) * (y - fitted)) FILTER (split = 'test'))
-                   / (var_pop(y) FILTER (split = 'test') * count_if(split = 'test')), 6) AS r2
+                   / (var_pop(y) FILTER (split = 'test') * count(*) FILTER (split = 'test')), 6) AS r2
     FROM o{k}_{last}""" for k in (1, 2, 3))
     return f"{head},\n{tables}\n{selects}"
 

@@ -98,36 +98,36 @@ def reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql("\nUNION ALL\n".join(f"""
-    SELECT '{c}' AS column_name, count_if({c} IS NULL) AS missing,
-           count_if({c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL) AS unreadable,
-           count_if(coalesce(isnan(TRY_CAST({c} AS DOUBLE)), FALSE)) AS nan,
-           count_if(TRY_CAST({c} AS DOUBLE) IS NOT NULL) AS good
+    SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS missing,
+           count(*) FILTER ({c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL) AS unreadable,
+           count(*) FILTER (coalesce(isnan(TRY_CAST({c} AS DOUBLE)), FALSE)) AS nan,
+           count(*) FILTER (TRY_CAST({c} AS DOUBLE) IS NOT NULL) AS good
     FROM sales_raw""" for c in ("quantity", "price")), "sales_raw"))
 def numeric_parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.numeric_parse_report(sales_raw(spark, sf_dir))
 
 
 @query(sql("""
-    SELECT count_if(invoicedate IS NULL) AS missing,
-           count_if(invoicedate IS NOT NULL AND TRY_CAST(invoicedate AS TIMESTAMP) IS NULL) AS unreadable,
-           count_if(TRY_CAST(invoicedate AS TIMESTAMP) IS NOT NULL) AS good
+    SELECT count(*) FILTER (invoicedate IS NULL) AS missing,
+           count(*) FILTER (invoicedate IS NOT NULL AND TRY_CAST(invoicedate AS TIMESTAMP) IS NULL) AS unreadable,
+           count(*) FILTER (TRY_CAST(invoicedate AS TIMESTAMP) IS NOT NULL) AS good
     FROM sales_raw""", "sales_raw"))
 def time_parse_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.time_parse_report(sales_raw(spark, sf_dir))
 
 
 @query(sql("""
-    SELECT 'customer_id' AS column_name, TRUE AS present, count_if(customer_id IS NULL) AS null_count,
+    SELECT 'customer_id' AS column_name, TRUE AS present, count(*) FILTER (customer_id IS NULL) AS null_count,
            CAST(0 AS BIGINT) AS bad_count FROM sales_raw
     UNION ALL
-    SELECT 'quantity', TRUE, count_if(quantity IS NULL),
-           count_if(quantity IS NOT NULL AND TRY_CAST(quantity AS DOUBLE) IS NULL) FROM sales_raw
+    SELECT 'quantity', TRUE, count(*) FILTER (quantity IS NULL),
+           count(*) FILTER (quantity IS NOT NULL AND TRY_CAST(quantity AS DOUBLE) IS NULL) FROM sales_raw
     UNION ALL
-    SELECT 'price', TRUE, count_if(price IS NULL),
-           count_if(price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) FROM sales_raw
+    SELECT 'price', TRUE, count(*) FILTER (price IS NULL),
+           count(*) FILTER (price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL) FROM sales_raw
     UNION ALL
-    SELECT 'invoicedate', TRUE, count_if(invoicedate IS NULL),
-           count_if(invoicedate IS NOT NULL AND TRY_CAST(invoicedate AS TIMESTAMP) IS NULL) FROM sales_raw
+    SELECT 'invoicedate', TRUE, count(*) FILTER (invoicedate IS NULL),
+           count(*) FILTER (invoicedate IS NOT NULL AND TRY_CAST(invoicedate AS TIMESTAMP) IS NULL) FROM sales_raw
     UNION ALL
     SELECT 'total_amount', FALSE, count(*), CAST(0 AS BIGINT) FROM sales_raw""", "sales_raw"), )
 def schema_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +142,7 @@ def schema_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql("""
-    SELECT count_if(lower(invoice) LIKE 'c%') AS any_case, count_if(invoice LIKE 'c%') AS lower_case_only,
+    SELECT count(*) FILTER (lower(invoice) LIKE 'c%') AS any_case, count(*) FILTER (invoice LIKE 'c%') AS lower_case_only,
            count(*) AS lines FROM sales_raw""", "sales_raw"))
 def cancelled_by_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.cancelled_by_mode(sales_raw(spark, sf_dir))
@@ -233,8 +233,8 @@ def time_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timed.select(*LINE_KEYS, F.col("timestamp_col").cast("timestamp_ntz").alias("timestamp_col"))
 
 
-@query(sql("""SELECT count_if(high_value_customer = 0) AS zeros, count_if(high_value_customer = 1) AS ones,
-                     CAST(0 AS BIGINT) AS other, count_if(high_value_customer IS NULL) AS nulls, TRUE AS is_binary
+@query(sql("""SELECT count(*) FILTER (high_value_customer = 0) AS zeros, count(*) FILTER (high_value_customer = 1) AS ones,
+                     CAST(0 AS BIGINT) AS other, count(*) FILTER (high_value_customer IS NULL) AS nulls, TRUE AS is_binary
               FROM labelled""", "labelled"))
 def binary_target_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target_values(_labelled(spark, sf_dir), "high_value_customer")
@@ -438,7 +438,7 @@ def metrics_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(sql("""
-    , s AS (SELECT total_amount AS score, count_if(high_value_customer = 1) AS p, count_if(high_value_customer = 0) AS n
+    , s AS (SELECT total_amount AS score, count(*) FILTER (high_value_customer = 1) AS p, count(*) FILTER (high_value_customer = 0) AS n
             FROM labelled GROUP BY 1),
     r AS (SELECT *, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM s)
     SELECT CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives,

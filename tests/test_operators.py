@@ -206,10 +206,10 @@ def sales(spark, hot=0):
     return spark.createDataFrame(rows, "customer_id STRING, total_amount DOUBLE, high_value_customer INT")
 
 
-@pytest.mark.parametrize("hot", [0, 1500])
-def test_label_on_every_line(spark, hot, monkeypatch):
-    # With 200 customers each one exceeds the default share, so a coarser one tells them apart.
-    monkeypatch.setattr("txnflow.operators.label.HOT_SHARE", 5)
+@pytest.mark.parametrize("hot,share", [(0, 10_000), (0, 5), (1500, 5)])
+def test_label_on_every_line(spark, hot, share, monkeypatch):
+    # A share of 5 with 200 customers takes the ways of large customer tables.
+    monkeypatch.setattr("txnflow.operators.label.HOT_SHARE", share)
     lines = sales(spark, hot)
     spend = {r.customer_id: r.spend for r in customer_spend(lines).collect()}
     customers = high_value_customers(lines)

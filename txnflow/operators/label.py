@@ -9,8 +9,8 @@ from txnflow.config import DEFAULTS
 from txnflow.operators.quantiles import quantile_cont
 from txnflow.session import stage
 
-# A customer with more than one line in this many is joined by broadcast. Fewer than
-# this many customers can be so frequent, whatever the size of the data.
+# Customers with more than one line in this many are joined by broadcast. Fewer than this
+# many can be so frequent, whatever the size of the data.
 HOT_SHARE = 10_000
 
 
@@ -32,17 +32,20 @@ def high_value_customers(lines: DataFrame, threshold: float | None = None,
 def label_lines(lines: DataFrame, customers: DataFrame) -> DataFrame:
     """Put the customer label on every line; customers unknown to the table get 0.
 
-    Lines of very frequent customers are labelled by a bounded broadcast and never
-    shuffled. All others go through an ordinary join.
+    A small customer table is broadcast. Beyond that, lines of very frequent customers are
+    labelled by a bounded broadcast and never shuffled, and all others go through an
+    ordinary join.
     """
     columns = lines.columns
     body = lines.drop("high_value_customer")
     label = customers.select("customer_id", "high_value_customer", "lines")
-    total = label.agg(F.sum("lines")).first()[0] or 0
+    known, total = label.agg(F.count(F.lit(1)), F.coalesce(F.sum("lines"), F.lit(0))).first()
     is_hot = F.col("lines") * F.lit(HOT_SHARE) > F.lit(total)
     rest = label.where(~is_hot).drop("lines")
     hot = label.where(is_hot).drop("lines")
-    if hot.isEmpty():
+    if known <= HOT_SHARE:
+        joined = body.join(F.broadcast(label.drop("lines")), "customer_id", "left")
+    elif hot.isEmpty():
         joined = body.join(rest, "customer_id", "left")
     else:
         frequent = body.join(F.broadcast(hot), "customer_id")

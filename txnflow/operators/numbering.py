@@ -68,6 +68,5 @@ def with_batch_id(df: DataFrame, size: int = DEFAULTS.batch_size, order_by: Sequ
                   unique: bool = False) -> DataFrame:
     """Add ``batch_id``: consecutive batches of exactly ``size`` rows, the last one shorter."""
     indexed = with_row_index(df, order_by, unique)
-    return indexed.withColumn(
-        "batch_id", F.floor(F.col("row_index") / F.lit(size)).cast("bigint")
-    ).drop("row_index")
+    # Whole-number division: a double would lose the last digits of large positions.
+    return indexed.withColumn("batch_id", F.expr(f"row_index div {int(size)}")).drop("row_index")

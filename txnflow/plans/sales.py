@@ -49,11 +49,14 @@ def raw_from(lines: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
-    joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    # The dimensions meet the orders first, so the far larger line table is moved once less.
+    buyers = (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
+    )
+    joined = lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey")).join(
+        part, F.col("l_partkey") == F.col("p_partkey")
     )
     order, number, part_key, cust = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "o_custkey"))
     returned = (F.col("l_returnflag") == "R") & (number % 2 == 0)

@@ -193,11 +193,12 @@ def train_batches(batches: DataFrame, model_dir: str | None = None, cumulative:
 
 
 def retrain(spark: SparkSession, batch_root: str, model_dir: str, batch_id: int | None = None,
-            settings: Settings = DEFAULTS) -> list[TrainResult]:
-    """All nine models from the saved batches, one after the other; a callback for each saved batch.
+            settings: Settings = DEFAULTS, schemes: Sequence[TrainingScheme] | None = None) -> list[TrainResult]:
+    """The models of the schemes (all nine) from the saved batches; a callback for each saved batch.
 
     Models of a run go to folders of their batch id, so a later run never overwrites
-    models in use. The customer label is computed from the batches themselves.
+    models in use. Copies of a record count once, in their first batch. The customer label is
+    computed from the batches themselves.
     """
     catalog = list_batches(spark, batch_root).select("batch_id")
     ids = [r.batch_id for r in catalog.orderBy("batch_id").limit(3).collect()]
@@ -206,8 +207,11 @@ def retrain(spark: SparkSession, batch_root: str, model_dir: str, batch_id: int
     with temporary_stages(spark):
         lines = stage(once, "saved")
         labelled = stage(label_lines(lines, high_value_customers(lines)), "labelled")
-        return [
-            *train_incremental(labelled, model_dir, "timestamp", settings, batch_id),
-            *train_time_windows(labelled, model_dir, "timestamp", settings, batch_id),
-            *train_batches(labelled, model_dir, settings=settings, after_batch=batch_id, ids=ids),
-        ]
+        runs = {
+            LINEAR: lambda: train_incremental(labelled, model_dir, "timestamp", settings, batch_id),
+            FOREST: lambda: train_time_windows(labelled, model_dir, "timestamp", settings, batch_id),
+            LOGISTIC: lambda: train_batches(
+                labelled, model_dir, settings=settings, after_batch=batch_id, ids=ids
+            ),
+        }
+        return [result for scheme in schemes or settings.schemes for result in runs[scheme]()]

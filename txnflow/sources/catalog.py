@@ -60,7 +60,7 @@ def batch_gaps(catalog: DataFrame, span: int = 100_000) -> DataFrame:
     The lag runs inside spans of ``span`` ids. What crosses a span comes from the
     last batch of the span before, a table ``span`` times smaller than the catalog.
     """
-    spanned = catalog.withColumn("_span", F.floor(F.col("batch_id") / F.lit(span)))
+    spanned = catalog.withColumn("_span", F.expr(f"batch_id div {int(span)}"))
     last = spanned.groupBy("_span").agg(F.max_by("saved_at", "batch_id").alias("_last"))
     carried = last.select("_span", F.lag("_last").over(Window.orderBy("_span")).alias("_carried"))
     within = F.lag("saved_at").over(Window.partitionBy("_span").orderBy("batch_id"))

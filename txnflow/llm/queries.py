@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from txnflow.llm.bpe import encode_texts
 from txnflow.llm.common import table
 from txnflow.llm.exact_dedup import exact_groups
+from txnflow.llm.language import document_evidence, fit_text_model, identify, page_evidence
 from txnflow.llm.packing import pack_documents
+from txnflow.llm.passages import remove_repeats
+from txnflow.llm.permutation import permutation_neighbours
+from txnflow.llm.quality import pu_scores
 from txnflow.llm.shards import shard_rows
+from txnflow.llm.simhash import near_duplicates
 from txnflow.llm.url_filter import url_filter
 
 #: Vocabulary of the public tokenizer that the queries use; operators take any path.
@@ -22,10 +27,30 @@ WORD_BPE = "word_bpe_49k.json"
 URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and pages alike: ``doc_id`` is null for pages, ``page_id`` for documents."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    none = F.lit(None).cast("bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), none.alias("page_id"),
+                       *[c.alias(name) for name, c in document_evidence().items()]).unionByName(
+        pages.select(none.alias("doc_id"), F.col("page_id").cast("bigint").alias("page_id"),
+                     *[c.alias(name) for name, c in page_evidence().items()]))
+    found = identify(rows, ("doc_id", "page_id"), fit_text_model(docs))
+    return found.withColumnRenamed("accepted", "kept")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_deletion_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, bits=3)
+
+
 def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_rows(table(spark, sf_dir, "documents"), shards=8)
     return placed.select(
@@ -34,6 +59,11 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "text", F.size("removed").alias("n_removed"), "removed")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
     return encoded.select(
@@ -43,6 +73,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = pu_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -53,5 +88,8 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_exact_dedup, op5_feistel_shards, op7_bpe, op9_best_two_fit, op10_url_filter)
+    f.__name__: f for f in (
+        op1_permutation_index, op2_language_id, op3_exact_dedup, op4_deletion_simhash, op5_feistel_shards, op6_passage_dedup,
+        op7_bpe, op8_pu_quality, op9_best_two_fit, op10_url_filter,
+    )
 }

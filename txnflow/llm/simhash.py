@@ -41,7 +41,8 @@ LARGEST = (1 << 63) - 1
 #: Bits of the fingerprint that verifies similarity.
 CHECK_BITS = 512
 
-#: Views that give candidates: (words in a shingle, count repeats, seed).
+#: Views that give candidates: (words in a shingle, count repeats, seed). A view that does not count repeats drops marks at
+#: word ends too: most edits leave such a set nearly as it was.
 VIEWS = ((1, False, 42), (1, False, 43), (1, False, 44), (2, True, 42))
 
 
@@ -50,6 +51,10 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(LOWER).split()
 
 
+def distinct_words(words: list[bytes]) -> list[bytes]:
+    return list(dict.fromkeys(word.strip(b".,;:!?") for word in words))
+
+
 def shingles(words: list[bytes], k: int) -> list[bytes]:
     """Runs of ``k`` words joined by a space; fewer words give one run, none give none."""
     if len(words) <= k:
@@ -105,7 +110,7 @@ def sketches(docs: DataFrame, views: Sequence[tuple[int, bool, int]], check_word
             split = [words_of(text) for text in texts]
             columns = []
             for k, repeats, seed in views:
-                items = [hashes(shingles(words if repeats else list(dict.fromkeys(words)), k), seed) for words in split]
+                items = [hashes(shingles(words if repeats else distinct_words(words), k), seed) for words in split]
                 counts = np.fromiter(map(len, items), np.int64, len(items))
                 columns.append(majority(np.concatenate(items), counts))
             prints = pa.array(np.stack(columns, axis=1).ravel().view(np.int64))
@@ -195,8 +200,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3, id_column: s
 
 
 def most_differing(similarity: float) -> int:
-    """Differing bits of long fingerprints at a Jaccard similarity: cosine 2 s / (1 + s) for sets of about one size."""
-    return round(CHECK_BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    """Differing bits of long fingerprints at a Jaccard similarity: cosine 2 s / (1 + s) for sets of about one size.
+
+    Two standard deviations are added, so that a pair that is just similar enough is hardly ever turned down.
+    """
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(CHECK_BITS * share + 2 * math.sqrt(CHECK_BITS * share * (1 - share)))
 
 
 def near_groups(docs: DataFrame, similarity: float = 0.8, check_words: int = 5, views: Sequence[tuple[int, bool, int]] = VIEWS,

@@ -81,10 +81,17 @@ class Feistel:
         return self.row_of(slot * shards + shard)
 
     def longest_walk(self) -> int:
-        """Steps that bring the last of the values from n on below n."""
-        steps, walkers = 0, list(range(self.n, self.a * self.b))
+        """Most steps that a value from n on takes to fall below n.
+
+        Values that only lead to each other are never met on the way from a row number; when they alone are
+        left, no walk ends any more.
+        """
+        steps, walkers = 0, list(range(self.n, self.a * self.b)) if self.n else []
         while walkers:
-            steps, walkers = steps + 1, [y for y in map(self.once, walkers) if y >= self.n]
+            moved = [y for y in map(self.once, walkers) if y >= self.n]
+            if len(moved) == len(walkers):
+                break
+            steps, walkers = steps + 1, moved
         return steps
 
     def _hash_column(self, turn: int, half: Column) -> Column:

@@ -110,8 +110,9 @@ def repeated_units(docs: DataFrame, id_column: str = "doc_id", text_column: str
     units = unit_digests(_keyed(docs, id_column, text_column))
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "unit")
     first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("final"))
-    # Units that occur once, by far the most, leave the table here.
-    shared = first.where("first <> final").select("h1", "h2", "first")
+    # Units that occur once, by far the most, leave the table here. It is staged so that the join below
+    # deals out both of its sides itself and a unit that very many documents share can be split.
+    shared = stage(first.where("first <> final").select("h1", "h2", "first"), "shared-units")
     repeats = units.join(shared, ["h1", "h2"]).where(place != F.col("first"))
     return repeats.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("unit")).alias("units"))
 

@@ -23,7 +23,7 @@ from txnflow.operators.selection import (
 from txnflow.operators.sets import distinct_rows, union_all, union_distinct
 from txnflow.operators.split import count_by_split, with_split
 from txnflow.operators.standard import label_index, least_squares_line, scale_features
-from txnflow.session import spread, stage
+from txnflow.session import stage
 
 
 def numbers(spark, values, kind="DOUBLE"):
@@ -141,7 +141,7 @@ def test_batch_selection(spark):
     assert batch_ids(df, 3) == [2, 7, 10]
     assert first_batches(df, 2).count() == 3
     assert [r.batch_id for r in first_batches(df, 2, cumulative=False).collect()] == [7]
-    assert first_batch_minimal(df).count() == 2 and first_batch_minimal(df, 1).count() == 1
+    assert first_batch_minimal(df).count() == 2
     assert [r.batch_id for r in first_batches(df, 1, ids=[100]).collect()] == [100]
     with pytest.raises(ValueError, match="only 4"):
         first_batches(df, 5)
@@ -269,13 +269,23 @@ def test_standard_stages(spark):
 
 # Session helpers
 
-def test_spread_leaves_split_inputs_alone(spark):
-    wide = spark.range(0, 100, 1, 64)
-    assert spread(wide) is wide
-    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
-
 def test_stage_keeps_rows_and_schema(spark):
     df = spark.createDataFrame([(1, None), (2, "b")], "n INT, s STRING")
     staged = stage(df)
     assert staged.schema == df.schema and sorted(staged.collect()) == sorted(df.collect())
+
+
+def test_a_constant_target_has_no_r2(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y DOUBLE, prediction DOUBLE")
+    row = regression_metrics(df, "y").first()
+    assert row.rmse == pytest.approx(0.5 ** 0.5) and row.r2 is None
+    assert regression_metrics(df.where("false"), "y").first().rmse is None
+
+
+def test_lines_without_a_customer_are_labelled_zero(spark):
+    rows = [("a", 10.0, 0), (None, 500.0, 0), (None, 700.0, 0), ("b", 1.0, 0)]
+    lines = spark.createDataFrame(rows, "customer_id STRING, total_amount DOUBLE, high_value_customer INT")
+    customers = high_value_customers(lines)
+    assert customers.count() == 2
+    got = sorted((r.customer_id or "", r.high_value_customer) for r in label_lines(lines, customers).collect())
+    assert got == [("", 0), ("", 0), ("a", 1), ("b", 0)]

@@ -86,7 +86,7 @@ def test_kafka_options(spark):
     settings = Settings(batch_size=50, batch_seconds=5)
     source = kafka_source_options(settings)
     assert source["startingOffsets"] == "earliest" and source["maxTriggerDelay"] == "5s"
-    assert source["minOffsetsPerTrigger"] == source["maxOffsetsPerTrigger"] == "50"
+    assert source["minOffsetsPerTrigger"] == "50" and source["maxOffsetsPerTrigger"] == "1000000"
     sink = kafka_sink_options(settings)
     assert (sink["topic"], sink["kafka.acks"], sink["kafka.retries"]) == ("retail_data_stream", "all", "3")
     with pytest.raises(Exception, match="kafka"):
@@ -145,3 +145,17 @@ def test_registry(spark):
     assert model_path("/m", "amount", 1, 7) == "/m/linear_model_1/batch_id=7"
     with pytest.raises(ValueError):
         model_name("amount", 4)
+
+
+def test_quoted_fields_are_read_as_written(spark, tmp_path):
+    """Doubled quotes, commas and line breaks, as pandas writes them."""
+    import pandas as pd
+
+    texts = ['A "B", C', "two\nlines", 'SIGN "X"', "plain", "back\\slash"]
+    frame = pd.DataFrame({
+        "Invoice": [str(i) for i in range(5)], "StockCode": "s", "Description": texts, "Quantity": 1,
+        "InvoiceDate": "2020-01-02 03:04:05", "Price": 2.5, "Customer ID": "7", "Country": "X",
+    })
+    frame.to_csv(tmp_path / "raw.csv", index=False, encoding="ISO-8859-1")
+    rows = clean(read_raw(spark, str(tmp_path / "raw.csv"))).select("invoice", "description").collect()
+    assert {r.invoice: r.description for r in rows} == {str(i): text for i, text in enumerate(texts)}

@@ -53,8 +53,25 @@ def test_forest_windows(lines, tmp_path):
 
 
 def test_forest_on_the_first_batch(lines):
-    result = training.train_first_batch(lines, settings=Settings(first_batch_limit=300))
-    assert result.status == training.TRAINED and result.train_rows + result.test_rows == 300
+    result = training.train_first_batch(lines)
+    assert result.status == training.TRAINED and result.train_rows + result.test_rows == 500
+    # The bound of the sample is met by a hash of the rows, so about.
+    sampled = training.train_first_batch(lines, settings=Settings(max_fit_rows=300))
+    assert sampled.status == training.TRAINED and 240 <= sampled.train_rows + sampled.test_rows <= 360
+
+
+def test_scoring_keeps_every_row(spark, lines, tmp_path):
+    training.train_time_windows(lines, str(tmp_path), split_keys=["id"])
+    training.train_incremental(lines, str(tmp_path), "timestamp", split_keys=["id"])
+    odd = lines.withColumn("price", F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(float("nan"))).otherwise(F.col("price")))
+    for family in ("amount", "category"):
+        scored = score_with_model(odd, load_model(str(tmp_path), family, 1), reason=True)
+        rows = scored.collect()
+        assert len(rows) == 1500
+        assert all((r.prediction is None) == (r.prediction_error is not None) == (r.id % 3 == 1) for r in rows)
+        if family == "category":
+            known = {r.quantity_category for r in lines.select("quantity_category").distinct().collect()}
+            assert {r.predicted_label for r in rows if r.id % 3 != 1} <= known and rows[0].quantity_category is not None
 
 
 @pytest.mark.parametrize("cumulative,sizes", [(True, [500, 1000, 1500]), (False, [500, 500, 500])])

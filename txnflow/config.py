@@ -35,7 +35,10 @@ class Settings:
     batch_format: str = "csv"
     raw_encoding: str = "ISO-8859-1"
     window_minutes: int = 5
-    first_batch_limit: int = 1_000_000
+    # Rows that the minimal training mode fits on, about; a bound on the sample of a fit only.
+    max_fit_rows: int = 1_000_000
+    # Messages that one trigger takes at most; batches of ``batch_size`` are cut from them.
+    max_trigger_rows: int = 1_000_000
     train_fraction: float = 0.8
     seed: int = 42
     minimum_rows: int = 10

@@ -9,13 +9,14 @@ from txnflow.config import DEFAULTS
 from txnflow.operators.quantiles import quantile_cont
 from txnflow.session import stage
 
-# Customers with more than one line in this many are joined by broadcast. Fewer than this
+# Customers with more than one line in this many are labelled by broadcast. Fewer than this
 # many can be so frequent, whatever the size of the data.
 HOT_SHARE = 10_000
 
 
 def customer_spend(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("customer_id").agg(
+    """Spend and lines of each customer; lines without a customer belong to none."""
+    return lines.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
         F.sum("total_amount").alias("spend"), F.count(F.lit(1)).alias("lines")
     )
 
@@ -32,24 +33,20 @@ def high_value_customers(lines: DataFrame, threshold: float | None = None,
 def label_lines(lines: DataFrame, customers: DataFrame) -> DataFrame:
     """Put the customer label on every line; customers unknown to the table get 0.
 
-    A small customer table is broadcast. Beyond that, lines of very frequent customers are
-    labelled by a bounded broadcast and never shuffled, and all others go through an
-    ordinary join.
+    One plan at every size, with one scan of the lines. Customers with more than one line in ``HOT_SHARE``, of whom there
+    are fewer than that many, are labelled by a broadcast first. The other customers are joined by key; lines
+    that are labelled already, or have no customer, get a key of their own there that matches nothing, so
+    that neither a frequent customer nor the missing one gathers in a task.
     """
     columns = lines.columns
     body = lines.drop("high_value_customer")
-    label = customers.select("customer_id", "high_value_customer", "lines")
-    known, total = label.agg(F.count(F.lit(1)), F.coalesce(F.sum("lines"), F.lit(0))).first()
+    label = customers.where(F.col("customer_id").isNotNull()).select("customer_id", "high_value_customer", "lines")
+    total = label.agg(F.coalesce(F.sum("lines"), F.lit(0))).first()[0]
     is_hot = F.col("lines") * F.lit(HOT_SHARE) > F.lit(total)
-    rest = label.where(~is_hot).drop("lines")
-    hot = label.where(is_hot).drop("lines")
-    if known <= HOT_SHARE:
-        joined = body.join(F.broadcast(label.drop("lines")), "customer_id", "left")
-    elif hot.isEmpty():
-        joined = body.join(rest, "customer_id", "left")
-    else:
-        frequent = body.join(F.broadcast(hot), "customer_id")
-        others = body.join(F.broadcast(hot.select("customer_id")), "customer_id", "left_anti")
-        joined = frequent.unionByName(others.join(rest, "customer_id", "left"))
-    joined = joined.withColumn("high_value_customer", F.coalesce("high_value_customer", F.lit(0)))
-    return joined.select(*columns) if "high_value_customer" in columns else joined
+    hot = label.where(is_hot).select(F.col("customer_id"), F.col("high_value_customer").alias("_hot"))
+    rest = label.where(~is_hot).select(F.col("customer_id").cast("string").alias("_key"), F.col("high_value_customer").alias("_rest"))
+    own_key = F.concat(F.lit("\x00"), F.xxhash64(*body.columns).cast("string"))
+    keyed = body.join(F.broadcast(hot), "customer_id", "left").withColumn(
+        "_key", F.when(F.col("_hot").isNull() & F.col("customer_id").isNotNull(), F.col("customer_id").cast("string")).otherwise(own_key))
+    joined = keyed.join(rest, "_key", "left").withColumn("high_value_customer", F.coalesce("_hot", "_rest", F.lit(0)))
+    return joined.select(*(columns if "high_value_customer" in columns else [*columns, "high_value_customer"]))

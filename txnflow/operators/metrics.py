@@ -9,13 +9,13 @@ from txnflow.operators.numbering import before_each_task, in_order
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """Rows, RMSE and R2 in a single aggregate."""
+    """Rows, RMSE and R2 in a single aggregate; R2 is null where the label is constant."""
     residual = F.col(label) - F.col(prediction)
     squared = F.sum(residual * residual)
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sqrt(squared / F.count(F.lit(1))).alias("rmse"),
-        (F.lit(1.0) - squared / (F.var_pop(label) * F.count(F.lit(1)))).alias("r2"),
+        F.sqrt(F.try_divide(squared, F.count(F.lit(1)))).alias("rmse"),
+        (F.lit(1.0) - F.try_divide(squared, F.var_pop(label) * F.count(F.lit(1)))).alias("r2"),
     )
 
 

@@ -10,8 +10,11 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Below this many rows the ranks are read off one sorted table of distinct values.
-SMALL = 1_000_000
+from txnflow.session import stage
+
+# A range is narrowed until it has no more rows than this, whatever the size of the data; the ranks are then
+# read off one sorted table of so many values at most.
+SMALL = 4_096
 ACCURACY = 10_000
 
 
@@ -72,13 +75,16 @@ def _narrow(values: DataFrame, kind: str, span: _Range, rank: int, accuracy: int
 def _values_at(df: DataFrame, column: str, ranks_of, small: int, accuracy: int) -> tuple[list[str], str]:
     """Values at 0-based ranks, as text, with the column's type."""
     kind = df.schema[column].dataType.simpleString()
-    values = df.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+    value = F.col(column)
+    if kind == "timestamp":
+        # Microseconds: as text, an hour that a clock change repeats would name two instants.
+        kind, value = "bigint", F.unix_micros(value)
+    # Staged, since every pass reads it: what makes the values runs once.
+    values = stage(df.select(value.alias("v")).where(F.col("v").isNotNull()), "values")
     total = values.count()
     if not total:
         return [], kind
     ranks = ranks_of(total)
-    if total <= small:
-        return _read_ranks(values, ranks), kind
     found = []
     for rank in ranks:
         span: str | _Range = _Range(None, None, 0, total)
@@ -100,7 +106,10 @@ def quantiles_disc(df: DataFrame, column: str, fractions: Sequence[Fraction | fl
     found, kind = _values_at(
         df, column, lambda n: [max(1, ceil(Fraction(f) * n)) - 1 for f in fractions], small, accuracy
     )
-    return [F.lit(v).cast(kind) for v in found] or None
+    literals = [F.lit(v).cast(kind) for v in found]
+    if df.schema[column].dataType.typeName() == "timestamp":
+        literals = [F.timestamp_micros(v) for v in literals]
+    return literals or None
 
 
 def quantile_cont(df: DataFrame, column: str, fraction: float,

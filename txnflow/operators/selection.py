@@ -70,6 +70,6 @@ def first_batches(df: DataFrame, k: int, cumulative: bool = True, ids: list[int]
     return df.where(F.col("batch_id").isin(ids if cumulative else ids[-1:]))
 
 
-def first_batch_minimal(df: DataFrame, rows: int = DEFAULTS.first_batch_limit) -> DataFrame:
-    """At most ``rows`` rows of the first batch, in no particular order."""
-    return first_batches(df, 1).limit(rows)
+def first_batch_minimal(df: DataFrame) -> DataFrame:
+    """The whole first batch."""
+    return first_batches(df, 1)

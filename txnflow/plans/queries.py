@@ -31,7 +31,7 @@ from txnflow.session import staging_path
 from txnflow.sources.catalog import (
     batch_file_name, batch_gaps, batch_status, catalog_summary, list_batches, parse_batch_names,
 )
-from txnflow.sources.files import read_batches, read_raw, read_record_files
+from txnflow.sources.files import CSV, read_batches, read_raw, read_record_files
 from txnflow.sources.messages import (
     decode_messages, encode_messages, read_message_files, to_record, to_wire, write_message_files,
 )
@@ -184,7 +184,32 @@ def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "invoice": "Invoice", "stockcode": "StockCode", "description": "Description", "quantity": "Quantity",
         "invoicedate": "InvoiceDate", "price": "Price", "customer_id": "Customer ID", "country": "Country",
     })
-    headed.write.option("header", True).option("encoding", "ISO-8859-1").csv(path)
+    headed.write.options(**CSV).option("encoding", "ISO-8859-1").csv(path)
+    return clean(read_raw(spark, path))
+
+
+# Commas, quotes, a quote at the start of a word and a line break in every description.
+_ODD_TEXT = [F.lit('a "'), F.lit('", b\n"'), F.lit('" c')]
+
+
+@query(sql("SELECT " + ", ".join(
+    "'a \"' || description || '\", b' || chr(10) || '\"' || stock_code || '\" c' AS description" if n == "description" else n
+    for n in CLEAN.names) + " FROM sales_lines", "sales_lines"))
+def raw_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text with quotes, commas and line breaks, written as plain text lines with doubled quotes, then read and cleaned."""
+    path = staging_path(spark, "quoted-csv")
+    names = {
+        "invoice": "Invoice", "stockcode": "StockCode", "description": "Description", "quantity": "Quantity",
+        "invoicedate": "InvoiceDate", "price": "Price", "customer_id": "Customer ID", "country": "Country",
+    }
+    raw = sales_raw(spark, sf_dir)
+    raw = raw.withColumn("description", F.concat(_ODD_TEXT[0], "description", _ODD_TEXT[1], "stockcode", _ODD_TEXT[2]))
+    quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in names]
+    files = 16
+    body = raw.select((F.col("l_orderkey") % files).alias("file"), F.lit(1).alias("place"), F.concat_ws(",", *quoted).alias("value"))
+    # A header for each file; where two of them share a task, the second is a line that cleaning rejects.
+    head = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(",".join(names.values())).alias("value"))
+    head.unionByName(body).repartition(files, "file").sortWithinPartitions("place").select("value").write.text(path)
     return clean(read_raw(spark, path))
 
 
@@ -196,8 +221,8 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = staging_path(spark, "records")
     wire = to_wire(to_record(sales_lines(spark, sf_dir)))
     first, second, absent = (f"{root}/part{n}" for n in (1, 2, 3))
-    wire.where("month <= 6").write.option("header", True).csv(first)
-    wire.where("month > 6").select(*reversed(wire.columns)).write.option("header", True).csv(second)
+    wire.where("month <= 6").write.options(**CSV).csv(first)
+    wire.where("month > 6").select(*reversed(wire.columns)).write.options(**CSV).csv(second)
     return read_record_files(spark, [first, second, absent]).select(*PUBLISHED)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnflow.config import DEFAULTS, FOREST, LINEAR, LOGISTIC, Settings, TrainingScheme
-from txnflow.operators.features import has_rows, prepare, present, target_values
+from txnflow.operators.features import prepare, present, target_values
 from txnflow.operators.label import high_value_customers, label_lines
 from txnflow.operators.metrics import area_under_roc, multiclass_metrics, regression_metrics
 from txnflow.operators.selection import (
@@ -170,8 +170,11 @@ def train_time_windows(lines: DataFrame, model_dir: str | None = None, time: str
 
 def train_first_batch(batches: DataFrame, model_dir: str | None = None, settings: Settings = DEFAULTS,
                       after_batch: int | None = None, **options) -> TrainResult:
-    """Minimal mode: one forest on at most ``first_batch_limit`` rows of the first batch."""
-    rows = training_rows(first_batch_minimal(batches, settings.first_batch_limit), FOREST, settings, **options)
+    """Minimal mode: one forest on the first batch; of a larger one, on about ``max_fit_rows`` rows chosen by a hash."""
+    first = first_batch_minimal(batches)
+    share = min(1.0, settings.max_fit_rows / max(1, first.count()))
+    chosen = F.pmod(F.xxhash64(*first.columns), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+    rows = training_rows(first.where(chosen), FOREST, settings, **options)
     return fit(rows, FOREST, "rf_model_window_1", _path(model_dir, "category", 1, after_batch), settings)
 
 

@@ -68,18 +68,6 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores on an input that splits into fewer parts than there are cores.
-
-    One file with one row group is a single task otherwise. Inputs with enough splits,
-    so any large one, are returned as they are and never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df._jdf.rdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def _delete(spark: SparkSession, paths: list[str]) -> int:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     configuration = spark._jsc.hadoopConfiguration()

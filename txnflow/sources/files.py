@@ -15,6 +15,10 @@ from txnflow.schema import RECORD, conform
 
 log = logging.getLogger(__name__)
 
+# Fields with commas, quotes or line breaks are quoted, and a quote inside them is doubled. All
+# readers and writers of this package share these options.
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+
 BATCH_ID_IN_PATH = r"(?:batch_id=|/batch_)(\d+)(?:/|_)"
 
 
@@ -25,20 +29,22 @@ def _text_schema(names: Iterable[str]) -> T.StructType:
 def _header(spark: SparkSession, paths: list[str], encoding: str) -> T.StructType:
     """Column names in file order; without inference this reads one line."""
     return _text_schema(
-        spark.read.option("header", True).option("encoding", encoding).csv(paths[0]).columns
+        spark.read.options(**CSV).option("encoding", encoding).csv(paths[0]).columns
     )
 
 
-def read_raw(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, settings: Settings = DEFAULTS, multi_line: bool = True) -> DataFrame:
     """Raw sales CSV, every column text, header names normalised, missing texts null.
 
     ``enforceSchema=false`` makes a file whose header differs fail instead of
-    being bound by position.
+    being bound by position. Fields may hold line breaks; a file is then read by one task, so
+    a very large file known to have none is better read with ``multi_line=False``, in parts.
     """
     schema = _header(spark, [path], settings.raw_encoding)
     raw = (
         spark.read.schema(schema)
-        .option("header", True)
+        .options(**CSV)
+        .option("multiLine", multi_line)
         .option("enforceSchema", False)
         .option("encoding", settings.raw_encoding)
         .csv(path)
@@ -47,11 +53,13 @@ def read_raw(spark: SparkSession, path: str, settings: Settings = DEFAULTS) -> D
 
 
 def read_raw_stream(spark: SparkSession, path: str, columns: Iterable[str],
-                    settings: Settings = DEFAULTS, files_per_trigger: int | None = None) -> DataFrame:
+                    settings: Settings = DEFAULTS, files_per_trigger: int | None = None,
+                    multi_line: bool = True) -> DataFrame:
     """The streaming form of :func:`read_raw`; header names must be given up front."""
     reader = (
         spark.readStream.schema(_text_schema(columns))
-        .option("header", True)
+        .options(**CSV)
+        .option("multiLine", multi_line)
         .option("enforceSchema", False)
         .option("encoding", settings.raw_encoding)
     )
@@ -90,7 +98,8 @@ def read_record_files(spark: SparkSession, paths: Iterable[str],
     tables = [
         conform(
             spark.read.schema(_text_schema(names))
-            .option("header", True)
+            .options(**CSV)
+            .option("multiLine", True)
             .option("enforceSchema", False)
             .option("ignoreMissingFiles", True)
             .csv(group),
@@ -114,7 +123,8 @@ def read_batches(spark: SparkSession, root: str, fmt: str = "csv",
     if fmt == "csv":
         text = (
             spark.read.schema(_text_schema(schema.names))
-            .option("header", True)
+            .options(**CSV)
+            .option("multiLine", True)
             .option("enforceSchema", False)
             .option("ignoreMissingFiles", True)
             .csv(root)
@@ -129,7 +139,8 @@ def read_named_batches(spark: SparkSession, pattern: str,
     """Single-file batches named ``batch_<id>_<time>.csv``, id taken from the name."""
     text = (
         spark.read.schema(_text_schema(schema.names))
-        .option("header", True)
+        .options(**CSV)
+        .option("multiLine", True)
         .option("enforceSchema", False)
         .csv(pattern)
         .withColumn("batch_id", F.regexp_extract("_metadata.file_path", BATCH_ID_IN_PATH, 1).try_cast("bigint"))

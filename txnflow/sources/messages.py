@@ -80,15 +80,15 @@ def kafka_sink_options(settings: Settings = DEFAULTS) -> dict[str, str]:
 def kafka_source_options(settings: Settings = DEFAULTS) -> dict[str, str]:
     """Options for ``readStream.format("kafka")`` with the count-or-time batch rule.
 
-    A trigger waits for ``batch_size`` new messages, or ``batch_seconds`` at most,
-    and never takes more than ``batch_size``.
+    A trigger waits for ``batch_size`` new messages, or ``batch_seconds`` at most, and takes up to
+    ``max_trigger_rows``, so that a topic that ran ahead can be caught up on.
     """
     return {
         "kafka.bootstrap.servers": settings.bootstrap_servers,
         "subscribe": settings.topic,
         "startingOffsets": "earliest",
         "minOffsetsPerTrigger": str(settings.batch_size),
-        "maxOffsetsPerTrigger": str(settings.batch_size),
+        "maxOffsetsPerTrigger": str(max(settings.batch_size, settings.max_trigger_rows)),
         "maxTriggerDelay": f"{settings.batch_seconds}s",
     }
 

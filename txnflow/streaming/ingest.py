@@ -9,6 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from txnflow.config import DEFAULTS, Settings
 from txnflow.operators.clean import clean
+from txnflow.sources.files import CSV
 from txnflow.sources.messages import to_record, to_wire
 
 OnBatch = Callable[[SparkSession, int], None]
@@ -53,7 +54,7 @@ def save_batches(records: DataFrame, root: str, checkpoint: str, on_batch: OnBat
         rows = to_wire(batch) if settings.batch_format == "csv" else batch
         (
             rows.write.mode("overwrite").format(settings.batch_format)
-            .options(**({"header": "true"} if settings.batch_format == "csv" else {}))
+            .options(**(CSV if settings.batch_format == "csv" else {}))
             .save(f"{root.rstrip('/')}/batch_id={batch_id}")
         )
         if on_batch and not drain and (batch_id + 1) % every == 0:

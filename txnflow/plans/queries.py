@@ -189,7 +189,7 @@ def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Commas, quotes, a quote at the start of a word and a line break in every description.
-_ODD_TEXT = [F.lit('a "'), F.lit('", b\n"'), F.lit('" c')]
+_ODD_TEXT = ('a "', '", b\n"', '" c')
 
 
 @query(sql("SELECT " + ", ".join(
@@ -202,8 +202,9 @@ def raw_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
         "invoice": "Invoice", "stockcode": "StockCode", "description": "Description", "quantity": "Quantity",
         "invoicedate": "InvoiceDate", "price": "Price", "customer_id": "Customer ID", "country": "Country",
     }
+    before, between, behind = _ODD_TEXT
     raw = sales_raw(spark, sf_dir)
-    raw = raw.withColumn("description", F.concat(_ODD_TEXT[0], "description", _ODD_TEXT[1], "stockcode", _ODD_TEXT[2]))
+    raw = raw.withColumn("description", F.concat(F.lit(before), "description", F.lit(between), "stockcode", F.lit(behind)))
     quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in names]
     files = 16
     body = raw.select((F.col("l_orderkey") % files).alias("file"), F.lit(1).alias("place"), F.concat_ws(",", *quoted).alias("value"))

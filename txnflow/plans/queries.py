@@ -33,7 +33,7 @@ from txnflow.sources.catalog import (
 )
 from txnflow.sources.files import CSV, read_batches, read_raw, read_record_files
 from txnflow.sources.messages import (
-    decode_messages, encode_messages, read_message_files, to_record, to_wire, write_message_files,
+    decode_messages, encode_messages, read_message_files, rejected_messages, to_record, to_wire, write_message_files,
 )
 from txnflow.sources.registry import load_model, score_with_model
 from txnflow.streaming.ingest import clean_stream, save_batches, write_table
@@ -175,6 +175,20 @@ def json_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(messages).select("message_key", *PUBLISHED)
 
 
+@query(sql("""SELECT outcome, count(*) AS messages FROM (
+    SELECT CASE CAST(CAST(customer_id AS DOUBLE) AS BIGINT) % 10 WHEN 0 THEN 'malformed' WHEN 1 THEN 'empty' WHEN 2 THEN 'no known field'
+                ELSE 'decoded' END AS outcome FROM sales_lines) GROUP BY outcome""", "sales_lines"))
+def message_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some are cut off, empty or of another kind, and some send numbers as text: how many of each."""
+    kind = F.col("key").cast("double").cast("bigint") % 10
+    whole = F.col("value")
+    messages = encode_messages(to_record(sales_lines(spark, sf_dir))).withColumn(
+        "value", F.when(kind == 0, F.substring(whole, 1, 9)).when(kind == 1, " ").when(kind == 2, '{"other": 1}')
+        .when(kind == 3, F.regexp_replace(whole, r'"quantity":([^,}]+)', '"quantity":"$1"')).otherwise(whole))
+    decoded = decode_messages(messages).where("quantity IS NOT NULL").select(F.lit("decoded").alias("outcome"))
+    return decoded.unionByName(rejected_messages(messages).select(F.col("reason").alias("outcome"))).groupBy("outcome").agg(rows_as("messages"))
+
+
 @query(sql("SELECT " + ", ".join(CLEAN.names) + " FROM sales_lines", "sales_lines"))
 def raw_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text written as a CSV file with its original header style, then read and cleaned."""

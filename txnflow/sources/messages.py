@@ -51,13 +51,17 @@ def encode_messages(records: DataFrame) -> DataFrame:
     return wire.select(message_key(wire).alias("key"), value.alias("value"))
 
 
+# Every field as text: a number that was sent as text is read like any other.
+_TEXT_WIRE = ", ".join(f"`{f.name}` string" for f in WIRE.fields)
+
+
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """Records from ``value`` (text or bytes); empty and malformed messages are skipped."""
+    """Records from ``value`` (text or bytes); what is skipped is in :func:`rejected_messages`."""
     value = F.col("value").cast("string")
     key = F.col("key") if "key" in messages.columns else F.lit(None)
     # A generator gives the fields as columns: filters on them stay above it, so every
     # message is parsed once.
-    record = F.inline(F.array(F.from_json(value, WIRE.simpleString())))
+    record = F.inline(F.array(F.from_json(value, _TEXT_WIRE)))
     wire = messages.select(key.cast("string").alias("message_key"), record)
     texts = [f.name for f in WIRE.fields if f.dataType.typeName() == "string"]
     some_field = F.coalesce(*[F.col(f.name).cast("string") for f in WIRE.fields])
@@ -65,6 +69,18 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     return conform(tidy, RECORD, keep=["message_key"])
 
 
+def rejected_messages(messages: DataFrame) -> DataFrame:
+    """``key``, ``value`` and ``reason`` of the messages that :func:`decode_messages` skips."""
+    value = F.col("value").cast("string")
+    key = F.col("key").cast("string") if "key" in messages.columns else F.lit(None).cast("string")
+    read = messages.select(key.alias("key"), value.alias("value"), F.from_json(
+        value, f"{_TEXT_WIRE}, `_broken` string", {"columnNameOfCorruptRecord": "_broken"}).alias("read"))
+    some_field = F.coalesce(*[F.col(f"read.{f.name}") for f in WIRE.fields])
+    reason = F.when(F.coalesce(F.trim("value"), F.lit("")) == "", "empty").when(
+        F.col("read._broken").isNotNull(), "malformed").otherwise("no known field")
+    return read.where(some_field.isNull()).select("key", "value", reason.alias("reason"))
+
+
 def kafka_sink_options(settings: Settings = DEFAULTS) -> dict[str, str]:
     """Options for ``write.format("kafka")``: all acknowledgements, three retries."""
     return {

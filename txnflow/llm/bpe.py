@@ -32,8 +32,11 @@ from txnflow.llm.common import ship_package, slices, text_or_empty
 
 NO_RANK = np.iinfo(np.int32).max
 
-#: Stretches a worker remembers before it starts afresh.
-REMEMBERED = 700_000
+#: Stretches a task remembers before it starts afresh.
+REMEMBERED = 250_000
+
+#: Text that is encoded at once.
+ENCODE_BYTES = 4 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -79,7 +82,7 @@ class BytePairs:
         order = np.argsort(keys)
         self.keys, self.ranks, self.made = keys[order], rank[order].astype(np.int32), made[order]
         self._plain_letters(spec)
-        self._forget()
+        self.forget()
 
     def _plain_letters(self, spec: dict) -> None:
         """The Latin characters that Python lower-cases and splits as the library does, each one compared; texts of these
@@ -102,7 +105,8 @@ class BytePairs:
         self.plain = re.compile("[" + "".join(map(re.escape, same)) + "]*")
         self.not_plain = "[^" + "".join(rf"\x{{{ord(c):x}}}" for c in same) + "]"
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Drop what was remembered: a worker that goes on to other work then holds the tables only."""
         self._words: dict[str, int] = {}
         self._word_ids, self._word_ends = np.empty(0, np.int64), np.zeros(1, np.int64)
         self._seen: dict[str, int] = {}
@@ -205,7 +209,7 @@ class BytePairs:
     def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and where the ids of each text end, from 0 on."""
         if len(self._seen) > REMEMBERED:
-            self._forget()
+            self.forget()
         texts = texts.cast(pa.large_string())
         odd = pc.match_substring_regex(texts, self.not_plain)
         for token in self.special:
@@ -233,7 +237,7 @@ class BytePairs:
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         if len(self._seen) > REMEMBERED:
-            self._forget()
+            self.forget()
         parted: list[list[str | int]] = []
         for text in texts:
             pieces = self.special_pattern.split(text) if self.special_pattern else [text]
@@ -284,12 +288,13 @@ def encode_texts(docs: DataFrame, path: str, id_column: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = byte_pairs(path)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, ENCODE_BYTES):
             flat, ends = pairs.encode_array(batch.column(1))
             decoded = [pairs.decode(flat[start:stop]) for start, stop in zip(ends, ends[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.ListArray.from_arrays(ends.astype(np.int32), flat.astype(np.int32)), pa.array(decoded, pa.string())],
                 names=["doc_id", "ids", "decoded"])
+        pairs.forget()
 
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text_column).alias("text"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 #: Text held by one slice of an Arrow batch: bounds the memory of a Python worker when texts are long.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,12 +28,12 @@ def text_or_empty(column: str | Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit(""))
 
 
-def slices(batches: Iterator[pa.RecordBatch], text_column: int) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that none holds much more than ``SLICE_BYTES`` of text; rows stay whole."""
+def slices(batches: Iterator[pa.RecordBatch], text_column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that none holds much more than ``most`` bytes of text; rows stay whole."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        rows = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.column(text_column).nbytes)))
+        rows = max(1, int(batch.num_rows * most / max(1, batch.column(text_column).nbytes)))
         start = 0
         while start < batch.num_rows:
             part = batch.slice(start, rows)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnflow.llm.bpe import byte_pairs
+from txnflow.llm.bpe import ENCODE_BYTES, byte_pairs
 from txnflow.llm.common import ship_package, slices, text_or_empty
 from txnflow.operators.numbering import with_row_index
 
@@ -39,7 +39,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = byte_pairs(path)
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, ENCODE_BYTES):
             flat, ends = pairs.encode_array(batch.column(1))
             closed = np.insert(flat, ends[1:], end_id).astype("<u4")
             ends = ends + np.arange(len(ends))
@@ -54,6 +54,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 4096, end_id: int =
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(doc)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(checks, pa.int64())],
                 names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        pairs.forget()
 
     ship_package(docs.sparkSession)
     docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text_column).alias("text"))

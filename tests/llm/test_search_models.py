@@ -56,7 +56,7 @@ def test_recall_when_only_a_part_is_reranked(spark):
 
 def test_footrule_counts_missing_pivots_as_last():
     ranked = np.array([[0, 1], [1, 0], [2, 3]])
-    assert InvertedFiles(ranked, 4).footrule(np.array([0, 1])).tolist() == [0, 2, 3]
+    assert InvertedFiles(ranked, 4).footrule(np.array([[0, 1], [3, 2]])).tolist() == [[0, 2, 3], [3, 3, 2]]
     assert orders(np.array([[1.0, 0.1]]), np.eye(2), 2).tolist() == [[0, 1]]
 
 

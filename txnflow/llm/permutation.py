@@ -46,10 +46,16 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
-def cosines(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Cosine in double precision; the sums run alike for every row, so equal vectors have equal scores."""
-    scaled, query = rows / np.abs(rows).max(axis=1, keepdims=True), query / np.abs(query).max()
-    return (scaled * query).sum(axis=1) / (np.sqrt((scaled * scaled).sum(axis=1)) * np.sqrt((query * query).sum()))
+class Cosines:
+    """Cosines in double precision; the sums run alike for every row, so equal vectors have equal scores."""
+
+    def __init__(self, rows: np.ndarray):
+        self.scaled = rows / np.abs(rows).max(axis=1, keepdims=True)
+        self.length = np.sqrt((self.scaled * self.scaled).sum(axis=1))
+
+    def to(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        query = query / np.abs(query).max()
+        return (self.scaled[rows] * query).sum(axis=1) / (self.length[rows] * np.sqrt((query * query).sum()))
 
 
 def orders(vectors: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
@@ -64,37 +70,56 @@ class InvertedFiles:
         self.rows, self.prefix = ranked.shape
         row, position = np.divmod(np.arange(ranked.size), self.prefix)
         by_pivot = np.argsort(ranked.ravel(), kind="stable")
-        self.row, self.position = row[by_pivot], position[by_pivot].astype(np.int32)
+        self.row, self.position = row[by_pivot], position[by_pivot].astype(np.int16)
         self.ends = np.searchsorted(ranked.ravel()[by_pivot], np.arange(pivots + 1))
 
-    def footrule(self, order: np.ndarray) -> np.ndarray:
-        """Distance of every row to the order of a query."""
-        missing = self.prefix - np.arange(len(order))
-        total = np.full(self.rows, int(missing.sum()), np.int32)
-        for i, pivot in enumerate(order):
-            at = slice(self.ends[pivot], self.ends[pivot + 1])
-            total[self.row[at]] += np.abs(self.position[at] - i) - missing[i]
+    def footrule(self, asked: np.ndarray) -> np.ndarray:
+        """Distance of every row to the order of each query, a row a query."""
+        pivots = len(self.ends) - 1
+        place = np.full((len(asked), pivots), -1, np.int16)
+        np.put_along_axis(place, asked, np.arange(asked.shape[1], dtype=np.int16)[None, :], axis=1)
+        # As if no query pivot were ranked; each file then says what its rows are nearer by.
+        most = int(sum(self.prefix - i for i in range(asked.shape[1])))
+        total = np.full((len(asked), self.rows), most, np.int16 if most < 1 << 14 else np.int32)
+        for pivot in range(pivots):
+            start, stop = self.ends[pivot], self.ends[pivot + 1]
+            who = np.flatnonzero(place[:, pivot] >= 0)
+            own = place[who, pivot][:, None]
+            change = np.abs(self.position[start:stop] - own) - (np.int16(self.prefix) - own)
+            if stop - start == self.rows and len(who) == len(asked):  # the file holds every row, in order
+                total += change
+            elif len(who) and stop > start:
+                total[who[:, None], self.row[start:stop]] += change
         return total
 
 
+#: Queries whose distances to a block are held at once.
+TOGETHER = 64
+
+
 def search_block(block: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, prefix: int, share: float, least: int,
-                 k: int) -> Iterator[tuple[int, int]]:
-    """(row of the block, score) of the ``k`` best rows found for each query."""
+                 k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows of the block, scores) of the ``k`` best rows found for each query."""
     rows, asked = np.stack(block["vec"].to_numpy()), np.stack(queries["query_vec"].to_numpy())
-    files = InvertedFiles(orders(unit(rows), pivots, prefix), len(pivots))
+    files, cosines = InvertedFiles(orders(unit(rows), pivots, prefix), len(pivots)), Cosines(rows)
     keep = min(len(rows), max(least, int(np.ceil(share * len(rows)))))
     ids = block["class_id"].to_numpy()
-    for query, order in zip(asked, orders(unit(asked), pivots, prefix), strict=True):
-        distance = files.footrule(order)
-        # Rows at the last distance that still counts are all taken.
-        near = np.flatnonzero(distance <= np.partition(distance, keep - 1)[keep - 1])
-        score = cosines(rows[near], query)
-        best = np.lexsort((ids[near], -score))[:k]
-        yield near[best], score[best]
+    ranked = orders(unit(asked), pivots, prefix)
+    for begin in range(0, len(asked), TOGETHER):
+        part = slice(begin, begin + TOGETHER)
+        for query, distance in zip(asked[part], files.footrule(ranked[part]), strict=True):
+            # Rows at the last distance that still counts are all taken.
+            near = np.flatnonzero(distance <= np.partition(distance, keep - 1)[keep - 1])
+            score = cosines.to(query, near)
+            if len(score) > k:
+                top = score >= np.partition(score, -k)[-k]
+                near, score = near[top], score[top]
+            best = np.lexsort((ids[near], -score))[:k]
+            yield near[best], score[best]
 
 
 def permutation_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id",
-                           vector_column: str = "embedding", pivots: int = 128, prefix: int = 96, share: float = 0.25,
+                           vector_column: str = "embedding", pivots: int = 128, prefix: int = 128, share: float = 0.35,
                            least: int = 512, block_rows: int = 2048, query_rows: int = 1024) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest other rows found for the rows where ``is_query`` holds.
 

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
@@ -27,7 +28,7 @@ def comparable(frame):
     columns = sorted(frame.columns)
     rows = []
     for row in frame[columns].itertuples(index=False, name=None):
-        rows.append(tuple(None if v is None or v != v else float(v) if isinstance(v, (int, float)) else str(v) for v in row))
+        rows.append(tuple(None if v is None or v is pd.NA or v != v else float(v) if isinstance(v, (int, float)) else str(v) for v in row))
     return columns, sorted(rows, key=str)
 
 

@@ -33,10 +33,10 @@ from txnflow.llm.common import ship_package, slices, text_or_empty
 NO_RANK = np.iinfo(np.int32).max
 
 #: Stretches a task remembers before it starts afresh.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 #: Text that is encoded at once.
-ENCODE_BYTES = 4 << 20
+ENCODE_BYTES = 2 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -108,9 +108,10 @@ class BytePairs:
     def forget(self) -> None:
         """Drop what was remembered: a worker that goes on to other work then holds the tables only."""
         self._words: dict[str, int] = {}
-        self._word_ids, self._word_ends = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self._word_ids, self._word_ends = np.empty(0, np.int32), np.zeros(1, np.int64)
         self._seen: dict[str, int] = {}
-        self._flat, self._ends = np.empty(0, np.int64), np.zeros(1, np.int64)
+        self._flat, self._ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+        pa.default_memory_pool().release_unused()
 
     # -- words ----------------------------------------------------------------
 
@@ -189,7 +190,7 @@ class BytePairs:
             if "" in new:  # left at the end of a cut stretch: no ids
                 counts = np.insert(counts, new.index(""), 0)
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
-            self._word_ids = np.concatenate([self._word_ids, ids])
+            self._word_ids = np.concatenate([self._word_ids, ids.astype(np.int32)])
             self._word_ends = np.concatenate([self._word_ends, self._word_ends[-1] + np.cumsum(counts)])
         at = np.fromiter(map(known.__getitem__, listed), np.int64, len(listed))[position]
         ids, counts = gather(self._word_ids, self._word_ends, at)

@@ -110,6 +110,36 @@ def test_keep_one_drops_similar_and_keeps_clean(make_docs, no_docs):
     assert keep_one(no_docs).collect() == [] and kept.columns == no_docs.columns
 
 
+def jaccard(a, b):
+    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split())]
+    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+
+
+def test_near_groups_equal_brute_force_by_jaccard(make_docs):
+    draw = random.Random(12)
+    rows, number = [], 0
+    for size in (60, 120, 300, 500):
+        base = [f"word{draw.randrange(3000)}" for _ in range(size)]
+        for share in (0, 0.01, 0.015, 0.02, 0.025, 0.03, 0.035, 0.04, 0.06):
+            copy = list(base)
+            for at in draw.sample(range(size), round(size * share)):
+                copy[at] = f"edit{draw.randrange(10**6)}"
+            rows.append((number := number + 1, " ".join(copy)))
+    # One set of words in other orders, so that no common leader is similar: twins of each order are.
+    words = [f"v{i}" for i in range(80)]
+    for _ in range(12):
+        draw.shuffle(words)
+        rows += [(number := number + 1, " ".join(words)), (number := number + 1, " ".join(words[:-1]) + " end")]
+    # A passage in very many texts.
+    common = " ".join(f"c{i}" for i in range(60))
+    rows += [(number := number + 1, common + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(draw.choice([9, 40])))) for _ in range(40)]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if jaccard(rows[i][1], rows[j][1]) >= 0.8]
+    root = least_reachable(range(len(rows)), pairs)
+    want = {rows[i][0] for i in root if root[i] == i}
+    assert any(0.65 <= jaccard(x[1], y[1]) < 0.8 for x in rows for y in rows if x[0] < y[0])
+    assert {r.doc_id for r in keep_one(make_docs(rows)).collect()} == want
+
+
 @given(st.text(alphabet="aB. !?\n\t3é", max_size=60))
 def test_units_tile_the_text(text):
     assert "".join(cut(text)) == text

@@ -178,6 +178,21 @@ def test_passages_are_cut_but_for_their_first_place(make_docs):
     assert got[21][1] == [] and got[22] == (None, []) and got[23] == ("", [])
 
 
+def test_passages_are_cut_wherever_they_begin(make_docs):
+    draw = random.Random(21)
+    some = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    # Without sentence marks, and with long sentences at both ends that run on into other text.
+    bare, short, ends = some(50), some(49), some(70)
+    ends = [f"{word}." if i in (28, 40) else word for i, word in enumerate(ends)]
+    rows, want = [], {}
+    for i in range(6):
+        before, between, after = some(draw.randrange(3, 90)), some(30), some(40)
+        rows.append((i, " ".join([*before, *bare, *between, *ends, *after, *short, *some(4)])))
+        want[i] = [w for w in rows[i][1].split() if i == 0 or w not in {*bare, *ends}]
+    got = {r.doc_id: r.text.split() for r in remove_repeats(make_docs(rows)).collect()}
+    assert got == want
+
+
 def test_odd_documents_and_columns(odd_docs, no_docs):
     rows = remove_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count()

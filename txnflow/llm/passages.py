@@ -6,8 +6,12 @@ bits, and digests are grouped over all documents. Of equal units the one that ra
 then its place in the text. A unit is a repeat if it isn't that one.
 
 Short sentences recur by chance, so a repeat alone is no reason to cut: neighbouring repeats form a run, and a run is removed
-if it has ``min_words`` words or more. The parts of a passage that its ends share with other sentences are thus not counted on,
-which is why the bound lies below the 50 words of the passages that are to be found.
+if it has ``min_words`` words or more.
+
+Passages begin and end inside units, and a text without sentence marks is a single one. So runs of ``PASSAGE_WORDS`` words that also stand at an
+earlier place are found by words too, wherever they begin, and cut to the word. Of every ``PASSAGE_WORDS - GRAM + 1`` neighbouring word grams of
+``GRAM`` words the one with the least hash is an anchor, so equal runs have equal anchors and none is missed. Around the anchors that several places
+share all grams are compared, of equal ones the first stays, and the words of a long enough run of repeated grams are removed.
 
 Units move as fixed-width rows, and minima are combined before the shuffle, so that a line that is in a third of all documents sends
 one row a task. Repeats then find their documents by a join that adaptive execution splits.
@@ -36,6 +40,14 @@ UNIT = re.compile(r"[^\n.!?]*(?:[.!?]+(?![\s])[^\n.!?]*)*(?:[.!?]+[^\S\n]+|[.!?]
 
 MARKS = ".,;:!?\"'()[]|*#-"
 
+#: Words of a passage that is to go wherever it begins, and of the grams that it is found by.
+PASSAGE_WORDS, GRAM = 50, 12
+
+#: Numbers of units from here on are numbers of grams.
+GRAMS = 1 << 30
+
+WORD = re.compile(r"\S+")
+
 REMOVED = "array<struct<start:int,stop:int>>"
 
 
@@ -69,6 +81,58 @@ def spans_of(texts: list[str], units: list[list[str]], repeats: list[set[int]],
     return out
 
 
+def grams(text: str) -> np.ndarray:
+    """128-bit hashes, as two columns, of all runs of ``GRAM`` words of a text. Case and outer marks of words don't count."""
+    words = text.lower().split()
+    n = len(words) - GRAM + 1
+    if n < 1:
+        return np.empty((0, 2), np.uint64)
+    digest = xxhash.xxh3_64_intdigest
+    values = np.fromiter((digest((word.strip(MARKS) or word).encode("utf-8", "replace")) for word in words), np.uint64, len(words))
+    out = np.zeros((n, 2), np.uint64)
+    for column, factor in enumerate((0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
+        for i in range(GRAM):
+            out[:, column] = out[:, column] * np.uint64(factor) + values[i:i + n]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out ^ (out >> np.uint64(29))
+
+
+def anchors(hashed: np.ndarray) -> np.ndarray:
+    """Numbers of the grams with the least hash of every run of neighbours in a passage."""
+    window = PASSAGE_WORDS - GRAM + 1
+    if len(hashed) < window:
+        return np.empty(0, np.int64)
+    least = np.lib.stride_tricks.sliding_window_view(hashed[:, 0], window).argmin(axis=1)
+    return np.unique(least + np.arange(len(least)))
+
+
+def word_spans(text: str, repeated: list[int]) -> list[tuple[int, int]]:
+    """Spans of the runs of repeated grams that have the words of a passage."""
+    at = np.array(repeated, np.int64)
+    runs = [run for run in np.split(at, np.flatnonzero(np.diff(at) > 1) + 1) if len(run) + GRAM - 1 >= PASSAGE_WORDS]
+    places = [word.span() for word in WORD.finditer(text)] if runs else []
+    return [(places[run[0]][0], places[run[-1] + GRAM - 1][1]) for run in runs]
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, those that overlap or touch as one."""
+    out: list[tuple[int, int]] = []
+    for start, stop in sorted(spans):
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], max(stop, out[-1][1]))
+        else:
+            out.append((start, stop))
+    return out
+
+
+def removed_spans(text: str, repeated: list[int], min_words: int) -> list[tuple[int, int]]:
+    """All spans to remove from a text with these repeated units and grams."""
+    pieces = cut(text)
+    spans = spans_of([text], [pieces], [{i for i in repeated if i < GRAMS}], min_words)[0]
+    return merged(spans + word_spans(text, sorted(i - GRAMS for i in repeated if i >= GRAMS)))
+
+
 def without(text: str, spans: list[tuple[int, int]]) -> str:
     kept, at = [], 0
     for start, stop in spans:
@@ -78,7 +142,7 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def unit_digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, unit, h1, h2`` for each unit with words; ``docs`` has ``doc_id``, ``text`` and ``text_hash``."""
+    """``doc_id, text_hash, unit, h1, h2`` for each unit with words and each anchor; ``docs`` has ``doc_id``, ``text`` and ``text_hash``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
@@ -90,13 +154,44 @@ def unit_digests(docs: DataFrame) -> DataFrame:
                         owner.append(i)
                         number.append(j)
                         values.append(digest(key.encode("utf-8", "replace")))
-            halves = np.frombuffer(b"".join(values), np.int64).reshape(-1, 2)
-            at = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(2).take(at), pa.array(number, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
-                names=["doc_id", "text_hash", "unit", "h1", "h2"])
+                hashed = grams(text)
+                chosen = anchors(hashed)
+                owner += [i] * len(chosen)
+                number += (chosen + GRAMS).tolist()
+                values.append(hashed[chosen].tobytes())
+            yield _digest_rows(batch, owner, number, values)
 
-    return docs.mapInArrow(run, "doc_id bigint, text_hash bigint, unit int, h1 bigint, h2 bigint")
+    return docs.mapInArrow(run, DIGESTS)
+
+
+def gram_digests(docs: DataFrame) -> DataFrame:
+    """The same for the grams around the anchors ``units``, the fourth column of ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reach = np.arange(GRAM - PASSAGE_WORDS, PASSAGE_WORDS - GRAM + 1)
+        for batch in slices(batches, 1):
+            owner, number, values = [], [], []
+            for i, (text, shared) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                hashed = grams(text)
+                near = np.unique((np.array(shared, np.int64)[:, None] - GRAMS + reach).ravel())
+                near = near[(near >= 0) & (near < len(hashed))]
+                owner += [i] * len(near)
+                number += (near + GRAMS).tolist()
+                values.append(hashed[near].tobytes())
+            yield _digest_rows(batch, owner, number, values)
+
+    return docs.mapInArrow(run, DIGESTS)
+
+
+DIGESTS = "doc_id bigint, text_hash bigint, unit int, h1 bigint, h2 bigint"
+
+
+def _digest_rows(batch: pa.RecordBatch, owner: list[int], number: list[int], values: list[bytes]) -> pa.RecordBatch:
+    halves = np.frombuffer(b"".join(values), np.int64).reshape(-1, 2)
+    at = pa.array(owner, pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0).take(at), batch.column(2).take(at), pa.array(number, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
+        names=["doc_id", "text_hash", "unit", "h1", "h2"])
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -105,15 +200,25 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def repeated_units(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, text_hash, units``: for each document with repeats, the sorted numbers of the units that repeat."""
+    """``doc_id, text_hash, units``: for each document with repeats, the sorted numbers of the units and grams that repeat."""
     ship_package(docs.sparkSession)
-    units = unit_digests(_keyed(docs, id_column, text_column))
+    docs = _keyed(docs, id_column, text_column)
+    units = unit_digests(docs)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "unit")
-    first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("final"))
-    # Units that occur once, by far the most, leave the table here. It is staged so that the join below
-    # deals out both of its sides itself and a unit that very many documents share can be split.
-    shared = stage(first.where("first <> final").select("h1", "h2", "first"), "shared-units")
-    repeats = units.join(shared, ["h1", "h2"]).where(place != F.col("first"))
+
+    def several(rows: DataFrame, name: str) -> DataFrame:
+        first = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("final"))
+        # Units that occur once, by far the most, leave the table here. It is staged so that the join below
+        # deals out both of its sides itself and a unit that very many documents share can be split.
+        return stage(first.where("first <> final").select("h1", "h2", "first"), name)
+
+    met = stage(units.join(several(units, "shared-units"), ["h1", "h2"]).select("doc_id", "text_hash", "unit", (place != F.col("first")).alias("again")), "met-units")
+    near = met.where(F.col("unit") >= GRAMS).groupBy("doc_id", "text_hash").agg(F.collect_set("unit").alias("units")).select(
+        F.col("doc_id").alias("near_id"), F.col("text_hash").alias("near_hash"), "units")
+    same = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("text_hash") == F.col("near_hash"))
+    around = stage(gram_digests(docs.join(near, same).select("doc_id", "text", "text_hash", "units")), "grams")
+    again = around.join(several(around, "shared-grams"), ["h1", "h2"]).where(place != F.col("first")).select("doc_id", "text_hash", "unit")
+    repeats = met.where((F.col("unit") < GRAMS) & F.col("again")).select("doc_id", "text_hash", "unit").unionByName(again)
     return repeats.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("unit")).alias("units"))
 
 
@@ -135,8 +240,7 @@ def remove_repeats(docs: DataFrame, min_words: int = 30, id_column: str = "doc_i
         for texts, units in batches:
             out = []
             for text, own in zip(texts, units, strict=True):
-                pieces = cut(text) if own is not None else []
-                spans = spans_of([text], [pieces], [set(own)], min_words)[0] if pieces else []
+                spans = removed_spans(text, list(own), min_words) if own is not None else []
                 out.append((without(text, spans) if spans else text, [{"start": a, "stop": b} for a, b in spans]))
             yield pd.DataFrame(out, columns=["text", "removed"])
 

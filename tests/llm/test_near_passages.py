@@ -193,6 +193,15 @@ def test_passages_are_cut_wherever_they_begin(make_docs):
     assert got == want
 
 
+def test_later_copies_of_lines_and_paragraphs_go(make_docs):
+    licence, verse = "This work is licensed under the GNU General Public License.", "one rose\ntwo roses\nthree red roses"
+    rows = [(i, f"Text {i} of its own.\n{licence}\nRead more\nAll that number {i} says.\n\n{verse}\n\nEnd {i}.") for i in range(4)]
+    got = {r.doc_id: r.text for r in remove_repeats(make_docs(rows)).collect()}
+    assert got[0] == rows[0][1]
+    for i in range(1, 4):
+        assert got[i] == f"Text {i} of its own.\nRead more\nAll that number {i} says.\n\n\nEnd {i}."
+
+
 def test_odd_documents_and_columns(odd_docs, no_docs):
     rows = remove_repeats(odd_docs).collect()
     assert len(rows) == odd_docs.count()

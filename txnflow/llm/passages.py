@@ -8,6 +8,9 @@ then its place in the text. A unit is a repeat if it isn't that one.
 Short sentences recur by chance, so a repeat alone is no reason to cut: neighbouring repeats form a run, and a run is removed
 if it has ``min_words`` words or more.
 
+A whole line of ``LINE_WORDS`` words or more, and a paragraph of several lines with as many, is a unit of its own besides, and each later copy of it is
+removed: the run rule is for sentences inside a line.
+
 Passages begin and end inside units, and a text without sentence marks is a single one. So runs of ``PASSAGE_WORDS`` words that also stand at an
 earlier place are found by words too, wherever they begin, and cut to the word. Of every ``PASSAGE_WORDS - GRAM + 1`` neighbouring word grams of
 ``GRAM`` words the one with the least hash is an anchor, so equal runs have equal anchors and none is missed. Around the anchors that several places
@@ -43,8 +46,11 @@ MARKS = ".,;:!?\"'()[]|*#-"
 #: Words of a passage that is to go wherever it begins, and of the grams that it is found by.
 PASSAGE_WORDS, GRAM = 50, 12
 
-#: Numbers of units from here on are numbers of grams.
-GRAMS = 1 << 30
+#: Words of a line or paragraph that goes whenever it repeats. Shorter ones recur by chance, like "Read more".
+LINE_WORDS = 5
+
+#: Numbers of units from here on are those of lines (of the first unit in each), of paragraphs, and of grams.
+LINES, PARAGRAPHS, GRAMS = 1 << 29, 3 << 28, 1 << 30
 
 WORD = re.compile(r"\S+")
 
@@ -60,6 +66,32 @@ def normal(unit: str) -> str:
     return " ".join(unit.lower().split()).strip(MARKS + " ")
 
 
+def blocks(units: list[str]) -> Iterator[tuple[int, int, int, str]]:
+    """Number, start, stop and normal form of each line, and of each paragraph of several lines, that has enough words."""
+    at, line, lines, paragraph = 0, (0, 0), 0, (0, 0)
+    own: list[str] = []
+    whole: list[str] = []
+    for i, unit in enumerate([*units, None]):
+        if unit is not None:
+            own.append(unit)
+            at += len(unit)
+        if unit is None or unit.endswith("\n"):
+            key = normal("".join(own))
+            if len(key.split()) >= LINE_WORDS:
+                yield LINES + line[0], line[1], at, key
+            if "".join(own).strip():
+                paragraph = paragraph if lines else line
+                lines += 1
+                whole.append("".join(own))
+                stop = at
+            if lines and (unit is None or not "".join(own).strip()):
+                key = normal("".join(whole))
+                if lines > 1 and len(key.split()) >= LINE_WORDS:
+                    yield PARAGRAPHS + paragraph[0], paragraph[1], stop, key
+                lines, whole = 0, []
+            line, own = (i + 1, at), []
+
+
 def spans_of(texts: list[str], units: list[list[str]], repeats: list[set[int]], min_words: int) -> list[list[tuple[int, int]]]:
     """Spans to remove from each text: runs of repeats, and of units without words between them, that are long enough."""
     out = []
@@ -129,7 +161,9 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def removed_spans(text: str, repeated: list[int], min_words: int) -> list[tuple[int, int]]:
     """All spans to remove from a text with these repeated units and grams."""
     pieces = cut(text)
-    spans = spans_of([text], [pieces], [{i for i in repeated if i < GRAMS}], min_words)[0]
+    spans = spans_of([text], [pieces], [{i for i in repeated if i < LINES}], min_words)[0]
+    again = {i for i in repeated if LINES <= i < GRAMS}
+    spans += [(start, stop) for number, start, stop, _ in blocks(pieces) if number in again]
     return merged(spans + word_spans(text, sorted(i - GRAMS for i in repeated if i >= GRAMS)))
 
 
@@ -142,14 +176,19 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def unit_digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, unit, h1, h2`` for each unit with words and each anchor; ``docs`` has ``doc_id``, ``text`` and ``text_hash``."""
+    """``doc_id, text_hash, unit, h1, h2`` for each unit with words, line, paragraph and anchor; ``docs`` has ``doc_id``, ``text`` and ``text_hash``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in slices(batches, 1):
             owner, number, values = [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
-                for j, unit in enumerate(cut(text)):
+                pieces = cut(text)
+                for block, _, _, key in blocks(pieces):
+                    owner.append(i)
+                    number.append(block)
+                    values.append(digest(b"\n" + key.encode("utf-8", "replace")))
+                for j, unit in enumerate(pieces):
                     if key := normal(unit):
                         owner.append(i)
                         number.append(j)

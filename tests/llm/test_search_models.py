@@ -123,6 +123,20 @@ def test_languages_and_odd_rows(spark, make_docs, odd_docs, no_docs):
     assert identify(frame, ("doc_id",), fit_text_model(no_docs)).where("lang IS NULL AND NOT accepted").count() == len(found)
 
 
+def test_texts_in_no_known_language_are_rejected(spark, make_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    odd = ["Все люди рождаются свободными и равными в своем достоинстве и правах " * 3, "人人生而自由 在尊严和权利上一律平等 他们赋有理性和良心 " * 3,
+           "xkqz wvbj qqxz zzkv jwqx vbkz xxqj kzvw qjxv zkwb " * 3,
+           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem i sumieniem"]
+    odd = [(-1 - i, text, lang, "s") for i, text in enumerate(odd) for lang in (None, "en")]
+    both = docs.unionByName(make_docs(odd).select(docs.columns))
+    found = identify(both.select("doc_id", *[c.alias(n) for n, c in document_evidence().items()]), ("doc_id",), fit_text_model(docs))
+    rejected = [r for r in found.where("NOT accepted").collect()]
+    assert sorted(r.doc_id for r in rejected if r.doc_id < 0) == sorted(r[0] for r in odd)
+    assert all(r.lang is None for r in rejected if r.doc_id < 0)
+    assert len(rejected) - len(odd) <= 0.005 * docs.count()
+
+
 def test_page_evidence(spark):
     pages = spark.createDataFrame([(1, "https://a.b.example.de/x", '<html lang="de-AT"><script>var x = "the"</script><p>Hund &amp; Katze</p>'), (2, None, None)],
                                   "page_id bigint, url string, html string")

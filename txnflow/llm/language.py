@@ -13,7 +13,11 @@ The trigram counts come from labelled texts, at most about ``train_rows`` of the
 the sample the classifier is fitted on. What is broadcast is one table of ``BUCKETS`` rows for each of the
 ``max_languages`` most frequent languages, and the tables of declarations and suffixes, which are joined.
 
-A row is accepted if the posterior of its best language reaches ``accept`` and its text has letters in known trigrams.
+Only trigrams seen in training tell languages apart. A text whose trigrams, the unseen ones at the floor that all languages share, are too unlikely in
+its best language is in none of them: below what labelled texts that were held out of training reach, or, if these are few, below the uniform
+distribution over buckets. Its ``lang``, ``text_lang`` and ``probability`` are null, and it counts nowhere.
+
+A row is accepted if the posterior of its best language reaches ``accept`` and its text has letters and is in one of the languages.
 
 Defined results: null evidence says nothing; a row without letters in its text is not identified by it, gets what the other evidence
 says as ``lang``, and is not accepted; ties go to the language that is first in the alphabet; repeated rows get equal
@@ -36,6 +40,10 @@ from txnflow.session import stage
 
 BUCKETS = 1 << 16
 
+#: Of the sampled texts one in ``HELD_OUT`` is not trained on. From so many texts on they give the level of a language: ``SPREADS`` standard
+#: deviations, and ``MARGIN`` at least, below their mean. ``SHORT``: what a text of one trigram may lie below the level, less by the root of their number.
+HELD_OUT, ENOUGH, SPREADS, MARGIN, SHORT = 8, 20, 6.0, 0.5, 6.0
+
 EVIDENCE = ("text", "declared", "suffix", "host")
 
 
@@ -62,13 +70,26 @@ class TextModel:
     languages: tuple[str, ...]
     #: log-likelihood of each trigram bucket, a row a bucket
     table: np.ndarray
+    #: buckets seen in training, the log-likelihood of others, and the least mean of a text in each language
+    known: np.ndarray | None = None
+    floor: float = 0.0
+    least: np.ndarray | None = None
 
-    def means(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Mean log-likelihood of each text in each language, and its number of trigrams."""
+    def means(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Mean log-likelihood of the known trigrams of each text in each language, and of all, and the numbers of all and of the known."""
         code, owner = trigrams(texts)
         n = np.bincount(owner, minlength=len(texts))
+        seen = self.known[code]
+        code, owner = code[seen], owner[seen]
+        hits = np.bincount(owner, minlength=len(texts))
         sums = np.stack([np.bincount(owner, weights=column[code], minlength=len(texts)) for column in self.table.T], axis=1)
-        return sums / np.maximum(n, 1)[:, None], n
+        whole = (sums + ((n - hits) * self.floor)[:, None]) / np.maximum(n, 1)[:, None]
+        return sums / np.maximum(hits, 1)[:, None], whole, n, hits
+
+    def in_none(self, whole: np.ndarray, best: np.ndarray, n: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """Texts with letters that are in none of the languages. Means of few trigrams vary more."""
+        low = whole[np.arange(len(n)), best] < self.least[best] - SHORT / np.sqrt(np.maximum(n, 1))
+        return (n > 0) & (low | (hits == 0))
 
 
 def fit_text_model(labelled: DataFrame, train_rows: int = 20_000, max_languages: int = 32, smoothing: float = 0.5) -> TextModel:
@@ -92,13 +113,33 @@ def fit_text_model(labelled: DataFrame, train_rows: int = 20_000, max_languages:
         lang, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(counts[lang, bucket])], names=["lang", "bucket", "n"])
 
-    rows = chosen.mapInArrow(count, "lang bigint, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    held_out = F.pmod(F.shiftrightunsigned(F.xxhash64("text"), 32), F.lit(HELD_OUT)) == 0
+    rows = chosen.where(~held_out).mapInArrow(count, "lang bigint, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
     # One row a language and bucket at most.
     found = rows.toPandas()
     counts[found["bucket"], found["lang"]] = found["n"]
-    counts += smoothing
-    return TextModel(tuple(languages), np.log(counts / counts.sum(axis=0)))
+    known = counts.sum(axis=1) > 0
+    # Counts as of equally many trigrams in each language, so that an unseen one is as unlikely in all.
+    most = max(1.0, counts.sum(axis=0).max())
+    shares = (counts * (most / np.maximum(counts.sum(axis=0), 1)) + smoothing) / (most + smoothing * BUCKETS)
+    floor = float(np.log(smoothing / (most + smoothing * BUCKETS)))
+    model = TextModel(tuple(languages), np.log(shares), known, floor, np.full(len(languages), -np.log(BUCKETS)))
+    shared = labelled.sparkSession.sparkContext.broadcast(model)
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 0):
+            _, whole, n, _ = shared.value.means(batch.column(0))
+            lang = np.searchsorted(languages, batch.column(1).to_numpy(zero_copy_only=False).astype(str))
+            value = whole[np.arange(len(n)), lang]
+            yield pa.RecordBatch.from_arrays([pa.array(lang[n > 0]), pa.array(value[n > 0])], names=["lang", "value"])
+
+    level = chosen.where(held_out).mapInArrow(reached, "lang bigint, value double").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("spread")).collect()
+    for row in level:
+        if row["n"] >= ENOUGH:
+            model.least[row["lang"]] = row["mean"] - max(MARGIN, SPREADS * row["spread"])
+    return model
 
 
 def domain_of(host: str | Column) -> Column:
@@ -133,20 +174,21 @@ def identify(rows: DataFrame, keys: Sequence[str], model: TextModel, text_weight
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, len(keep)):
-            mean, n = shared.value.means(batch.column(len(keep)))
-            weighed = mean * np.minimum(n, text_weight)[:, None]
+            mean, whole, n, hits = shared.value.means(batch.column(len(keep)))
+            weighed = mean * np.minimum(hits, text_weight)[:, None]
             log = weighed - weighed.max(axis=1, keepdims=True)
             flat = pa.array(log.ravel())
             logs = pa.ListArray.from_arrays(np.arange(0, flat.__len__() + 1, n_langs, dtype=np.int32), flat)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], logs, pa.array(log.argmax(axis=1)), pa.array(n, pa.int64())],
-                names=[*keep, "text_log", "text_best", "trigrams"])
+                [*batch.columns[:-1], logs, pa.array(log.argmax(axis=1)), pa.array(n, pa.int64()),
+                 pa.array(shared.value.in_none(whole, log.argmax(axis=1), n, hits))],
+                names=[*keep, "text_log", "text_best", "trigrams", "in_none"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1])
-    scored = stage(plain.mapInArrow(score, f"{kinds}, text_log array<double>, text_best bigint, trigrams bigint"), "evidence")
+    scored = stage(plain.mapInArrow(score, f"{kinds}, text_log array<double>, text_best bigint, trigrams bigint, in_none boolean"), "evidence")
 
     # What text alone says, counted by language; rows without letters say nothing.
-    said = scored.where("trigrams > 0")
+    said = scored.where("trigrams > 0 AND NOT in_none")
     by_lang = [F.count(F.when(F.col("text_best") == i, 1)).cast("double").alias(f"n{i}") for i in range(n_langs)]
     as_array = F.array(*[F.col(f"n{i}") for i in range(n_langs)])
 
@@ -183,9 +225,9 @@ def identify(rows: DataFrame, keys: Sequence[str], model: TextModel, text_weight
     fused = fused.withColumn("mass", F.aggregate("joint", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
     lang = F.element_at(F.lit(list(names)), F.array_position("joint", F.col("top")).cast("int"))
     return fused.select(
-        *keys, lang.alias("lang"), (1 / F.col("mass")).alias("probability"),
-        F.when(F.col("trigrams") > 0, F.element_at(F.lit(list(names)), (F.col("text_best") + 1).cast("int"))).alias("text_lang"),
-        "trigrams", ((F.col("trigrams") > 0) & (1 / F.col("mass") >= accept)).alias("accepted"),
+        *keys, F.when(~F.col("in_none"), lang).alias("lang"), F.when(~F.col("in_none"), 1 / F.col("mass")).alias("probability"),
+        F.when((F.col("trigrams") > 0) & ~F.col("in_none"), F.element_at(F.lit(list(names)), (F.col("text_best") + 1).cast("int"))).alias("text_lang"),
+        "trigrams", ((F.col("trigrams") > 0) & ~F.col("in_none") & (1 / F.col("mass") >= accept)).alias("accepted"),
     )
 
 

@@ -6,11 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Staged tables of this process, so that drop_staged() can release them.
-_staged: list[str] = []
+# Staged tables of this process, in order, so that drop_staged() can release them.
+_staged: dict[str, None] = {}
 _local_roots: dict[str, str] = {}
 
 
@@ -52,7 +53,10 @@ def staging_root(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the staging root."""
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
-    _staged.append(path)
+    _staged[path] = None
+    scope = _scope.get()
+    if scope:
+        scope.paths.append(path)
     return path
 
 
@@ -75,22 +79,47 @@ def _delete(spark: SparkSession, paths: list[str]) -> int:
     for name in paths:
         path = hadoop_path(name)
         dropped += bool(path.getFileSystem(configuration).delete(path, True))
+        _staged.pop(name, None)
     return dropped
 
 
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables this process staged; call it when their readers are done."""
-    dropped = _delete(spark, _staged)
-    _staged.clear()
-    return dropped
+    return _delete(spark, list(_staged))
+
+
+class Scope:
+    """The tables that one job stages. Jobs that run side by side, in threads of one driver, have a scope each."""
+
+    def __init__(self, spark: SparkSession, outer: Scope | None):
+        self._spark, self._outer = spark, outer
+        self.paths: list[str] = []
+
+    def release(self, *labels: str) -> None:
+        """Delete the tables staged under these labels: their last reader is done."""
+        gone = [path for path in self.paths if path.rsplit("/", 1)[-1].rsplit("-", 1)[0] in labels]
+        _delete(self._spark, gone)
+        self.paths = [path for path in self.paths if path not in gone]
+
+    def result(self, df: DataFrame, label: str = "result") -> DataFrame:
+        """Stage ``df`` so that it outlives the scope."""
+        token = _scope.set(self._outer)
+        try:
+            return stage(df, label)
+        finally:
+            _scope.reset(token)
+
+
+_scope: ContextVar[Scope | None] = ContextVar("txnflow_scope", default=None)
 
 
 @contextmanager
-def temporary_stages(spark: SparkSession) -> Iterator[None]:
-    """Delete what is staged inside the block at its end, for jobs that run again and again."""
-    mark = len(_staged)
+def temporary_stages(spark: SparkSession) -> Iterator[Scope]:
+    """Delete what the caller stages inside the block at its end, for jobs that run again and again."""
+    scope = Scope(spark, _scope.get())
+    token = _scope.set(scope)
     try:
-        yield
+        yield scope
     finally:
-        _delete(spark, _staged[mark:])
-        del _staged[mark:]
+        _scope.reset(token)
+        _delete(spark, scope.paths)

@@ -1,17 +1,16 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
 import pytest
 import xxhash
-from hypothesis import given
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from txnflow.llm.components import components
-from txnflow.llm.passages import cut, remove_repeats
+from txnflow.llm.passages import remove_repeats
 from txnflow.llm.simhash import LOWER, keep_one, links, near_duplicates
 
 
@@ -93,71 +92,109 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "u bigint, v bigint")).collect() == []
 
 
-def test_keep_one_drops_similar_and_keeps_clean(make_docs, no_docs):
-    draw = random.Random(9)
-    base = [f"word{draw.randrange(3000)}" for _ in range(400)]
-    copies = []
-    for i in range(12):
-        edited = list(base)
-        for at in draw.sample(range(400), 4):
-            edited[at] = f"edit{i}"
-        copies.append((i + 1, " ".join(edited)))
-    clean = [(100 + i, " ".join(f"word{draw.randrange(3000)}" for _ in range(400))) for i in range(20)]
-    kept = keep_one(make_docs([(0, " ".join(base)), *copies, *clean, (200, None), (201, "")]))
-    ids = {r.doc_id for r in kept.collect()}
-    assert {r[0] for r in clean} <= ids
-    assert len(ids & set(range(13))) <= 1 + 1 and 0 in ids
-    assert keep_one(no_docs).collect() == [] and kept.columns == no_docs.columns
-
-
-def jaccard(a, b):
-    sets = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split())]
-    return len(sets[0] & sets[1]) / len(sets[0] | sets[1])
-
-
-def test_near_groups_equal_brute_force_by_jaccard(make_docs):
-    draw = random.Random(12)
-    rows, number = [], 0
-    for size in (60, 120, 300, 500):
-        base = [f"word{draw.randrange(3000)}" for _ in range(size)]
-        for share in (0, 0.01, 0.015, 0.02, 0.025, 0.03, 0.035, 0.04, 0.06):
-            copy = list(base)
-            for at in draw.sample(range(size), round(size * share)):
-                copy[at] = f"edit{draw.randrange(10**6)}"
-            rows.append((number := number + 1, " ".join(copy)))
-    # One set of words in other orders, so that no common leader is similar: twins of each order are.
-    words = [f"v{i}" for i in range(80)]
-    for _ in range(12):
-        draw.shuffle(words)
-        rows += [(number := number + 1, " ".join(words)), (number := number + 1, " ".join(words[:-1]) + " end")]
-    # A passage in very many texts.
-    common = " ".join(f"c{i}" for i in range(60))
-    rows += [(number := number + 1, common + " " + " ".join(f"w{draw.randrange(10**6)}" for _ in range(draw.choice([9, 40])))) for _ in range(40)]
-    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if jaccard(rows[i][1], rows[j][1]) >= 0.8]
-    root = least_reachable(range(len(rows)), pairs)
-    want = {rows[i][0] for i in root if root[i] == i}
-    assert any(0.65 <= jaccard(x[1], y[1]) < 0.8 for x in rows for y in rows if x[0] < y[0])
-    assert {r.doc_id for r in keep_one(make_docs(rows)).collect()} == want
-
-
-@given(st.text(alphabet="aB. !?\n\t3é", max_size=60))
-def test_units_tile_the_text(text):
-    assert "".join(cut(text)) == text
-
-
-def brute_repeats(rows, min_words):
-    from txnflow.llm.passages import normal, spans_of, without
+def test_keep_one_keeps_the_first_of_each_group(make_docs, odd_docs, no_docs):
+    rows = texts_with_near_copies()
+    least = {i: root for i, _, root in brute(rows)}
+    kept = keep_one(make_docs(rows))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, root in least.items() if i == root)
+    assert len(set(least.values())) < len(rows)
+    # Ties of ids, nulls and repeated rows: one row of each text that is first, with all its columns.
+    odd = [(r.doc_id, r.text or "") for r in odd_docs.collect()]
+    roots = {}
+    for (i, text), (_, print_, root) in zip(sorted(odd, key=str), sorted(brute(odd), key=str), strict=True):
+        roots.setdefault(root, []).append((i, text, print_))
+    left = keep_one(odd_docs)
+    assert left.columns == odd_docs.columns
+    assert {r.doc_id for r in left.collect()} == set(roots)
+    assert keep_one(no_docs).collect() == []
+
+
+MARKS = ".,;:!?\"'()[]|*#-"
+
 
+def plain(text):
+    """Words and their places, in lower case without outer marks."""
+    words = [(m.start(), m.end()) for m in re.finditer(r"[^ \t-\r]+", text)]
+    return words, [text[a:b].lower().strip(MARKS) or text[a:b].lower() for a, b in words]
+
+
+def brute_spans(rows, min_words=30, line_words=5):
+    """Spans to remove from each text, from all windows of ``min_words`` words, all lines and all paragraphs that stand at an earlier place."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0))
-    first, repeats = {}, [set() for _ in rows]
+    seen, found = set(), {}
     for i in order:
-        for j, unit in enumerate(cut(rows[i][1] or "")):
-            if key := normal(unit):
-                if first.setdefault(key, (i, j)) != (i, j):
-                    repeats[i].add(j)
-    texts = [text or "" for _, text in rows]
-    spans = spans_of(texts, [cut(t) for t in texts], repeats, min_words)
-    return {rows[i][0]: (without(texts[i], spans[i]) if spans[i] else rows[i][1], spans[i]) for i in range(len(rows))}
+        text = rows[i][1] or ""
+        places, words = plain(text)
+        covered = [False] * len(words)
+        for j in range(len(words) - min_words + 1):
+            window = tuple(words[j:j + min_words])
+            if window in seen:
+                covered[j:j + min_words] = [True] * min_words
+            seen.add(window)
+        spans = []
+        for j, word in enumerate(places):
+            if covered[j]:
+                if j and covered[j - 1]:
+                    spans[-1] = (spans[-1][0], word[1])
+                else:
+                    spans.append(word)
+        # Lines that hold words, and blocks of them between lines that hold none.
+        at, block = 0, []
+        for line in [*text.splitlines(keepends=True), None]:
+            own = plain(line)[1] if line is not None else []
+            if own:
+                block.append((at, at + len(line), own))
+            elif block:
+                whole = [w for _, _, ws in block for w in ws]
+                units = [(a, b, ("line", *ws)) for a, b, ws in block]
+                units += [(block[0][0], block[-1][1], ("paragraph", *whole))] if len(block) > 1 else []
+                for a, b, key in units:
+                    if len(key) > line_words:
+                        if key in seen:
+                            spans.append((a, b))
+                        seen.add(key)
+                block = []
+            at += len(line or "")
+        merged = []
+        for a, b in sorted(spans):
+            if merged and a <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+            else:
+                merged.append((a, b))
+        found[i] = merged
+    return [found[i] for i in range(len(rows))]
+
+
+def without(text, spans):
+    for a, b in reversed(spans):
+        text = text[:a] + text[b:]
+    return text
+
+
+def check_passages(make_docs, rows, **options):
+    got = sorted(remove_repeats(make_docs(rows), **options).collect(), key=lambda r: (r.doc_id is None, r.doc_id))
+    spans = brute_spans(rows, **options)
+    want = sorted(((i, without(text, s) if s else text, s) for (i, text), s in zip(rows, spans, strict=True)), key=lambda r: (r[0] is None, r[0]))
+    for row, expected in zip(got, want, strict=True):
+        assert (row.doc_id, row.text, [(x.start, x.stop) for x in row.removed]) == expected
+    return {r.doc_id: r for r in got}
+
+
+@pytest.mark.parametrize("min_words", [12, 30, 50])
+def test_passages_equal_brute_force(make_docs, min_words):
+    draw = random.Random(min_words)
+    some = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    sources = [some(draw.randrange(min_words - 3, 3 * min_words)) for _ in range(6)]
+    rows = []
+    for i in range(25):
+        words = some(draw.randrange(60))
+        for _ in range(draw.randrange(4)):
+            words += draw.choice(sources) + some(draw.randrange(1, 90))
+        marked = [w.upper() if draw.random() < 0.1 else w + draw.choice(["", "", "", ".", ",", "\n", " ", "!\n\n", "\u00e9"[:0]]) for w in words]
+        rows.append((7 * i, " ".join(marked)))
+    rows += [(500, None), (501, ""), (None, rows[3][1]), (502, rows[4][1]), (503, "word " * 200), (504, "word " * 200 + " ".join(some(40)))]
+    found = check_passages(make_docs, rows, min_words=min_words)
+    assert sum(bool(r.removed) for r in found.values()) > 8
 
 
 def test_passages_are_cut_but_for_their_first_place(make_docs):
@@ -168,14 +205,11 @@ def test_passages_are_cut_but_for_their_first_place(make_docs):
     rows = [(i, "".join(sentence(15) for _ in range(6))) for i in range(8)]
     rows += [(10 + i, sentence(20) + passage + sentence(9) + "\n" + line + "\n" + sentence(5)) for i in range(5)]
     rows += [(20, sentence(4) + "Yes. No.\n"), (21, "Yes. No.\n" + sentence(7)), (22, None), (23, ""), (None, passage + sentence(3))]
-    got = {r.doc_id: (r.text, [(x.start, x.stop) for x in r.removed]) for r in remove_repeats(make_docs(rows)).collect()}
-    want = brute_repeats(rows, 30)
-    assert got == want
-    assert passage.strip() in got[10][0] and line in got[10][0]
+    got = check_passages(make_docs, rows)
+    assert passage.strip() in got[10].text and line in got[10].text
     for i in (11, 12, 13, 14, None):
-        assert passage.strip() not in got[i][0] and got[i][1]
-    assert all(got[i] == (rows[i][1], []) for i in range(8))
-    assert got[21][1] == [] and got[22] == (None, []) and got[23] == ("", [])
+        assert passage.strip() not in got[i].text and got[i].text
+    assert got[21].removed == [] and got[22].text is None
 
 
 def test_passages_are_cut_wherever_they_begin(make_docs):
@@ -189,14 +223,15 @@ def test_passages_are_cut_wherever_they_begin(make_docs):
         before, between, after = some(draw.randrange(3, 90)), some(30), some(40)
         rows.append((i, " ".join([*before, *bare, *between, *ends, *after, *short, *some(4)])))
         want[i] = [w for w in rows[i][1].split() if i == 0 or w not in {*bare, *ends}]
-    got = {r.doc_id: r.text.split() for r in remove_repeats(make_docs(rows)).collect()}
+    got = {r.doc_id: r.text.split() for r in remove_repeats(make_docs(rows), min_words=50).collect()}
     assert got == want
+    check_passages(make_docs, rows, min_words=50)
 
 
 def test_later_copies_of_lines_and_paragraphs_go(make_docs):
     licence, verse = "This work is licensed under the GNU General Public License.", "one rose\ntwo roses\nthree red roses"
     rows = [(i, f"Text {i} of its own.\n{licence}\nRead more\nAll that number {i} says.\n\n{verse}\n\nEnd {i}.") for i in range(4)]
-    got = {r.doc_id: r.text for r in remove_repeats(make_docs(rows)).collect()}
+    got = {i: r.text for i, r in check_passages(make_docs, rows).items()}
     assert got[0] == rows[0][1]
     for i in range(1, 4):
         assert got[i] == f"Text {i} of its own.\nRead more\nAll that number {i} says.\n\n\nEnd {i}."
@@ -208,3 +243,6 @@ def test_odd_documents_and_columns(odd_docs, no_docs):
     assert [r for r in rows if r.doc_id == 3][0].text is None
     assert remove_repeats(no_docs).collect() == []
     assert remove_repeats(odd_docs).where(F.col("row") == "r").count() == len(rows)
+    # Rows of one id are one document; a column of the result's name is replaced, others stay.
+    own = remove_repeats(odd_docs, removed_column="cut")
+    assert [r.removed for r in own.collect()] == [1] * len(rows) and "cut" in own.columns

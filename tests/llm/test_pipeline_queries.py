@@ -5,6 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from test_near_passages import fingerprint
 from txnflow.llm.oracles import ORACLES
 from txnflow.llm.queries import QUERIES
 from txnflow.session import stage
@@ -18,7 +19,10 @@ def test_stages_on_planted_documents(spark, make_docs):
     sentence = lambda n: " ".join(word() for _ in range(n)).capitalize() + ". "
     passage = "".join(sentence(15) for _ in range(5))
     clean = [(i, "".join(sentence(12) for _ in range(12)), "en", f"s{i % 3}") for i in range(30)]
-    near = clean[0][1].replace("and", "und", 1)
+    # A copy with one other word whose fingerprint is linked to the original's.
+    words = clean[0][1].split()
+    copies = (" ".join([*words[:i], "other", *words[i + 1:]]) for i in range(len(words)))
+    near = next(c for c in copies if 0 < (fingerprint(c) ^ fingerprint(clean[0][1])).bit_count() <= 3)
     rows = clean + [(100, clean[1][1], "en", "s1"), (101, near, "en", "s2"), (102, "## 12 !!", "en", "s1"), (103, None, None, None), (104, "", "en", "s1")]
     rows += [(200 + i, "".join(sentence(12) for _ in range(8)) + passage + sentence(10), "en", "s2") for i in range(4)]
     docs, kept = make_docs(rows), {}

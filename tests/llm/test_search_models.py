@@ -32,7 +32,7 @@ def test_neighbours_with_odd_rows(spark):
     rows += [(300, None), (305, [0.0] * 8), (310, [1.0, None] + [0.0] * 6), (315, [float("nan")] + [1.0] * 7),
              (320, [float("inf")] + [1.0] * 7), (None, [1.0] * 8), (325, [1.0, 2.0]), (330, [1e200] + [0.0] * 7)]
     frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id bigint, embedding array<double>, vec string, class_id int")
-    got = permutation_neighbours(frame, F.col("id") % 5 == 0, block_rows=64, query_rows=16).collect()
+    got = permutation_neighbours(frame, F.col("id") % 5 == 0, block_rows=64, query_rows=16, share=1.0).collect()
     want = brute_neighbours(rows, 5)
     assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(got, key=lambda r: (r.query_id, r["rank"]))] == [w[:3] for w in want]
     assert np.allclose([r.score for r in sorted(got, key=lambda r: (r.query_id, r["rank"]))], [w[3] for w in want], atol=1e-12)
@@ -44,7 +44,7 @@ def test_recall_when_only_a_part_is_reranked(spark):
     centres = draw.normal(size=(10, 32))
     vectors = centres[draw.integers(0, 10, 3000)] + draw.normal(size=(3000, 32))
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
-    got = permutation_neighbours(frame, F.col("id") % 100 == 0, least=50).collect()
+    got = permutation_neighbours(frame, F.col("id") % 100 == 0).collect()
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     hit = 0
     for q in range(0, 3000, 100):

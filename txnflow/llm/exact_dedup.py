@@ -62,13 +62,16 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
+    """The rows that stay, with all their columns: of rows that share the id and the normalised text, the one whose other values hash least."""
     columns = docs.columns
-    whole = docs.select(F.col(id_column).alias("id"), content_hash(normalised(text_column)).alias("hash"),
-                        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    norm = normalised(text_column)
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    # Rows are told apart by both digests, and among equal ones by all their values.
+    whole = docs.select(F.col(id_column).alias("id"), norm.alias("norm"), row.alias("row"), F.xxhash64(row).alias("place"))
+    whole = whole.select("id", content_hash(F.col("norm")).alias("hash"), F.sha2("norm", 256).alias("sha"), "row", "place")
     # Repeated rows collapse before the shuffle, and the join below reuses its partitioning.
-    single = whole.groupBy("id", "hash").agg(F.first("row").alias("row"))
+    single = whole.groupBy("id", "hash", "sha").agg(F.min_by("row", "place").alias("row"))
     keepers = text_classes(docs, id_column, text_column).select(
-        F.col("keep_id"), F.col("hash").alias("keep_hash"))
-    kept = single.join(keepers, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("hash") == F.col("keep_hash")), "left_semi")
+        F.col("keep_id"), F.col("hash").alias("keep_hash"), F.col("sha").alias("keep_sha"))
+    kept = single.join(keepers, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("hash") == F.col("keep_hash")) & (F.col("sha") == F.col("keep_sha")), "left_semi")
     return kept.select("row.*")

@@ -9,13 +9,14 @@ Four sources of evidence speak about the language l of a page or document and ar
 * the host, whose prior P(l | host) is smoothed towards that of its domain, and that towards the whole corpus.
 
 All counts over hosts, domains, declarations and suffixes are grouped aggregations of what text alone says, over every row.
-The trigram counts come from labelled texts, at most about ``train_rows`` of them, chosen by a hash of the text: the documented bound of
-the sample the classifier is fitted on. What is broadcast is one table of ``BUCKETS`` rows for each of the
-``max_languages`` most frequent languages, and the tables of declarations and suffixes, which are joined.
+The trigram counts come from labelled texts, about ``language_rows`` of each language, all if it has fewer, chosen by a hash of the text: the documented bound
+of the sample the classifier is fitted on. Every declared language takes part, however rare; one whose sampled texts have no letters is left out, and rows of it are named by
+the others or rejected. What is broadcast is one column of ``BUCKETS`` numbers of 4 bytes for each language; more than ``MOST_LANGUAGES`` are an error, not cut.
+A row's own vote is taken off the counts of its host and domain before they speak about it.
 
 Only trigrams seen in training tell languages apart. A text whose trigrams, the unseen ones at the floor that all languages share, are too unlikely in
-its best language is in none of them: below what labelled texts that were held out of training reach, or, if these are few, below the uniform
-distribution over buckets. Its ``lang``, ``text_lang`` and ``probability`` are null, and it counts nowhere.
+its best language is in none of them. The level lies between that of the uniform distribution over buckets and what labelled texts that were held out of training
+reach, the nearer to the latter the more of them there are. Its ``lang``, ``text_lang`` and ``probability`` are null, and it counts nowhere.
 
 A row is accepted if the posterior of its best language reaches ``accept`` and its text has letters and is in one of the languages.
 
@@ -40,9 +41,13 @@ from txnflow.session import stage
 
 BUCKETS = 1 << 16
 
-#: Of the sampled texts one in ``HELD_OUT`` is not trained on. From so many texts on they give the level of a language: ``SPREADS`` standard
-#: deviations, and ``MARGIN`` at least, below their mean. ``SHORT``: what a text of one trigram may lie below the level, less by the root of their number.
-HELD_OUT, ENOUGH, SPREADS, MARGIN, SHORT = 8, 20, 6.0, 0.5, 6.0
+#: Broadcast tables stay below 128 MB.
+MOST_LANGUAGES = 512
+
+#: Of the sampled texts one in ``HELD_OUT`` is not trained on, of languages with ``HELD_OUT`` squared or more. They give the level of a language, ``SPREADS`` standard
+#: deviations, and ``MARGIN`` at least, below their mean; ``ENOUGH`` of them weigh as much as the uniform level. ``SHORT``: what a text of one trigram may lie below the
+#: level, less by the root of their number.
+HELD_OUT, ENOUGH, SPREADS, MARGIN, SHORT = 8, 2, 6.0, 0.5, 6.0
 
 EVIDENCE = ("text", "declared", "suffix", "host")
 
@@ -92,17 +97,22 @@ class TextModel:
         return (n > 0) & (low | (hits == 0))
 
 
-def fit_text_model(labelled: DataFrame, train_rows: int = 20_000, max_languages: int = 32, smoothing: float = 0.5) -> TextModel:
-    """Trigram counts by ``lang`` over a sample of the rows (``text``, ``lang``) of about ``train_rows``."""
-    ship_package(labelled.sparkSession)
+def fit_text_model(labelled: DataFrame, language_rows: int = 5_000, smoothing: float = 0.5) -> TextModel:
+    """Trigram counts by ``lang`` over a sample of the rows (``text``, ``lang``), about ``language_rows`` of each language."""
+    spark = labelled.sparkSession
+    ship_package(spark)
     labelled = labelled.select(text_or_empty("text").alias("text"), F.col("lang").cast("string").alias("lang")).where("lang <> ''")
-    per_lang = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    languages = sorted(row["lang"] for row in per_lang)
-    total = sum(row["n"] for row in per_lang)
-    if not total:
+    per_lang = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(per_lang) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} declared languages: map them to codes first")
+    languages = [row["lang"] for row in per_lang]
+    if not languages:
         return TextModel((), np.zeros((BUCKETS, 0)))
-    share = min(1.0, train_rows / total)
-    chosen = labelled.where(F.col("lang").isin(languages) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1))
+    # One row a language.
+    shares = spark.createDataFrame(
+        [(row["lang"], int(min(1.0, language_rows / row["n"]) * (1 << 30)) + 1, row["n"] >= HELD_OUT * HELD_OUT) for row in per_lang],
+        "of_lang string, below bigint, tested boolean")
+    chosen = labelled.join(F.broadcast(shares), F.col("lang") == F.col("of_lang")).where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.col("below"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), BUCKETS), np.int64)
@@ -113,19 +123,23 @@ def fit_text_model(labelled: DataFrame, train_rows: int = 20_000, max_languages:
         lang, bucket = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(counts[lang, bucket])], names=["lang", "bucket", "n"])
 
-    held_out = F.pmod(F.shiftrightunsigned(F.xxhash64("text"), 32), F.lit(HELD_OUT)) == 0
-    rows = chosen.where(~held_out).mapInArrow(count, "lang bigint, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    held_out = F.col("tested") & (F.pmod(F.shiftrightunsigned(F.xxhash64("text"), 32), F.lit(HELD_OUT)) == 0)
+    rows = chosen.where(~held_out).select("text", "lang").mapInArrow(count, "lang bigint, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(languages)))
     # One row a language and bucket at most.
     found = rows.toPandas()
     counts[found["bucket"], found["lang"]] = found["n"]
+    trained = counts.sum(axis=0) > 0
+    languages, counts = [name for name, good in zip(languages, trained, strict=True) if good], counts[:, trained]
+    if not languages:
+        return TextModel((), np.zeros((BUCKETS, 0)))
     known = counts.sum(axis=1) > 0
     # Counts as of equally many trigrams in each language, so that an unseen one is as unlikely in all.
-    most = max(1.0, counts.sum(axis=0).max())
-    shares = (counts * (most / np.maximum(counts.sum(axis=0), 1)) + smoothing) / (most + smoothing * BUCKETS)
+    most = counts.sum(axis=0).max()
+    likely = (counts * (most / counts.sum(axis=0)) + smoothing) / (most + smoothing * BUCKETS)
     floor = float(np.log(smoothing / (most + smoothing * BUCKETS)))
-    model = TextModel(tuple(languages), np.log(shares), known, floor, np.full(len(languages), -np.log(BUCKETS)))
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    model = TextModel(tuple(languages), np.log(likely).astype(np.float32), known, floor, np.full(len(languages), -np.log(BUCKETS)))
+    shared = spark.sparkContext.broadcast(model)
 
     def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
@@ -134,17 +148,22 @@ def fit_text_model(labelled: DataFrame, train_rows: int = 20_000, max_languages:
             value = whole[np.arange(len(n)), lang]
             yield pa.RecordBatch.from_arrays([pa.array(lang[n > 0]), pa.array(value[n > 0])], names=["lang", "value"])
 
-    level = chosen.where(held_out).mapInArrow(reached, "lang bigint, value double").groupBy("lang").agg(
+    level = chosen.where(held_out & F.col("lang").isin(languages)).select("text", "lang").mapInArrow(reached, "lang bigint, value double").groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("spread")).collect()
     for row in level:
-        if row["n"] >= ENOUGH:
-            model.least[row["lang"]] = row["mean"] - max(MARGIN, SPREADS * row["spread"])
+        reach, weight = row["mean"] - max(MARGIN, SPREADS * row["spread"]), row["n"] / (row["n"] + ENOUGH)
+        model.least[row["lang"]] += weight * (reach - model.least[row["lang"]])
     return model
 
 
+#: Addresses that are registered below a country's own general suffix.
+COUNTRY_SUFFIX = r"\.(ac|co|com|edu|gob|gov|ne|net|or|org)\.[a-z]{2}$"
+
+
 def domain_of(host: str | Column) -> Column:
-    """The last two labels of a host; a host of one label is its own domain."""
-    return F.substring_index(F.col(host) if isinstance(host, str) else host, ".", -2)
+    """The last two labels of a host, or three if these are like ``co.uk``; a host of one label is its own domain."""
+    host = F.col(host) if isinstance(host, str) else host
+    return F.when(host.rlike(COUNTRY_SUFFIX), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
 def _logs(counts: Column, total: Column, languages: int, strength: float, prior: Column | None = None) -> Column:
@@ -164,6 +183,8 @@ def identify(rows: DataFrame, keys: Sequence[str], model: TextModel, text_weight
     spark = rows.sparkSession
     ship_package(spark)
     names, n_langs = model.languages, len(model.languages)
+    if clash := {k.lower() for k in keys} & {*EVIDENCE, "text_log", "text_best", "trigrams", "in_none", "domain", "n"}:
+        raise ValueError(f"keys must have other names: {sorted(clash)}")
     keep = [*keys, "declared", "suffix", "host"]
     plain = rows.select(*keys, *[F.nullif(F.lower(F.col(c).cast("string")), F.lit("")).alias(c) for c in keep[len(keys):]],
                         text_or_empty("text").alias("text"))
@@ -195,7 +216,6 @@ def identify(rows: DataFrame, keys: Sequence[str], model: TextModel, text_weight
     def counts(*by: str) -> DataFrame:
         return said.where(" AND ".join(f"{c} IS NOT NULL" for c in by)).groupBy(*by).agg(*by_lang).select(*by, as_array.alias("n"))
 
-    total = F.aggregate("n", F.lit(0.0), lambda a, x: a + x)
     whole = said.agg(*by_lang).collect()[0]
     everywhere = F.lit([float(np.log((whole[i] + 1 / n_langs) / (sum(whole) + 1))) for i in range(n_langs)])
     in_lang = F.lit([float(np.log(x + 1.0)) for x in whole])
@@ -203,8 +223,7 @@ def identify(rows: DataFrame, keys: Sequence[str], model: TextModel, text_weight
     # Host within domain within corpus: two grouped aggregations and a join between their results.
     hosts = stage(counts("host"), "hosts").withColumn("domain", domain_of("host"))
     domains = hosts.groupBy("domain").agg(*[F.sum(F.element_at("n", i + 1)).alias(f"n{i}") for i in range(n_langs)]).select("domain", as_array.alias("n"))
-    domains = domains.select(F.col("domain"), _logs(F.col("n"), total, n_langs, host_strength, everywhere).alias("domain_log"))
-    hosts = hosts.join(domains, "domain").select("host", _logs(F.col("n"), total, n_langs, host_strength, F.col("domain_log")).alias("host_log"))
+    hosts = hosts.join(domains.withColumnRenamed("n", "domain_n"), "domain").select("host", F.col("n").alias("host_n"), "domain_n")
 
     # P(value | l) for declarations and suffixes: the share of the rows of l that carry the value.
     def channel(name: str) -> DataFrame:
@@ -216,6 +235,12 @@ def identify(rows: DataFrame, keys: Sequence[str], model: TextModel, text_weight
         # Null keys match nothing; a key that many rows share is split by adaptive execution.
         fused = fused.join(table, name, "left")
     nothing = F.lit([0.0] * n_langs)
+    # Without the row's own vote.
+    vote = F.transform(F.lit(list(range(n_langs))), lambda i: F.when(~F.col("in_none") & (F.col("trigrams") > 0) & (i == F.col("text_best")), 1.0).otherwise(0.0))
+    for name in ("host_n", "domain_n"):
+        fused = fused.withColumn(name, F.zip_with(name, vote, lambda n, own: n - own))
+    fused = fused.withColumn("domain_log", _logs(F.col("domain_n"), F.aggregate("domain_n", F.lit(0.0), lambda a, x: a + x), n_langs, host_strength, everywhere))
+    fused = fused.withColumn("host_log", _logs(F.col("host_n"), F.aggregate("host_n", F.lit(0.0), lambda a, x: a + x), n_langs, host_strength, F.col("domain_log")))
     parts = F.arrays_zip(
         F.col("text_log").alias("t"), F.coalesce("host_log", everywhere).alias("h"),
         F.coalesce("declared_log", nothing).alias("d"), F.coalesce("suffix_log", nothing).alias("s"))

@@ -11,8 +11,7 @@ if it came last). The closest part of the block by footrule is reranked by the c
   block and one group of queries, so its memory is bounded, and the best of a block are merged with a limit a query.
 * Pivots are ``pivots`` classes, those with the smallest hash of their id: a bounded sample. Every row is indexed.
 
-Recall against brute force depends on ``share``, the part of each block that is reranked; blocks of up to ``least`` rows
-are reranked whole. See the README for measured recall.
+Recall against brute force depends on ``share``, the part of each block that is reranked, alike at every size. See the README for measured recall.
 
 Defined results: ids or vectors that are null, vectors that are zero, hold null or non-finite components or are not of
 the most frequent length take no part; equal scores go to the smaller id; rows that repeat id and vector count once;
@@ -97,12 +96,11 @@ class InvertedFiles:
 TOGETHER = 64
 
 
-def search_block(block: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, prefix: int, share: float, least: int,
-                 k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search_block(block: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, prefix: int, share: float, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows of the block, scores) of the ``k`` best rows found for each query."""
     rows, asked = np.stack(block["vec"].to_numpy()), np.stack(queries["query_vec"].to_numpy())
     files, cosines = InvertedFiles(orders(unit(rows), pivots, prefix), len(pivots)), Cosines(rows)
-    keep = min(len(rows), max(least, int(np.ceil(share * len(rows)))))
+    keep = min(len(rows), max(k, int(np.ceil(share * len(rows)))))
     ids = block["class_id"].to_numpy()
     ranked = orders(unit(asked), pivots, prefix)
     for begin in range(0, len(asked), TOGETHER):
@@ -119,8 +117,8 @@ def search_block(block: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray,
 
 
 def permutation_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id",
-                           vector_column: str = "embedding", pivots: int = 128, prefix: int = 128, share: float = 0.35,
-                           least: int = 512, block_rows: int = 2048, query_rows: int = 1024) -> DataFrame:
+                           vector_column: str = "embedding", pivots: int = 128, prefix: int = 128, share: float = 0.2,
+                           block_rows: int = 2048, query_rows: int = 1024) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest other rows found for the rows where ``is_query`` holds.
 
     ``is_query`` is an expression over ``id``.
@@ -157,7 +155,7 @@ def permutation_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_
     def run(block: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(block) and len(part):
-            found = search_block(block, part, nearest_to.value, prefix, share, least, k + 1)
+            found = search_block(block, part, nearest_to.value, prefix, share, k + 1)
             for query, (at, score) in zip(part["query_class"], found, strict=True):
                 out.append(pd.DataFrame({"query_class": query, "class_id": block["class_id"].to_numpy()[at],
                                          "ids": block["ids"].to_numpy()[at], "score": score}))

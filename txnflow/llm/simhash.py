@@ -9,23 +9,15 @@ share a key are joined by equality and their distance is verified. Every link is
 * A key with more than ``crowded`` fingerprints is cut again by the same rule: its members differ in the other half only and
   in the wildcard, so the other half is cut into two quarters, each again under 16 one-wildcard keys.
 
-``near_duplicates`` applies the contract of the fingerprint: word triples, links at three bits. ``near_groups`` finds documents whose
-five-word shingles are similar to 0.8 or more, and is exact: of two such sets, in any fixed order of all shingles, the first
-``n - ceil(0.8 n) + 1`` of each (its prefix) have a shingle in common. Sets that share a prefix shingle are candidates, by an equality
-join, and the Jaccard similarity of the whole sets decides. Only 64-bit hashes stand for the shingles.
-
-* Equal sets are one class from the start. Shingles that are common in a sample come last in the order, so that few prefixes hold
-  them; the sample bears on cost alone, since any order finds all pairs.
-* The members of a prefix shingle are first compared with the least and the greatest of them. Then all pairs of members that
-  are not yet in one component are compared too, so no pair depends on a leader.
+``near_duplicates`` labels documents, ``keep_one`` keeps one of each group.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; texts are read whole; rows that repeat
-id and text are one document; null ids rank last; an empty table gives an empty result.
+id and text are one document; null ids rank last, and of rows with equal ids the one whose text hash is least comes first; an empty table gives an
+empty result; other columns are carried along whatever their names.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,15 +28,12 @@ from pyspark.sql import functions as F
 
 from txnflow.llm.common import ship_package, slices, text_or_empty
 from txnflow.llm.components import components
-from txnflow.session import stage
+from txnflow.session import stage, temporary_stages
 
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 LOW_HALF = 0xFFFFFFFF
 LARGEST = (1 << 63) - 1
 
-#: Texts, at most about, in which common shingles are counted, and how many hold a common one; the order of shingles has so many of them last.
-SAMPLE_TEXTS, COMMON_IN, MOST_COMMON = 30_000, 4, 500_000
-
 
 def words_of(text: str) -> list[bytes]:
     """Words between ASCII white space, A-Z in lower case."""
@@ -88,19 +77,19 @@ def majority(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint of the ``words``-word shingles of every text."""
+def fingerprints(docs: DataFrame, words: int, id_column: str = "doc_id", text_column: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, fp`` and the whole numbers ``keep``: the fingerprint of the ``words``-word shingles of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             items = [hashes(shingles(words_of(text), words)) for text in batch.column(1).to_pylist()]
             counts = np.fromiter(map(len, items), np.int64, len(items))
             prints = majority(np.concatenate(items), counts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64)), *batch.columns[2:]], names=["doc_id", "fp", *keep])
 
     ship_package(docs.sparkSession)
-    docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    return docs.mapInArrow(run, "doc_id bigint, fp bigint")
+    docs = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text_or_empty(text_column).alias("text"), *keep)
+    return docs.mapInArrow(run, ", ".join(f"{c} bigint" for c in ("doc_id", "fp", *keep)))
 
 
 def _bits(value: Column) -> Column:
@@ -170,135 +159,23 @@ def near_duplicates(docs: DataFrame, words: int = 3, bits: int = 3, id_column: s
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """Hashes of the distinct shingles of a text, in ascending order."""
-    return np.unique(hashes(shingles(words_of(text), words)))
-
-
-def prefix_size(n: int, similarity: float) -> int:
-    """So many first shingles of a set of ``n`` meet those of every set that is similar enough."""
-    return n - math.ceil(similarity * n - 1e-9) + 1 if n else 0
-
-
-def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """``id, hash, text``: what names a document, null ids last, and its text."""
+def keep_one(docs: DataFrame, words: int = 3, bits: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` but those whose group of linked fingerprints has a document that ranks before: all columns as they are."""
+    spark = docs.sparkSession
     text = text_or_empty(text_column)
-    return docs.select(F.coalesce(F.col(id_column).cast("bigint"), F.lit(LARGEST)).alias("id"), F.xxhash64(text).alias("hash"), text.alias("text"))
-
-
-def _common(docs: DataFrame, words: int) -> np.ndarray:
-    """Sorted hashes of shingles that several texts of a sample hold: at most ``MOST_COMMON``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
-            sets = [shingle_set(text, words) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["key"])
-
-    share = min(1.0, SAMPLE_TEXTS / max(1, docs.count()))
-    chosen = docs.where(F.pmod("hash", F.lit(1 << 30)) <= int(share * (1 << 30))).select("text")
-    often = chosen.mapInArrow(run, "key bigint").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= COMMON_IN)
-    keys = often.orderBy(F.desc("n"), "key").limit(MOST_COMMON).select("key").toPandas()["key"]
-    return np.sort(keys.to_numpy(np.int64).view(np.uint64))
-
-
-def prefixes(docs: DataFrame, common: np.ndarray, similarity: float, words: int) -> DataFrame:
-    """``id, hash, s1, s2, n, keys``: digest and size of the shingle set of each text, and its prefix. ``docs`` has ``id, hash, text``."""
-    shared = docs.sparkSession.sparkContext.broadcast(common)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = shared.value
-        for batch in slices(batches, 2):
-            names, sizes, keys = [], [], []
-            for text in batch.column(2).to_pylist():
-                own = shingle_set(text, words)
-                names.append(xxhash.xxh3_128_digest(own.tobytes()))
-                sizes.append(len(own))
-                if len(last):
-                    often = last[np.minimum(np.searchsorted(last, own), len(last) - 1)] == own
-                    own = np.concatenate([own[~often], own[often]])
-                keys.append(own[:prefix_size(len(own), similarity)])
-            halves = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
-            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-            listed = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(halves[:, 0]), pa.array(halves[:, 1]),
-                                              pa.array(sizes, pa.int32()), listed], names=["id", "hash", "s1", "s2", "n", "keys"])
-
-    return docs.mapInArrow(run, "id bigint, hash bigint, s1 bigint, s2 bigint, n int, keys array<bigint>")
-
-
-def similar_pairs(pairs: DataFrame, docs: DataFrame, similarity: float, words: int) -> DataFrame:
-    """``u, v``: the pairs whose shingle sets are similar enough, by the sets themselves."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2):
-            sets = [shingle_set(text, words) for text in batch.column(2).to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64)))],
-                names=["id", "hash", "own"])
-
-    node = F.struct("id", "hash").alias("node")
-    asked = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct().select("node.id", "node.hash")
-    sets = stage(docs.join(asked, ["id", "hash"], "left_semi").select("id", "hash", "text").mapInArrow(run, "id bigint, hash bigint, own array<bigint>")
-                 .select(node, "own").dropDuplicates(["node"]), "shingle-sets")
-    sides = pairs.join(sets.select(F.col("node").alias("u"), F.col("own").alias("u_own")), "u").join(
-        sets.select(F.col("node").alias("v"), F.col("own").alias("v_own")), "v")
-    both = sides.withColumn("both", F.size(F.array_intersect("u_own", "v_own")))
-    return both.where(F.col("both") >= similarity * (F.size("u_own") + F.size("v_own") - F.col("both")) - 1e-9).select("u", "v")
-
-
-def near_groups(docs: DataFrame, similarity: float = 0.8, check_words: int = 5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, text_hash, keep_id, keep_hash`` of all documents that are in a group of more than one."""
-    ship_package(docs.sparkSession)
-    docs = _keyed(docs, id_column, text_column)
-    found = stage(prefixes(docs, _common(docs, check_words), similarity, check_words), "prefixes")
+    key = {"id": F.coalesce(F.col(id_column).cast("bigint"), F.lit(LARGEST)), "hash": F.xxhash64(text)}
     node = F.struct("id", "hash")
-    # Equal sets: one class, of which the first document stands for the others.
-    classes = stage(found.groupBy("s1", "s2").agg(F.min(node).alias("leader"), F.max(node).alias("final")), "set-classes")
-    equal = found.join(classes.where("leader <> final"), ["s1", "s2"]).select(node.alias("u"), F.col("leader").alias("v")).where("u <> v").distinct()
-    own = found.join(classes.select("s1", "s2", "leader"), ["s1", "s2"]).where(node == F.col("leader")).dropDuplicates(["id", "hash"])
-
-    rows = own.select(node.alias("node"), "n", F.posexplode("keys").alias("at", "key"))
-    same_key = Window.partitionBy("key")
-    shared = stage(
-        rows.withColumn("members", F.count(F.lit(1)).over(same_key)).where(F.col("members") > 1)
-        .withColumn("least", F.min(F.struct("node", "n")).over(same_key)).withColumn("most", F.max(F.struct("node", "n")).over(same_key)), "shared-shingles")
-
-    def sizes_fit(a: Column, b: Column) -> Column:
-        return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
-
-    stars = [shared.where(sizes_fit(F.col("n"), F.col(f"{end}.n"))).select(F.least("node", f"{end}.node").alias("u"), F.greatest("node", f"{end}.node").alias("v"))
-             for end in ("least", "most")]
-    first = stage(stars[0].unionByName(stars[1]).where("u <> v").distinct(), "first-pairs")
-    alike = stage(similar_pairs(first, docs, similarity, check_words), "alike")
-    joined = stage(components(alike), "joined")
-
-    # Members in different components so far: all pairs, but those that were compared with an end.
-    members = shared.where((F.col("members") > 3) & (F.col("node") != F.col("least.node")) & (F.col("node") != F.col("most.node"))).select("key", "node", "n", "at")
-    members = members.join(joined, "node", "left").select("key", "node", "n", "at", F.coalesce("root", "node").alias("root"))
-    several = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    members = stage(members.join(several, "key", "left_semi"), "apart")
-    a, b = members.alias("a"), members.alias("b")
-    # Behind the first shingle they share lie enough others; pairs are met under that one at least.
-    needed = similarity / (1 + similarity) * (F.col("a.n") + F.col("b.n")) - 1e-9
-    reach = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
-    rest = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root"))
-                  & sizes_fit(F.col("a.n"), F.col("b.n")) & (reach >= needed)).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
-    rest = stage(rest.join(first, ["u", "v"], "left_anti"), "other-pairs")
-    linked = alike.unionByName(equal)
-    if not rest.isEmpty():
-        linked = linked.unionByName(similar_pairs(rest, docs, similarity, check_words))
-    restored = lambda c: F.when(F.col(f"{c}.id") < LARGEST, F.col(f"{c}.id"))
-    return components(linked).select(restored("node").alias("doc_id"), F.col("node.hash").alias("text_hash"),
-                                     restored("root").alias("keep_id"), F.col("root.hash").alias("keep_hash"))
-
-
-def keep_one(docs: DataFrame, similarity: float = 0.8, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` but those whose group has a document that ranks before: all columns as they are."""
-    groups = near_groups(docs, similarity, id_column=id_column, text_column=text_column)
-    dropped = stage(groups.where(~(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_hash") == F.col("keep_hash"))))
-                    .select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")), "near-copies")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_column).cast("bigint").alias("id"),
-                       F.xxhash64(text_or_empty(text_column)).alias("hash"))
-    gone = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
-    return rows.join(dropped, gone, "left_anti").select("row.*")
+    with temporary_stages(spark) as scope:
+        found = stage(fingerprints(docs.select(*[c.alias(n) for n, c in key.items()], text.alias("text")), words, "id", "text", keep=("hash",))
+                      .withColumnRenamed("doc_id", "id"), "prints")
+        classes = stage(found.groupBy("fp").agg(F.min(node).alias("least")), "print-classes")
+        linked = links(classes.select(F.lit(0).alias("view"), "fp"), bits).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        joined = stage(components(linked).withColumnRenamed("node", "fp").join(classes, "fp"), "joined")
+        whole = joined.groupBy("root").agg(F.min("least").alias("keep"))
+        named = joined.join(whole, "root").select("fp", "keep")
+        labelled = classes.join(named, "fp", "left").select(F.col("fp").alias("class_fp"), F.coalesce("keep", "least").alias("keep"))
+        gone = found.join(labelled, F.col("fp") == F.col("class_fp")).where(node != F.col("keep")).select(
+            F.col("id").alias("gone_id"), F.col("hash").alias("gone_hash"))
+        dropped = scope.result(gone, "near-copies")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in key.items()])
+    return rows.join(dropped, (F.col("id") == F.col("gone_id")) & (F.col("hash") == F.col("gone_hash")), "left_anti").select("row.*")

@@ -30,8 +30,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                         *[column.alias(name) for name, column in document_evidence().items()])
     found = identify(keyed, ("key_id", "key_hash"), fit_text_model(docs))
     rejected = stage(found.where("NOT accepted").select("key_id", "key_hash").distinct(), "rejected")
-    same = F.col("doc_id").eqNullSafe(F.col("key_id")) & (looked_at == F.col("key_hash"))
-    return docs.join(rejected, same, "left_anti")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), looked_at.alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("key_id")) & (F.col("hash") == F.col("key_hash"))
+    return rows.join(rejected, same, "left_anti").select("row.*")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,16 +41,19 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose five-word shingles are similar to 0.8 or more, directly or by way of others, one stays."""
-    return keep_one(docs, similarity=0.8)
+    """Of documents whose fingerprints of word triples are linked at three bits, directly or by way of others, the one with the smallest id stays."""
+    return keep_one(docs, words=3, bits=3)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated passages are cut from the texts; ``n_chars`` follows. Documents stay, empty ones too."""
-    cut = remove_repeats(docs)
+    spans = "removed_spans"
+    while spans in {c.lower() for c in docs.columns}:
+        spans += "_"
+    cut = remove_repeats(docs, removed_column=spans)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        cut = cut.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

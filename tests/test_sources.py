@@ -10,7 +10,7 @@ from txnflow.schema import RAW, RECORD
 from txnflow.sources.catalog import (
     batch_gaps, batch_status, catalog_summary, list_batches, parse_batch_names, read_manifest,
 )
-from txnflow.sources.files import existing_paths, read_named_batches, read_raw, read_record_files
+from txnflow.sources.files import existing_paths, read_batches, read_raw, read_record_files
 from txnflow.sources.messages import (
     decode_messages, encode_messages, kafka_sink_options, kafka_source_options, to_record, write_kafka,
 )
@@ -135,7 +135,7 @@ def test_named_batches(spark, tmp_path):
         (tmp_path / f"batch_{i}_20250529_142137.csv").write_text(
             f"{header}\n{i},s,d,1.0,2009-12-01T07:45:00,2.0,9,UK,2.0,12,1,7,low,0,2025-05-29T14:21:37\n"
         )
-    rows = read_named_batches(spark, str(tmp_path / "batch_*.csv")).orderBy("batch_id").collect()
+    rows = read_batches(spark, str(tmp_path)).orderBy("batch_id").collect()
     assert [(r.batch_id, r.invoice, r.total_amount) for r in rows] == [(0, "0", 2.0), (10, "10", 2.0)]
 
 

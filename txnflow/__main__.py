@@ -19,6 +19,7 @@ from txnflow.sources.messages import (
     read_kafka, read_message_files, to_record, write_kafka, write_message_files,
 )
 from txnflow.sources.registry import VERSIONS
+from txnflow.streaming.cutting import cut_batches, drain_batches
 from txnflow.streaming.ingest import save_batches
 
 SCHEMES = {"linear": LINEAR, "forest": FOREST, "logistic": LOGISTIC}
@@ -36,7 +37,15 @@ def _ingest(spark: SparkSession, args: argparse.Namespace, settings: Settings) -
     source = read_message_files(spark, args.topic_dir) if args.topic_dir else read_kafka(spark, settings)
 
     def train(session: SparkSession, batch_id: int) -> None:
-        retrain(session, args.batch_dir, args.model_dir, batch_id, settings)
+        retrain(session, args.batch_dir, args.model_dir, batch_id, settings, ledger=args.ledger_dir)
+
+    if args.state_dir:
+        on_batch = train if args.model_dir and not args.drain else None
+        if args.drain:
+            drain_batches(source.select(*RECORD.names), args.batch_dir, args.checkpoint_dir, args.state_dir, settings)
+        else:
+            cut_batches(source.select(*RECORD.names), args.batch_dir, args.checkpoint_dir, args.state_dir, False, settings, on_batch).awaitTermination()
+        return
 
     save_batches(
         source.select(*RECORD.names), args.batch_dir, args.checkpoint_dir, train if args.model_dir else None,
@@ -46,7 +55,8 @@ def _ingest(spark: SparkSession, args: argparse.Namespace, settings: Settings) -
 
 def _train(spark: SparkSession, args: argparse.Namespace, settings: Settings) -> None:
     schemes = [SCHEMES[name] for name in args.models]
-    results_frame(spark, retrain(spark, args.batch_dir, args.model_dir, None, settings, schemes)).show(truncate=False)
+    results = retrain(spark, args.batch_dir, args.model_dir, None, settings, schemes, args.ledger_dir, args.minimal, not args.single_batches)
+    results_frame(spark, results).show(truncate=False)
 
 
 def _score(spark: SparkSession, args: argparse.Namespace, settings: Settings) -> None:
@@ -76,8 +86,13 @@ def parser() -> argparse.ArgumentParser:
     ingest.add_argument("--model-dir")
     ingest.add_argument("--every", type=int, default=1)
     ingest.add_argument("--drain", action="store_true")
+    ingest.add_argument("--state-dir", help="cut batches of a fixed number of rows; what is left over is kept here")
+    ingest.add_argument("--ledger-dir", help="keep what retraining needs of each batch here")
     train = job("train", _train, "train models on the saved batches", "batch_dir", "model_dir")
     train.add_argument("--models", nargs="+", choices=list(SCHEMES), default=list(SCHEMES))
+    train.add_argument("--ledger-dir")
+    train.add_argument("--minimal", action="store_true", help="one forest, on the first batch alone")
+    train.add_argument("--single-batches", action="store_true", help="a logistic model on each of the first batches alone")
     train.add_argument("--window-minutes", type=int, default=DEFAULTS.window_minutes)
     answer = job("score", _score, "answer JSON requests, one per line", "requests", "out")
     answer.add_argument("--family", choices=list(REQUIRED), required=True)

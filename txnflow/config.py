@@ -37,7 +37,7 @@ class Settings:
     window_minutes: int = 5
     # Rows that the minimal training mode fits on, about; a bound on the sample of a fit only.
     max_fit_rows: int = 1_000_000
-    # Messages that one trigger takes at most; batches of ``batch_size`` are cut from them.
+    # Messages that one trigger takes at most; ``cut_batches`` cuts batches of ``batch_size`` from them.
     max_trigger_rows: int = 1_000_000
     train_fraction: float = 0.8
     seed: int = 42

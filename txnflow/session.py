@@ -83,6 +83,16 @@ def _delete(spark: SparkSession, paths: list[str]) -> int:
     return dropped
 
 
+def delete_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete files or folders, those that exist, through Spark's own file systems; how many there were."""
+    return _delete(spark, paths)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    candidate = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return candidate.getFileSystem(spark._jsc.hadoopConfiguration()).exists(candidate)
+
+
 def drop_staged(spark: SparkSession) -> int:
     """Delete the tables this process staged; call it when their readers are done."""
     return _delete(spark, list(_staged))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from txnflow.functions.times import FILE_STAMP
-from txnflow.sources.files import BATCH_ID_IN_PATH
+from txnflow.sources.files import batch_files
 from txnflow.sources.registry import MODEL_NAMES
 
 BATCH_NAME = r"batch_(\d+)_(\d{8}_\d{6})\.csv"
@@ -39,12 +39,7 @@ def list_batches(spark: SparkSession, root: str) -> DataFrame:
 
     Only file status is used: the ``content`` column is pruned, so no file is opened.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-        .select("path", "modificationTime", "length")
-        .withColumn("batch_id", F.regexp_extract("path", BATCH_ID_IN_PATH, 1).try_cast("bigint"))
-        .where(F.col("batch_id").isNotNull())
-    )
+    files = batch_files(spark, root)
     named = F.try_to_timestamp(F.nullif(F.regexp_extract("path", BATCH_NAME, 2), F.lit("")), F.lit(FILE_STAMP))
     saved = F.coalesce(named, F.col("modificationTime")).cast("timestamp_ntz")
     return (

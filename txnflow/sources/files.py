@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +20,14 @@ log = logging.getLogger(__name__)
 # readers and writers of this package share these options.
 CSV = {"header": "true", "quote": '"', "escape": '"'}
 
-BATCH_ID_IN_PATH = r"(?:batch_id=|/batch_)(\d+)(?:/|_)"
+#: Both layouts of saved batches, a folder ``batch_id=<n>`` or a file (or folder of parts) ``batch_<n>_<time>.csv``, at the end of a path only.
+BATCH_PATHS = (r"/batch_id=(\d+)/[^/]+$", r"[/=]batch_(\d+)_\d{8}_\d{6}\.csv(?:/[^/]+)?$")
+
+
+def batch_id_of(path: str | Column) -> Column:
+    """The batch a file belongs to, by its path; null for other files."""
+    found = [F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")) for pattern in BATCH_PATHS]
+    return F.coalesce(*found).try_cast("bigint")
 
 
 def _text_schema(names: Iterable[str]) -> T.StructType:
@@ -82,67 +90,86 @@ def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return found
 
 
-def read_record_files(spark: SparkSession, paths: Iterable[str],
-                      schema: T.StructType = RECORD) -> DataFrame | None:
+def first_lines(spark: SparkSession, paths: Iterable[str], encoding: str = "UTF-8") -> dict[str, str]:
+    """The first line of each file, or of the first part of each folder, read by the driver alone: no job for a few bytes."""
+    jvm, configuration, lines = spark._jvm, spark._jsc.hadoopConfiguration(), {}
+    for path in paths:
+        file = jvm.org.apache.hadoop.fs.Path(path)
+        system = file.getFileSystem(configuration)
+        if system.getFileStatus(file).isDirectory():
+            parts = sorted(p.getPath().toString() for p in system.listStatus(file)
+                           if p.isFile() and p.getLen() and not p.getPath().getName().startswith(("_", ".")))
+            if not parts:
+                continue
+            file = jvm.org.apache.hadoop.fs.Path(parts[0])
+        stream = system.open(file)
+        try:
+            lines[path] = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding)).readLine() or ""
+        finally:
+            stream.close()
+    return lines
+
+
+def read_record_files(spark: SparkSession, paths: Iterable[str], schema: T.StructType = RECORD, multi_line: bool = True,
+                      number: str | None = None) -> DataFrame | None:
     """Saved record files as one table of ``schema``; None when no path exists.
 
     Files that share a header are read in one scan. Each distinct header is a scan
-    of its own, joined by name after conformance, so column order never matters.
+    of its own, joined by name after conformance, so column order never matters. Headers are read without a job.
+    ``number`` names a column that tells which of ``paths``, from 1 on, a row is from. ``multi_line=False``
+    lets a large file be read in parts.
     """
+    paths = list(paths)
     found = existing_paths(spark, paths)
-    if not found:
-        return None
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in found:
-        by_header.setdefault(tuple(_header(spark, [path], "UTF-8").names), []).append(path)
-    tables = [
-        conform(
-            spark.read.schema(_text_schema(names))
-            .options(**CSV)
-            .option("multiLine", True)
-            .option("enforceSchema", False)
-            .option("ignoreMissingFiles", True)
-            .csv(group),
-            schema,
-        )
-        for names, group in by_header.items()
-    ]
+    for path, line in first_lines(spark, found).items():
+        by_header.setdefault(tuple(next(csv.reader([line.removeprefix("\ufeff")]), [])), []).append(path)
+    tables = []
+    for names, group in by_header.items():
+        # With a number wanted, each path is a scan of its own: the files are listed by name, so they are few.
+        for part in [[path] for path in group] if number else [group]:
+            text = (
+                spark.read.schema(_text_schema(names)).options(**CSV).option("multiLine", multi_line)
+                .option("enforceSchema", False).option("ignoreMissingFiles", True).csv(part)
+            )
+            tables.append(conform(text, schema, keep=[F.lit(paths.index(part[0]) + 1).alias(number)] if number else ()))
+    if not tables:
+        return None
     combined = tables[0]
     for table in tables[1:]:
         combined = combined.unionByName(table)
     return combined
 
 
-def read_batches(spark: SparkSession, root: str, fmt: str = "csv",
-                 schema: T.StructType = RECORD) -> DataFrame:
-    """All saved batches under ``root`` with their ``batch_id``.
+def batch_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path, batch_id, modificationTime, length`` of the files of all saved batches, either layout. No file is opened."""
+    listed = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        .select("path", "modificationTime", "length").withColumn("batch_id", batch_id_of("path"))
+    )
+    return listed.where(F.col("batch_id").isNotNull())
+
+
+def read_batches(spark: SparkSession, root: str, fmt: str = "csv", schema: T.StructType = RECORD, ids: Sequence[int] | None = None,
+                 multi_line: bool = True) -> DataFrame:
+    """Saved batches under ``root`` with their ``batch_id``: all, or those of ``ids``, whose files alone are opened.
 
-    Batches written as ``batch_id=<n>/`` folders give a partition column, so a
-    filter on it prunes folders before anything is read.
+    Batches are folders ``batch_id=<n>/`` or, as CSV, single files ``batch_<n>_<time>.csv``; both may lie side by side.
+    ``multi_line=False`` lets a large file be read in parts.
     """
-    if fmt == "csv":
-        text = (
-            spark.read.schema(_text_schema(schema.names))
-            .options(**CSV)
-            .option("multiLine", True)
-            .option("enforceSchema", False)
-            .option("ignoreMissingFiles", True)
-            .csv(root)
-        )
-        return conform(text, schema, keep=[F.col("batch_id").try_cast("bigint").alias("batch_id")])
-    stored = spark.read.option("ignoreMissingFiles", True).format(fmt).load(root)
-    return conform(stored, schema, keep=[F.col("batch_id").try_cast("bigint").alias("batch_id")])
-
-
-def read_named_batches(spark: SparkSession, pattern: str,
-                       schema: T.StructType = RECORD) -> DataFrame:
-    """Single-file batches named ``batch_<id>_<time>.csv``, id taken from the name."""
+    if fmt != "csv":
+        stored = spark.read.option("ignoreMissingFiles", True).format(fmt).load(root)
+        saved = conform(stored, schema, keep=[F.col("batch_id").try_cast("bigint").alias("batch_id")])
+        return saved if ids is None else saved.where(F.col("batch_id").isin(list(ids)))
+    paths = [root]
+    if ids is not None:
+        paths = [r.path for r in batch_files(spark, root).where(F.col("batch_id").isin(list(ids))).select("path").collect()]
+        if not paths:
+            return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
+    # The id comes from the path of the file, so folders give no partition column.
     text = (
-        spark.read.schema(_text_schema(schema.names))
-        .options(**CSV)
-        .option("multiLine", True)
-        .option("enforceSchema", False)
-        .csv(pattern)
-        .withColumn("batch_id", F.regexp_extract("_metadata.file_path", BATCH_ID_IN_PATH, 1).try_cast("bigint"))
+        spark.read.schema(_text_schema(schema.names)).options(**CSV).option("recursiveFileLookup", True)
+        .option("multiLine", multi_line).option("enforceSchema", False).option("ignoreMissingFiles", True).csv(paths)
+        .withColumn("batch_id", batch_id_of("_metadata.file_path"))
     )
-    return conform(text, schema, keep=["batch_id"])
+    return conform(text.where(F.col("batch_id").isNotNull()), schema, keep=["batch_id"])

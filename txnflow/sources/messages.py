@@ -34,13 +34,13 @@ def to_record(clean: DataFrame, published_at: Column | None = None,
     return clean.select(*fields, *keep)
 
 
-def to_wire(records: DataFrame) -> DataFrame:
+def to_wire(records: DataFrame, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Records with both times as ISO text, as JSON and CSV carry them."""
     return records.select(*[
         iso_text(F.col(f.name), micros=f.name == "timestamp").alias(f.name)
         if f.name in ("invoice_date", "timestamp") else F.col(f.name)
         for f in RECORD.fields
-    ])
+    ], *keep)
 
 
 def encode_messages(records: DataFrame) -> DataFrame:
@@ -97,7 +97,8 @@ def kafka_source_options(settings: Settings = DEFAULTS) -> dict[str, str]:
     """Options for ``readStream.format("kafka")`` with the count-or-time batch rule.
 
     A trigger waits for ``batch_size`` new messages, or ``batch_seconds`` at most, and takes up to
-    ``max_trigger_rows``, so that a topic that ran ahead can be caught up on.
+    ``max_trigger_rows``, so that a topic that ran ahead can be caught up on; ``cut_batches`` cuts
+    batches of ``batch_size`` from them.
     """
     return {
         "kafka.bootstrap.servers": settings.bootstrap_servers,

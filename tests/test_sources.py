@@ -139,6 +139,36 @@ def test_named_batches(spark, tmp_path):
     assert [(r.batch_id, r.invoice, r.total_amount) for r in rows] == [(0, "0", 2.0), (10, "10", 2.0)]
 
 
+def test_batches_of_both_layouts_by_id(spark, tmp_path):
+    header, row = ",".join(RECORD.names), "{},s,d,1.0,2009-12-01T07:45:00,2.0,9,UK,2.0,12,1,7,low,0,2025-05-29T14:21:37\n"
+    root = tmp_path / "batch_3" / "saved"
+    root.mkdir(parents=True)
+    (root / "batch_7_20250529_142137.csv").write_text(header + "\n" + row.format(7))
+    (root / "batch_id=12").mkdir()
+    (root / "batch_id=12" / "part-0.csv").write_text(header + "\n" + row.format(12))
+    (root / "notes.csv").write_text(header + "\n" + row.format(99))
+    # A file that isn't wanted isn't opened: its header would be an error.
+    (root / "batch_8_20250529_142137.csv").write_text("other\n1\n")
+    assert [(r.batch_id, r.invoice) for r in read_batches(spark, str(root), ids=[7, 12, 40]).orderBy("batch_id").collect()] == [(7, "7"), (12, "12")]
+    assert read_batches(spark, str(root), ids=[40]).collect() == [] and read_batches(spark, str(root), ids=[40]).columns[-1] == "batch_id"
+    assert sorted(r.batch_id for r in list_batches(spark, str(root)).collect()) == [7, 8, 12]
+
+
+def test_many_record_files_and_their_headers(spark, tmp_path):
+    names = list(RECORD.names)
+    for i in range(60):
+        order = names[i % 3:] + names[:i % 3]
+        (tmp_path / f"r{i}.csv").write_text(",".join(order) + "\n" + ",".join(str(i) if n == "invoice" else "" for n in order) + "\n")
+    paths = [str(tmp_path / f"r{i}.csv") for i in range(60)]
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    table = read_record_files(spark, [*paths, str(tmp_path / "none.csv")])
+    # Headers are read without a job, and files with one header are one scan.
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)
+    assert sorted(int(r.invoice) for r in table.collect()) == list(range(60))
+    numbered = read_record_files(spark, [str(tmp_path / "none.csv"), paths[5]], number="fold")
+    assert [(r.invoice, r.fold) for r in numbered.collect()] == [("5", 2)]
+
+
 def test_registry(spark):
     assert registry(spark).count() == 9
     assert model_name("category", 2) == "rf_model_window_2"

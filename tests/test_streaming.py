@@ -1,8 +1,13 @@
+import threading
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from txnflow.config import Settings
+from txnflow.config import FOREST, LOGISTIC, Settings
+from txnflow.operators.label import high_value_customers
 from txnflow.plans.training import TRAINED, retrain
+from txnflow.session import stage, temporary_stages
 from txnflow.operators.clean import clean
 from txnflow.operators.score import score
 from txnflow.operators.sets import distinct_rows
@@ -10,7 +15,10 @@ from txnflow.schema import RAW, RECORD
 from txnflow.sources.catalog import list_batches
 from txnflow.sources.files import read_batches, read_raw, read_raw_stream
 from txnflow.sources.messages import read_message_files, to_record, write_message_files
-from txnflow.streaming.ingest import clean_stream, progress, save_batches, write_table
+from txnflow.sources.ledger import record_batches, record_missing, recorded_customers, window_ids
+from txnflow.streaming.cutting import BatchCutter, drain_batches
+from txnflow.streaming.ingest import clean_stream, progress, read_progress, save_batches, write_table
+from txnflow.streaming.windows import window_totals
 
 SECONDS = 60
 
@@ -118,3 +126,140 @@ def test_retrain_after_a_batch(spark, tmp_path):
     ]
     assert all(r.status == TRAINED for r in runs[0][:6])
     assert (tmp_path / "m" / "linear_model_3" / "batch_id=3").is_dir()
+
+
+def wire_rows(spark, n, first=0):
+    rows = spark.range(first, first + n, 1, 2).select(
+        F.col("id").cast("string").alias("invoice"), F.lit(1.0).alias("total_amount"), F.lit("2020-01-01").cast("timestamp_ntz").alias("invoice_date"))
+    return to_record(rows)
+
+
+def sizes(spark, root):
+    return {r.batch_id: r["count"] for r in read_batches(spark, root, "parquet").groupBy("batch_id").count().collect()}
+
+
+def test_cut_batches_by_count_and_time(spark, tmp_path):
+    now, closed = [1000.0], []
+    settings = Settings(batch_format="parquet", batch_size=10, batch_seconds=60)
+    make = lambda: BatchCutter(spark, str(tmp_path / "b"), str(tmp_path / "s"), settings, lambda s, b: closed.append(b), lambda: now[0])
+    make().cut(wire_rows(spark, 25), 0)
+    assert sizes(spark, str(tmp_path / "b")) == {0: 10, 1: 10} and closed == [0, 1]
+    now[0] += 30
+    make().cut(wire_rows(spark, 3, 25), 1)  # neither full nor old enough
+    assert sizes(spark, str(tmp_path / "b")) == {0: 10, 1: 10}
+    now[0] += 30
+    make().cut(wire_rows(spark, 4, 28), 2)  # a minute after the oldest row that waits: 8 + 4 rows
+    assert sizes(spark, str(tmp_path / "b")) == {0: 10, 1: 10, 2: 10, 3: 2}
+    make().cut(wire_rows(spark, 0), 3)
+    make().cut(wire_rows(spark, 7, 32), 4)
+    make().close(4, wire_rows(spark, 0))
+    make().close(4, wire_rows(spark, 0))
+    assert sizes(spark, str(tmp_path / "b")) == {0: 10, 1: 10, 2: 10, 3: 2, 4: 7} and closed == [0, 1, 2, 3, 4]
+    make().cut(wire_rows(spark, 10, 39), 5)
+    saved = read_batches(spark, str(tmp_path / "b"), "parquet")
+    assert sorted(int(r.invoice) for r in saved.collect()) == list(range(49)) and saved.select("batch_id").distinct().count() == 6
+
+
+def test_a_replayed_cut_writes_the_same_batches(spark, tmp_path):
+    settings = Settings(batch_format="parquet", batch_size=10, batch_seconds=10**9)
+    cutter = BatchCutter(spark, str(tmp_path / "b"), str(tmp_path / "s"), settings)
+    cutter.cut(wire_rows(spark, 17), 0)
+    before = cutter._remember
+
+    def fails(*args):
+        raise RuntimeError("lost driver")
+
+    cutter._remember = fails
+    with pytest.raises(RuntimeError, match="lost driver"):
+        cutter.cut(wire_rows(spark, 18, 17), 1)  # the batches are written, the state is not
+    cutter._remember = before
+    cutter.cut(wire_rows(spark, 18, 17), 1)
+    assert sizes(spark, str(tmp_path / "b")) == {0: 10, 1: 10, 2: 10}
+    cutter.close(1, wire_rows(spark, 0))
+    rows = read_batches(spark, str(tmp_path / "b"), "parquet").collect()
+    assert sorted(int(r.invoice) for r in rows) == list(range(35))
+
+
+def test_stream_of_batches_cut_and_closed(spark, tmp_path):
+    settings = Settings(batch_format="parquet", batch_size=50, batch_seconds=10**9)
+    root, checkpoint, state = (str(tmp_path / n) for n in ("b", "cp", "s"))
+    total = clean(raw_rows(spark)).count()
+    stream = records(spark, tmp_path, files_per_trigger=1)
+    assert drain_batches(stream, root, checkpoint, state, settings) == -(-total // 50)
+    assert sorted(sizes(spark, root).values()) == sorted([50] * (total // 50) + [total % 50] * (total % 50 > 0))
+    # Nothing new: nothing is written, and the last batch is not closed again.
+    assert drain_batches(stream, root, checkpoint, state, settings) == -(-total // 50)
+    assert rows_of(read_batches(spark, root, "parquet")) == rows_of(clean(raw_rows(spark)))
+
+
+def test_progress_is_observed_and_empty_batches_leave_nothing(spark, tmp_path):
+    root, seen = str(tmp_path / "b"), str(tmp_path / "seen")
+    stream = records(spark, tmp_path, files_per_trigger=1)
+    assert save_batches(stream, root, str(tmp_path / "cp"), drain=True, progress_path=seen).awaitTermination(SECONDS)
+    rows = read_progress(spark, seen).orderBy("batch_id").collect()
+    expected = clean(raw_rows(spark))
+    assert rows[-1].total_rows == expected.count() == sum(r.rows for r in rows)
+    assert round(sum(r.amount for r in rows), 6) == round(expected.agg(F.sum("total_amount")).first()[0], 6)
+    none = stream.where("invoice = 'none such'")
+    assert save_batches(none, str(tmp_path / "b0"), str(tmp_path / "cp0"), drain=True).awaitTermination(SECONDS)
+    assert list_batches(spark, str(tmp_path)).where("batch_id IS NULL").count() == 0 and not list((tmp_path / "b0").glob("batch_id=*"))
+
+
+def test_salt_of_stream_duplicates_is_in_the_record(spark, tmp_path):
+    stream = records(spark, tmp_path)
+    once = distinct_rows(stream, ignoring=["timestamp"], watermark="1 day", salts=4)
+    plan = once._jdf.queryExecution().analyzed().toString()
+    assert "xxhash64(timestamp" in plan and "SPARK_PARTITION_ID" not in plan.upper()
+
+
+def test_window_totals_on_a_batch(spark):
+    rows = spark.createDataFrame([("2020-01-01 00:01:00", 1.0), ("2020-01-01 00:04:59", 2.0), ("2020-01-01 00:05:00", 4.0)], "at string, v double")
+    found = window_totals(rows.withColumn("at", F.col("at").cast("timestamp_ntz")), "at", "v", "1 hour", 5).orderBy("window_start").collect()
+    assert [(r.rows, r.amount) for r in found] == [(2, 3.0), (1, 4.0)]
+
+
+def test_retrain_by_ledger_opens_only_what_it_needs(spark, tmp_path):
+    root, ledger = str(tmp_path / "b"), str(tmp_path / "l")
+    settings = Settings(batch_format="parquet", window_minutes=1)
+    base = to_record(clean(raw_rows(spark, 600)), published_at=F.timestamp_seconds(F.lit(1_700_000_000) + F.regexp_extract("invoice", r"\d+", 0).cast("int")))
+    saved = base.withColumn("batch_id", F.expr("CAST(regexp_extract(invoice, '[0-9]+', 0) AS BIGINT) div 60"))
+    again = saved.where("batch_id = 4").withColumn("batch_id", F.lit(5).cast("bigint"))
+    saved.unionByName(again).write.partitionBy("batch_id").parquet(root)
+    record_batches(spark, root, ledger, [0, 1, 2, 3], settings)
+    assert record_missing(spark, root, ledger, settings) == [4, 5, 6, 7, 8, 9] and record_missing(spark, root, ledger, settings) == []
+    record_batches(spark, root, ledger, [4, 5], settings)  # once more changes nothing
+    whole = {r.customer_id: (round(r.spend, 4), r.lines, r.high_value_customer) for r in high_value_customers(base).collect()}
+    assert {r.customer_id: (round(r.spend, 4), r.lines, r.high_value_customer) for r in recorded_customers(spark, ledger).collect()} == whole
+    assert window_ids(spark, ledger, 3 * settings.window_minutes) == [0, 1, 2, 3]
+    # Saved batches that are not wanted may even be gone.
+    for number in range(5, 10):
+        for file in (tmp_path / "b" / f"batch_id={number}").iterdir():
+            file.unlink()
+    results = retrain(spark, root, str(tmp_path / "m"), 9, settings, [FOREST, LOGISTIC], ledger)
+    assert [r.name for r in results][:3] == [f"rf_model_window_{k}" for k in (1, 2, 3)] and results[0].status == TRAINED
+    assert results[2].train_rows + results[2].test_rows == base.where("timestamp <= timestamp_seconds(1700000001 + 180)").count()
+    one = retrain(spark, root, str(tmp_path / "m"), None, settings, [FOREST], ledger, minimal=True)
+    assert [r.train_rows + r.test_rows for r in one] == [saved.where("batch_id = 0").count()]
+
+
+def test_jobs_side_by_side_keep_their_stages(spark):
+    outer = []
+
+    def job():
+        with temporary_stages(spark):
+            outer.append(stage(spark.range(3), "theirs"))
+            done.wait(60)
+            outer.append(outer[0].count())
+
+    done, started = threading.Event(), threading.Thread(target=job)
+    with temporary_stages(spark) as scope:
+        started.start()
+        while not outer:
+            time.sleep(0.05)
+        mine, kept = stage(spark.range(2), "mine"), scope.result(spark.range(4), "kept")
+        assert mine.count() == 2
+        scope.release("mine")
+        assert not [p for p in scope.paths if "mine" in p]
+    done.set()
+    started.join(60)
+    assert outer[1] == 3 and kept.count() == 4

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
@@ -62,6 +63,14 @@ def pipeline_for(scheme: TrainingScheme, features: Sequence[str], seed: int = DE
     ])
 
 
+def without_summaries(model: PipelineModel) -> PipelineModel:
+    """The model without the training summaries of its stages: they hold the session, which can't be sent to tasks once it has observed metrics."""
+    for fitted in model.stages:
+        if getattr(fitted, "hasSummary", False):
+            fitted._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def evaluate(scheme: TrainingScheme, predictions: DataFrame) -> dict[str, float | None]:
     """RMSE and R2, accuracy and F1, or area under ROC, by family."""
     if scheme.family == LINEAR.family:
@@ -118,7 +127,7 @@ def fit(rows: DataFrame, scheme: TrainingScheme, name: str, path: str | None = N
             result.reason = "target has one class only"
             return result
 
-    result.model = pipeline_for(scheme, usable, settings.seed).fit(train)
+    result.model = without_summaries(pipeline_for(scheme, usable, settings.seed).fit(train))
     result.status = TRAINED
     if path:
         result.model.write().overwrite().save(path)

@@ -123,6 +123,24 @@ def test_languages_and_odd_rows(spark, make_docs, odd_docs, no_docs):
     assert identify(frame, ("doc_id",), fit_text_model(no_docs)).where("lang IS NULL AND NOT accepted").count() == len(found)
 
 
+def test_many_languages_one_of_them_rare(make_docs):
+    draw = np.random.default_rng(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, number = [], 0
+    for i in range(60):
+        syllables = ["".join(draw.choice(list(letters), 3)) for _ in range(12)]
+        for _ in range(3 if i == 59 else 25):
+            words = ["".join(draw.choice(syllables, 2)) for _ in range(40)]
+            rows.append((number := number + 1, " ".join(words), f"l{i:02d}", "s"))
+    docs = make_docs(rows)
+    model = fit_text_model(docs, language_rows=20)
+    assert model.languages == tuple(f"l{i:02d}" for i in range(60))
+    # By text alone.
+    frame = docs.select("doc_id", F.col("text"), *[F.lit(None).cast("string").alias(c) for c in ("declared", "suffix", "host")])
+    got = {r.doc_id: r.text_lang for r in identify(frame, ("doc_id",), model).collect()}
+    assert np.mean([got[r[0]] == r[2] for r in rows]) > 0.98 and [got[r[0]] for r in rows[-3:]] == ["l59"] * 3
+
+
 def test_texts_in_no_known_language_are_rejected(spark, make_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
     odd = ["Все люди рождаются свободными и равными в своем достоинстве и правах " * 3, "人人生而自由 在尊严和权利上一律平等 他们赋有理性和良心 " * 3,

@@ -108,7 +108,7 @@ class Sliced:
         self.words = split_words(texts)
         self.hashes = word_hashes(self.words.values)
         self.ends = self.words.of_text()
-        #: a word of its own is put behind each text in prefix sums, so that none is needed at borders
+        #: sums of the words before each place, weighed by powers of a factor, and the inverse powers: a digest of any stretch is a difference
         self.prefix = [np.r_[np.uint64(0), np.cumsum(self.hashes * powers(len(self.hashes), f)[:len(self.hashes)], dtype=np.uint64)] for f in FACTORS]
         self.back = [powers(len(self.hashes), f) for f in INVERSES]
         self.passages = self._passages(window_for(min_words))

@@ -3,7 +3,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from txnflow.operators.score import compare_amount, compare_amount_long, score, score_json, validate
+from txnflow.operators.score import (
+    compare_amount, compare_amount_long, compare_answers, compare_json, score, score_json, validate,
+)
 from txnflow.schema import REQUEST
 
 AMOUNT = (5.0, 15.50, None, 12, 15, 14)
@@ -101,3 +103,60 @@ def test_bad_calls(spark):
         score(request(spark, AMOUNT), "amount", 4)
     with pytest.raises(ValueError, match="already"):
         score(request(spark, AMOUNT).withColumn("prediction", F.lit(1)), "amount", 1)
+
+
+BODY = {"quantity": 5, "price": "15.50", "month": 12, "day": 15, "hour": 14}
+
+
+@pytest.mark.parametrize("changes,version,status,error", [
+    ({"price": "cheap"}, 1, 500, "could not convert string to float: 'cheap'"),
+    ({"price": "it's"}, 1, 500, 'could not convert string to float: "it\'s"'),
+    ({"quantity": None}, 1, 500, "float() argument must be a string or a real number, not 'NoneType'"),
+    ({"quantity": [5]}, 1, 500, "float() argument must be a string or a real number, not 'list'"),
+    ({"month": "12.5"}, 2, 500, "invalid literal for int() with base 10: '12.5'"),
+    ({"hour": {}}, 3, 500, "int() argument must be a string, a bytes-like object or a real number, not 'dict'"),
+    # What a version does not compute with may hold anything.
+    ({"month": "12.5", "hour": None, "day": "x"}, 1, 200, None),
+    ({"hour": "noon"}, 2, 200, None),
+    ({"month": 12.9, "quantity": True}, 3, 200, None),
+    ({"price": " 1e1 ", "month": " 12 "}, 3, 200, None),
+])
+def test_values_that_cannot_be_read(spark, changes, version, status, error):
+    df = spark.createDataFrame([(json.dumps({**BODY, **changes}),)], "value STRING")
+    row = score_json(df, "amount", version).first()
+    answer = json.loads(row.response)
+    assert (row.status, answer.get("error")) == (status, error)
+    assert (error is None) == ("prediction" in answer)
+
+
+def test_requests_that_are_no_objects(spark):
+    texts = ["", "{", "[1]", "7", "null", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id INT, value STRING")
+    found = {r.id: (r.status, json.loads(r.response)["error"]) for r in score_json(df, "amount", 1, keep=["id"]).collect()}
+    broken, missing = (500, "unreadable request"), (400, "Missing field: quantity")
+    assert found == {0: broken, 1: broken, 2: missing, 3: missing, 4: missing, 5: broken}
+
+
+def test_whole_answers_of_the_comparison(spark):
+    row = compare_answers(request(spark, AMOUNT, (None, 1.0, 1.0, 1, 1, 1))).collect()
+    assert row[0].v3.asDict() == {
+        "model": "linear_model_3", "prediction": 110.83, "confidence": 0.95, "seasonal_adjustment": 1.3, "hourly_adjustment": 1.1,
+        "features_used": ["quantity", "price", "month", "day", "hour"], "model_version": 3}
+    assert (row[0].v1.confidence, row[0].v2.prediction, row[0].error) == (0.85, 93.0, None)
+    assert (row[1].v1, row[1].v2, row[1].v3, row[1].error) == (None, None, None, "Missing field: quantity")
+    with pytest.raises(ValueError, match="already"):
+        compare_answers(request(spark, AMOUNT).withColumn("v1", F.lit(1)))
+
+
+def test_comparison_of_json_requests(spark):
+    bodies = [BODY, {**BODY, "hour": "noon"}, {"price": 1}]
+    df = spark.createDataFrame([(i, json.dumps(b)) for i, b in enumerate(bodies)] + [(3, "{")], "id INT, value STRING")
+    at = F.lit("2025-05-29 01:02:03").cast("timestamp")
+    found = {r.id: (r.status, json.loads(r.response)) for r in compare_json(df, at=at, keep=["id"]).collect()}
+    whole = found[0][1]
+    assert list(whole) == ["total_amount_predictions", "comparison_timestamp", "input_data"]
+    assert [whole["total_amount_predictions"][f"v{v}"]["prediction"] for v in (1, 2, 3)] == [77.5, 93.0, 110.83]
+    assert whole["comparison_timestamp"].startswith("2025-05-29T01:02:03") and whole["input_data"] == BODY
+    assert sorted(found[1][1]["total_amount_predictions"]) == ["v1", "v2"]
+    assert found[2][1]["total_amount_predictions"] == {} and found[2][0] == 200
+    assert found[3] == (500, {"error": "unreadable request"})

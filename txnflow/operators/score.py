@@ -6,6 +6,7 @@ them. Scores are projections, so they run on batch and streaming frames alike.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 
 from txnflow.config import AMOUNT_FEATURES, FULL_FEATURES
 from txnflow.functions.numbers import clamp, sigmoid
-from txnflow.schema import REQUEST, conform
+from txnflow.functions.times import iso_text
+from txnflow.operators.requests import UNREADABLE, field_values, read_requests, request_error, status_of
+from txnflow.schema import REQUEST
 from txnflow.sources.registry import VERSIONS, model_name
 
-# Fixed values of the rule scores.
+# Fixed values of the rule scores: months, hours and categories here, the rule tables and the fields used below.
 PEAK_MONTHS = (11, 12)
 OFFICE_HOURS = (9, 17)
 CATEGORIES = ("Low", "Medium", "High", "Bulk")
@@ -52,6 +55,7 @@ class HighValueRule:
     hour_bonus: float | None = None
 
 
+# Fixed values of the rules.
 AMOUNT_RULES = {
     1: AmountRule(0.85, 0.10),
     2: AmountRule(0.91, 0.08, peak_factor=1.2),
@@ -71,6 +75,13 @@ HIGH_VALUE_RULES = {
 
 REQUIRED = {"amount": AMOUNT_FEATURES, "category": FULL_FEATURES, "high_value": FULL_FEATURES}
 
+# The fields that versions 1 to 3 of a family compute with, in the order they are read.
+USED = {
+    "amount": (("quantity", "price"), ("quantity", "price", "month"), ("quantity", "price", "month", "hour")),
+    "category": (("quantity",), ("quantity", "total_amount"), ("quantity", "total_amount", "month", "hour")),
+    "high_value": (("total_amount",), ("total_amount", "quantity"), ("total_amount", "quantity", "month", "hour")),
+}
+
 
 def _in_peak(yes: float, no: float) -> Column:
     return F.when(F.col("month").isin(*PEAK_MONTHS), F.lit(yes)).otherwise(F.lit(no))
@@ -194,26 +205,37 @@ def _rule(family: str, version: int, noise_seed: int | None) -> tuple[_Steps, di
     return _high_value(HIGH_VALUE_RULES[version])
 
 
-def score(df: DataFrame, family: str, version: int, noise_seed: int | None = None) -> DataFrame:
-    """Score every row: model, answers, confidence, features used and model version.
-
-    Rows with a missing field get an ``error`` that names it, and null answers.
-    ``noise_seed`` turns on the random factor of the amount rules, off by default.
-    """
+def _answers(family: str, version: int, noise_seed: int | None = None) -> tuple[_Steps, dict[str, Column]]:
+    """Helper columns, and the whole answer: model, predictions, features used and model version."""
     name = model_name(family, version)
     steps, answers = _rule(family, version, noise_seed)
-    answers = {
+    return steps, {
         "model": F.lit(name), **answers,
         "features_used": F.array(*[F.lit(f) for f in REQUIRED[family]]),
         "model_version": F.lit(version),
     }
-    clash = sorted({"error", *answers} & set(df.columns))
+
+
+def _refuse_clash(df: DataFrame, names: set[str]) -> None:
+    clash = sorted(names & set(df.columns))
     if clash:
         raise ValueError(f"input already has score columns: {', '.join(clash)}")
-    absent = {
-        f: F.lit(None).cast(REQUEST[f].dataType) for f in REQUIRED[family] if f not in df.columns
-    }
-    work = df.withColumns({**absent, "error": missing_field(df, REQUIRED[family])})
+
+
+def _with_error(df: DataFrame, family: str) -> DataFrame:
+    absent = {f: F.lit(None).cast(REQUEST[f].dataType) for f in REQUIRED[family] if f not in df.columns}
+    return df.withColumns({**absent, "error": missing_field(df, REQUIRED[family])})
+
+
+def score(df: DataFrame, family: str, version: int, noise_seed: int | None = None) -> DataFrame:
+    """Score every row: model, answers, confidence, features used and model version.
+
+    Rows with a missing field get an ``error`` that names it, and null answers.
+    ``noise_seed`` turns on the random factor of the amount rules, off by default.
+    """
+    steps, answers = _answers(family, version, noise_seed)
+    _refuse_clash(df, {"error", *answers})
+    work = _with_error(df, family)
     for step in steps:
         work = work.withColumns(step) if step else work
     valid = F.col("error").isNull()
@@ -222,21 +244,64 @@ def score(df: DataFrame, family: str, version: int, noise_seed: int | None = Non
     )
 
 
-def score_json(requests: DataFrame, family: str, version: int, column: str = "value") -> DataFrame:
-    """Score JSON request texts; adds the JSON answer as ``response``."""
-    texts = ", ".join(f"{f.name} STRING" for f in REQUEST.fields)
-    fields = requests.select(F.col(column).alias("request"), F.from_json(column, texts).alias("r"))
-    typed = conform(fields.select("request", "r.*"), REQUEST, keep=["request"])
-    answers = score(typed, family, version).drop(*REQUEST.names)
-    body = [c for c in answers.columns if c != "request"]
-    return answers.select("request", F.to_json(F.struct(*body)).alias("response"))
+def score_json(requests: DataFrame, family: str, version: int, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """Score JSON request texts: ``request``, the JSON answer as ``response``, its ``status``, and the columns of ``keep``.
+
+    Status 200 comes with the answer, 400 with the first absent field as ``error``, 500 with the first value that can't be read of those the
+    rule computes with, or for text that is no JSON.
+    """
+    steps, answers = _answers(family, version)
+    read = read_requests(requests, column, keep)
+    work = read.select(*keep, "request", request_error(REQUIRED[family], USED[family][version - 1]).alias("error"), *field_values())
+    for step in steps:
+        work = work.withColumns(step) if step else work
+    valid = F.col("error").isNull()
+    body = F.struct("error", *[F.when(valid, answer).alias(a) for a, answer in answers.items()])
+    return work.select(*keep, "request", F.to_json(body).alias("response"), status_of(F.col("error")).alias("status"))
+
+
+def _amount_envelopes(work: DataFrame, errors: dict[int, Column]) -> DataFrame:
+    """Adds ``v1`` to ``v3``: the whole amount answers, null where that version has an error."""
+    for v in VERSIONS:
+        steps, answers = _answers("amount", v)
+        inner = work.withColumns(steps[0]) if steps[0] else work
+        envelope = F.struct(*[answer.alias(a) for a, answer in answers.items()])
+        work = inner.withColumn(f"v{v}", F.when(errors[v].isNull(), envelope)).drop(*steps[0])
+    return work
+
+
+def compare_answers(df: DataFrame) -> DataFrame:
+    """The three whole amount answers side by side as structs ``v1`` to ``v3``, with the shared ``error``."""
+    names = [f"v{v}" for v in VERSIONS]
+    _refuse_clash(df, {"error", *names})
+    work = _amount_envelopes(_with_error(df, "amount"), dict.fromkeys(VERSIONS, F.col("error")))
+    return work.select(*df.columns, "error", *names)
+
+
+def compare_json(requests: DataFrame, column: str = "value", at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """JSON requests answered by all amount rules: ``request``, ``response``, ``status``, and the columns of ``keep``.
+
+    The response holds ``total_amount_predictions`` with the answer of each version that gave one, ``comparison_timestamp``
+    (``at``, by default now) and the request as ``input_data``. A request that is no JSON is answered by its error.
+    """
+    read = read_requests(requests, column, keep)
+    errors = {v: F.col(f"_error_{v}") for v in VERSIONS}
+    work = read.select(*keep, "request", "parsed", *field_values(), *[
+        request_error(AMOUNT_FEATURES, USED["amount"][v - 1]).alias(f"_error_{v}") for v in VERSIONS])
+    readable = F.col("parsed").isNotNull()
+    error = F.when(~readable, F.lit(UNREADABLE))
+    time = iso_text(F.current_timestamp() if at is None else at, micros=True)
+    body = F.struct(
+        error.alias("error"),
+        F.when(readable, F.struct(*[f"v{v}" for v in VERSIONS])).alias("total_amount_predictions"),
+        F.when(readable, time).alias("comparison_timestamp"), F.col("parsed").alias("input_data"))
+    return _amount_envelopes(work, errors).select(
+        *keep, "request", F.to_json(body).alias("response"), status_of(error).alias("status"))
 
 
 def compare_amount(df: DataFrame) -> DataFrame:
     """The three amount scores side by side, with the shared ``error``."""
-    work = df.withColumn("error", missing_field(df, AMOUNT_FEATURES))
-    absent = {f: F.lit(None).cast(REQUEST[f].dataType) for f in AMOUNT_FEATURES if f not in df.columns}
-    work = work.withColumns(absent) if absent else work
+    work = _with_error(df, "amount")
     valid = F.col("error").isNull()
     for v in VERSIONS:
         steps, answers = _amount(AMOUNT_RULES[v], None)

@@ -1,14 +1,18 @@
-"""A trained forest as a column: scoring in generated code, without vectors and without the model's own transformer."""
+"""Trained forests and logistic models as columns: scoring in generated code, without vectors and without the models' own transformers."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.feature import StandardScalerModel
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from txnflow.functions.numbers import sigmoid
+
 
 def _chances(node, features: Sequence[str]) -> Column:
     """The class shares of the leaf that a row reaches from a node."""
@@ -27,3 +31,15 @@ def forest_prediction(model: RandomForestClassificationModel, features: Sequence
     """The label index with the most votes of all trees, the lowest of equal ones; ``features`` in the order of the model's vector."""
     votes = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [_chances(tree._call_java("rootNode"), features) for tree in model.trees])
     return (F.array_position(votes, F.array_max(votes)) - 1).cast("double")
+
+
+def logistic_chance(model: PipelineModel, features: Sequence[str]) -> Column:
+    """The chance of label 1 by a saved pipeline of scaler and logistic model; ``features`` in the order of its vector, null as 0."""
+    scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    fitted = model.stages[-1]
+    total = F.lit(float(fitted.intercept))
+    for name, weight, spread in zip(features, fitted.coefficients, scaler.std, strict=True):
+        # A feature without spread is scaled to 0.
+        if spread:
+            total = total + F.coalesce(F.col(name).cast("double"), F.lit(0.0)) * F.lit(float(weight / spread))
+    return sigmoid(total)

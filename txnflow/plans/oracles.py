@@ -241,6 +241,45 @@ def score_high_value(version: int) -> str:
 FEATURES = ("quantity", "price", "month", "day", "hour")
 
 
+# The raw lines as requests; at noon the hour is sent as a word.
+REQUESTS = f"""
+SELECT {KEYS}, quantity, price, TRY_CAST(quantity AS DOUBLE) AS q, TRY_CAST(price AS DOUBLE) AS p, extract(month FROM t) AS month,
+       extract(hour FROM t) AS hour, l_orderkey % 24 = 12 AS noon
+FROM (SELECT *, TRY_CAST(invoicedate AS TIMESTAMP) AS t FROM sales_raw)
+"""
+_CTES["requests"] = (REQUESTS, ("sales_raw",))
+
+
+def _request_error(version: int) -> str:
+    """The error of an amount request: absent fields first, then values in the order they are read."""
+    noon = "WHEN noon THEN 'invalid literal for int() with base 10: ''noon'''" if version == 3 else ""
+    return f"""CASE WHEN quantity IS NULL THEN 'Missing field: quantity' WHEN price IS NULL THEN 'Missing field: price'
+        WHEN month IS NULL THEN 'Missing field: month'
+        WHEN q IS NULL THEN concat('could not convert string to float: ''', quantity, '''')
+        WHEN p IS NULL THEN concat('could not convert string to float: ''', price, '''') {noon} END"""
+
+
+def _request_amount(version: int) -> str:
+    factors = ("", f" * {_factor(PEAK, '1.2', '1.0')}", f" * {_factor(PEAK, '1.3', '1.0')} * {_factor(OFFICE, '1.1', '0.9')}")
+    return half_up(f"q * p{factors[version - 1]}", 2)
+
+
+def request_errors() -> str:
+    return sql("\nUNION ALL\n".join(f"""
+    SELECT CAST({v} AS INT) AS version, CAST(CASE WHEN error IS NULL THEN 200 WHEN error LIKE 'Missing field: %' THEN 400 ELSE 500 END AS INT) AS status,
+           error, count(*) AS requests
+    FROM (SELECT {_request_error(v)} AS error FROM requests) GROUP BY error""" for v in (1, 2, 3)), "requests")
+
+
+def compare_requests() -> str:
+    columns = ", ".join(
+        f"CASE WHEN e{v} IS NULL THEN v{v} END AS v{v}, CASE WHEN e{v} IS NULL THEN 'linear_model_{v}' END AS model_{v}, "
+        f"CASE WHEN e{v} IS NULL THEN {sure}e0 END AS confidence_{v}" for v, sure in ((1, "0.85"), (2, "0.91"), (3, "0.95")))
+    inner = ", ".join(f"{_request_error(v)} AS e{v}, {_request_amount(v)} AS v{v}" for v in (1, 2, 3))
+    return sql(f"SELECT {KEYS}, CAST(200 AS INT) AS status, quantity AS input_quantity, price AS input_price, {columns} "
+               f"FROM (SELECT *, {inner} FROM requests)", "requests")
+
+
 def _least_squares(k: int, source: str = "split_rows") -> str:
     """Tables ``o<k>_<j>``: features made orthogonal one after the other on the train rows.
 

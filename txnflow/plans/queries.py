@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +20,13 @@ from txnflow.operators.features import drop_null_target, fill_features, keep_pre
 from txnflow.operators.label import high_value_customers, label_lines
 from txnflow.operators.metrics import area_under_roc, multiclass_metrics, regression_metrics
 from txnflow.operators.numbering import with_batch_id
-from txnflow.operators.score import compare_amount, compare_amount_long, score, score_json, validate
+from txnflow.operators.score import compare_amount, compare_amount_long, compare_json, score, score_json, validate
 from txnflow.operators.selection import (
     first_batch_minimal, first_batches, first_minutes, first_sorted_batches, first_windows, with_fold, with_window,
 )
 from txnflow.operators.sets import distinct_rows, union_all, union_distinct
 from txnflow.operators.split import count_by_split, with_split
-from txnflow.operators.trees import forest_prediction
+from txnflow.operators.trees import forest_prediction, logistic_chance
 from txnflow.operators.standard import label_index, least_squares_line, scale_features
 from txnflow.plans import oracles, training
 from txnflow.plans.oracles import half_up, sql
@@ -38,7 +41,7 @@ from txnflow.sources.messages import (
     decode_messages, encode_messages, read_message_files, rejected_messages, to_record, to_wire, write_message_files,
 )
 from txnflow.sources.ledger import record_batches, recorded_customers
-from txnflow.sources.registry import load_model, score_with_model
+from txnflow.sources.registry import load_model, registry, score_with_model
 from txnflow.streaming.cutting import drain_batches
 from txnflow.streaming.ingest import clean_stream, read_progress, save_batches, write_table
 from txnflow.streaming.windows import window_totals
@@ -625,6 +628,77 @@ def score_json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.select(parsed.alias("r")).select("r.*")
 
 
+def _json_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines as JSON requests, dirt and all; at noon the hour is sent as a word."""
+    time = F.col("invoicedate").try_cast("timestamp_ntz")
+    hour = F.when((F.col("l_orderkey") % 24 == 12) & time.isNotNull(), "noon").otherwise(F.hour(time).cast("string"))
+    body = F.struct("quantity", "price", F.month(time).alias("month"), F.dayofmonth(time).alias("day"), hour.alias("hour"))
+    return sales_raw(spark, sf_dir).select(*LINE_KEYS, F.to_json(body).alias("value"))
+
+
+@query(oracles.request_errors())
+def request_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status and error of every request for each version: absent fields, and values that can't be read where the version reads them."""
+    requests = stage(_json_requests(spark, sf_dir), "requests")
+    answers = [score_json(requests, "amount", v).select(
+        F.lit(v).alias("version"), "status", F.get_json_object("response", "$.error").alias("error")) for v in (1, 2, 3)]
+    return union_all(answers).groupBy("version", "status", "error").agg(rows_as("requests"))
+
+
+@query(oracles.compare_requests())
+def compare_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests answered by all amount rules at once, and the JSON answers read back."""
+    answers = compare_json(_json_requests(spark, sf_dir), keep=LINE_KEYS)
+    envelope = "struct<model: string, prediction: double, confidence: double>"
+    parts = ", ".join(f"v{v}: {envelope}" for v in (1, 2, 3))
+    read = F.from_json("response", f"total_amount_predictions struct<{parts}>, input_data struct<quantity: string, price: string>")
+    found = answers.select(*LINE_KEYS, "status", read.alias("r"))
+    return found.select(
+        *LINE_KEYS, "status", F.col("r.input_data.quantity").alias("input_quantity"), F.col("r.input_data.price").alias("input_price"),
+        *[F.col(f"r.total_amount_predictions.v{v}.{part}").alias(name)
+          for v in (1, 2, 3) for part, name in (("prediction", f"v{v}"), ("model", f"model_{v}"), ("confidence", f"confidence_{v}"))])
+
+
+@query(sql(f"""
+    SELECT m.model, m.type, CAST(m.version AS INT) AS version, count(l.l_orderkey) AS answered
+    FROM (VALUES {", ".join(f"('{stem}_{v}', '{kind}', {v}, {low})" for stem, kind, low in (
+        ('linear_model', 'regression', 0), ('rf_model_window', 'classification', 10), ('logistic_model_batch', 'binary_classification', 20))
+        for v in (1, 2, 3))}) m(model, type, version, floor_amount)
+    LEFT JOIN sales_lines l ON l.total_amount > m.floor_amount GROUP BY 1, 2, 3""", "sales_lines"))
+def registry_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The known models, and the lines that each has answered: amounts for all, categories above 10, customers above 20."""
+    lines = narrow_lines(spark, sf_dir, *REQUEST.names)
+    answers = union_all([
+        score(lines.where(F.col("total_amount") > low), family, v).select("model")
+        for family, low in (("amount", 0), ("category", 10), ("high_value", 20)) for v in (1, 2, 3)])
+    counts = answers.groupBy("model").agg(rows_as("answered"))
+    return registry(spark).join(counts, "model", "left").select("model", "type", "version", F.coalesce("answered", F.lit(0)).alias("answered"))
+
+
+@query(sql("""
+    SELECT 'customer_id' AS absent, count(*) AS lines FROM sales_raw
+    WHERE coalesce(substr(lower(invoice), 1, 1), '') <> 'c' AND TRY_CAST(quantity AS DOUBLE) > 0 AND TRY_CAST(price AS DOUBLE) > 0
+    UNION ALL SELECT 'invoice', count(*) FROM sales_raw
+    WHERE customer_id IS NOT NULL AND TRY_CAST(quantity AS DOUBLE) > 0 AND TRY_CAST(price AS DOUBLE) > 0
+    UNION ALL SELECT 'invoicedate', count(*) FROM sales_lines
+    UNION ALL SELECT 'price', 0 UNION ALL SELECT 'quantity', 0""", "sales_lines"))
+def absent_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid lines of the raw table without one of its columns: none without quantity or price, one rule fewer without the others."""
+    names = ["invoice", "quantity", "invoicedate", "price", "customer_id"]
+    raw = stage(sales_raw(spark, sf_dir).select(*names), "raw")
+    counted = [clean(raw.drop(name)).agg(rows_as("lines")).select(F.lit(name).alias("absent"), "lines") for name in names]
+    return union_all(counted)
+
+
+@query(sql("SELECT count(*) AS lines, count(*) AS published, count(*) AS since_start FROM sales_lines", "sales_lines"))
+def publish_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that carry a publish time, and one that lies between the start of the job and now."""
+    start = F.lit(datetime.now(timezone.utc))
+    records = stage(to_record(sales_lines(spark, sf_dir)).select("timestamp"), "records")
+    fits = F.col("timestamp").between(start, F.current_timestamp())
+    return records.agg(rows_as("lines"), F.count("timestamp").alias("published"), F.count_if(fits).alias("since_start"))
+
+
 # Training
 
 _TRAINING = {"split_keys": LINE_KEYS, "portable_split": True}
@@ -725,6 +799,97 @@ def model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(*LINE_KEYS, F.round("prediction", 1).alias("prediction"))
 
 
+@query(sql(f"SELECT {oracles.KEYS}, TRUE AS answered, TRUE AS agrees, TRUE AS known_label FROM sales_lines", "sales_lines"))
+def model_score_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest trained on all lines, saved, loaded again and applied to every line; its trees, written as a column, say the same."""
+    lines, model_dir = narrow_lines(spark, sf_dir, *LINE_KEYS, *FULL_FEATURES, "quantity_category"), staging_path(spark, "models")
+    rows = training.training_rows(lines, training.FOREST, **_TRAINING)
+    training.fit(rows, training.FOREST, "rf_model_window_3", training.model_path(model_dir, "category", 3))
+    model = load_model(model_dir, "category", 3)
+    labels = F.lit(list(next(s.labels for s in model.stages if isinstance(s, StringIndexerModel))))
+    scored = score_with_model(lines, model).withColumn("own", forest_prediction(model.stages[-1], FULL_FEATURES))
+    return scored.select(
+        *LINE_KEYS, F.col("prediction").isNotNull().alias("answered"), F.col("own").eqNullSafe(F.col("prediction")).alias("agrees"),
+        F.array_contains(labels, F.col("predicted_label")).alias("known_label"))
+
+
+@query(sql(f"SELECT {oracles.KEYS}, TRUE AS answered, TRUE AS agrees FROM sales_lines", "sales_lines"))
+def model_score_high_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A logistic model trained on all labelled lines, saved, loaded again and applied to every line; its formula, written as a column,
+    says the same."""
+    lines, model_dir = narrow_lines(spark, sf_dir, *LINE_KEYS, "customer_id", *FULL_FEATURES), staging_path(spark, "models")
+    labelled = label_lines(lines, high_value_customers(lines))
+    rows = training.training_rows(labelled, training.LOGISTIC, **_TRAINING)
+    training.fit(rows, training.LOGISTIC, "logistic_model_batch_3", training.model_path(model_dir, "high_value", 3))
+    model = load_model(model_dir, "high_value", 3)
+    scored = score_with_model(lines, model).withColumn("own", logistic_chance(model, FULL_FEATURES))
+    chance = vector_to_array("probability")[1]
+    return scored.select(
+        *LINE_KEYS, F.col("prediction").isNotNull().alias("answered"),
+        ((F.abs(chance - F.col("own")) < 1e-9) & (F.col("prediction") == (chance > 0.5).cast("double"))).alias("agrees"))
+
+
+_SKIPS = """
+    , firsts AS (SELECT split FROM split_rows WHERE l_orderkey = (SELECT min(l_orderkey) FROM sales_lines))
+    SELECT 'none' AS model, 'skipped' AS status, 'no rows' AS reason, 0 AS train_rows, 0 AS test_rows
+    UNION ALL SELECT 'few', 'skipped', 'fewer than 10 rows', count(*) FILTER (split = 'train'), count(*) FILTER (split = 'test') FROM firsts
+    UNION ALL SELECT 'untrained', 'skipped', 'train split is empty', 0, count(*) FROM split_rows WHERE split = 'test'
+    UNION ALL SELECT 'one_class', 'skipped', 'target has one class only', count(*) FILTER (split = 'train'), count(*) FILTER (split = 'test')
+    FROM split_rows"""
+
+
+@query(sql(_SKIPS, "split_rows"))
+def training_skips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trainings that are skipped, with the reason: no rows, too few, none to train on, a target of one class."""
+    lines = narrow_lines(spark, sf_dir, *LINE_KEYS, *FULL_FEATURES, "quantity_category", "high_value_customer")
+    rows = training.training_rows(lines, training.FOREST, carry=["l_orderkey"], **_TRAINING)
+    # Before customers are labelled, the target is 0 everywhere.
+    unlabelled = training.training_rows(lines, training.LOGISTIC, **_TRAINING)
+    first_order = rows.agg(F.min("l_orderkey")).first()[0]
+    results = [
+        training.fit(rows.where(F.lit(False)), training.FOREST, "none"),
+        training.fit(rows.where(F.col("l_orderkey") == first_order), training.FOREST, "few"),
+        training.fit(rows.where("split = 'test'"), training.FOREST, "untrained"),
+        training.fit(unlabelled, training.LOGISTIC, "one_class"),
+    ]
+    return training.results_frame(spark, results).select("model", "status", "reason", "train_rows", "test_rows")
+
+
+@query(sql(f"""
+    SELECT 'rf_model_window_1' AS model, 'trained' AS status, TRUE AS within_bound, TRUE AS near_bound
+    FROM (SELECT count(*) AS n FROM sales_lines) WHERE n > 0""", "sales_lines"))
+def minimal_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minimal mode on a first batch that is larger than its bound: all lines as one batch, a quarter of them fitted."""
+    lines = narrow_lines(spark, sf_dir, *LINE_KEYS, *FULL_FEATURES, "quantity_category")
+    total = lines.count()
+    bound = total // 4
+    batch = lines.withColumn("batch_id", F.lit(0).cast("bigint"))
+    result = training.train_first_batch(batch, settings=Settings(max_fit_rows=bound), **_TRAINING)
+    taken, slack = result.train_rows + result.test_rows, 6 * bound ** 0.5
+    return spark.createDataFrame(
+        [(result.name, result.status, taken <= bound + slack, taken >= bound - slack)],
+        "model string, status string, within_bound boolean, near_bound boolean")
+
+
+_RETRAINED = """
+    , t AS (SELECT l_orderkey * 1000000 + l_linenumber * 100000 + l_suppkey % 100000 AS micros FROM sales_lines)
+    """ + "\nUNION ALL\n".join(
+    f"""SELECT 'rf_model_window_{k}' AS model, 'trained' AS status, count(*) AS rows FROM t
+        WHERE micros <= (SELECT min(micros) FROM t) + {k} * 300000000
+    UNION ALL SELECT 'logistic_model_batch_{k}', 'trained', count(*) FROM batched WHERE batch_id < {k}""" for k in (1, 2, 3))
+
+
+@query(sql(_RETRAINED, "batched"))
+def retrain_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forests and logistic models trained anew from saved batches and their ledger: the lines that each was given."""
+    root, ledger, models = (staging_path(spark, n) for n in ("retrain-batches", "retrain-ledger", "retrain-models"))
+    settings = Settings(batch_format="parquet")
+    batched = with_batch_id(_published(spark, sf_dir), settings.batch_size, order_by=LINE_KEYS, unique=True)
+    batched.select(*RECORD.names, "batch_id").write.partitionBy("batch_id").parquet(root)
+    results = training.retrain(spark, root, models, settings=settings, schemes=[training.FOREST, training.LOGISTIC], ledger=ledger)
+    return training.results_frame(spark, results).select("model", "status", (F.col("train_rows") + F.col("test_rows")).alias("rows"))
+
+
 # Streams
 
 @query(sql(f"SELECT {', '.join(PUBLISHED)}, {oracles.KEYS} FROM sales_lines", "sales_lines"))
@@ -797,6 +962,29 @@ def stream_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(once.schema).parquet(out).select(*PUBLISHED)
 
 
+@query(sql(_PUBLISHED_SQL, "sales_lines"))
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream whose second batch fails after it was saved, and that goes on from its checkpoint: each message is there once."""
+    root, checkpoint = staging_path(spark, "replayed"), staging_path(spark, "checkpoint")
+    settings = Settings(batch_format="parquet", batch_seconds=0)
+    records = read_message_files(spark, _topic(spark, sf_dir), files_per_trigger=2).select(*RECORD.names)
+
+    def fail(_: SparkSession, batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError("the second batch fails")
+
+    failed = save_batches(records, root, checkpoint, fail, settings=settings)
+    try:
+        while failed.isActive and failed.status["isDataAvailable"] | failed.status["isTriggerActive"] | (failed.lastProgress is None):
+            failed.awaitTermination(1)
+    except StreamingQueryException as error:
+        if "the second batch fails" not in str(error):
+            raise
+    failed.stop()
+    save_batches(records, root, checkpoint, drain=True, settings=settings).awaitTermination()
+    return read_batches(spark, root, "parquet").select(*PUBLISHED)
+
+
 _WINDOW_SQL = """
     SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS rows, round(sum(value), 4) AS amount FROM events
     GROUP BY 1, 2 HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""

@@ -26,6 +26,15 @@ def test_score_requests(spark, tmp_path):
     assert (answer["prediction"], answer["seasonal_adjustment"]) == (93.0, 1.2)
 
 
+def test_compare_requests(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"quantity": 5, "price": 15.5, "month": 12, "day": 15, "hour": "noon"}\n')
+    main(["compare", str(tmp_path / "in.json"), str(tmp_path / "out")])
+    row = spark.read.json(str(tmp_path / "out")).first()
+    answer = json.loads(row.response)
+    assert row.status == 200 and answer["input_data"]["hour"] == "noon"
+    assert {v: a["prediction"] for v, a in answer["total_amount_predictions"].items()} == {"v1": 77.5, "v2": 93.0}
+
+
 def test_unknown_arguments():
     with pytest.raises(SystemExit):
         parser().parse_args(["score", "a", "b", "--family", "amount", "--version", "9"])

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 
 from txnflow.config import DEFAULTS, FOREST, LINEAR, LOGISTIC, Settings
 from txnflow.operators.clean import clean
-from txnflow.operators.score import REQUIRED, score_json
+from txnflow.operators.score import REQUIRED, compare_json, score_json
 from txnflow.plans.training import results_frame, retrain
 from txnflow.schema import RECORD
 from txnflow.session import build_session
@@ -63,6 +63,10 @@ def _score(spark: SparkSession, args: argparse.Namespace, settings: Settings) ->
     score_json(spark.read.text(args.requests), args.family, args.version).write.json(args.out)
 
 
+def _compare(spark: SparkSession, args: argparse.Namespace, settings: Settings) -> None:
+    compare_json(spark.read.text(args.requests)).write.json(args.out)
+
+
 def _status(spark: SparkSession, args: argparse.Namespace, settings: Settings) -> None:
     batch_status(list_batches(spark, args.batch_dir), args.batch_dir).show(truncate=False)
 
@@ -97,6 +101,7 @@ def parser() -> argparse.ArgumentParser:
     answer = job("score", _score, "answer JSON requests, one per line", "requests", "out")
     answer.add_argument("--family", choices=list(REQUIRED), required=True)
     answer.add_argument("--version", type=int, choices=VERSIONS, required=True)
+    job("compare", _compare, "answer JSON requests, one per line, by all amount rules at once", "requests", "out")
     job("status", _status, "describe the saved batches", "batch_dir")
     return root
 

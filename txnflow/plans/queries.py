@@ -30,7 +30,7 @@ from txnflow.operators.trees import forest_prediction, logistic_chance
 from txnflow.operators.standard import label_index, least_squares_line, scale_features
 from txnflow.plans import oracles, training
 from txnflow.plans.oracles import half_up, sql
-from txnflow.plans.sales import LINE_KEYS, line_stream, raw_from, sales_lines, sales_raw
+from txnflow.plans.sales import LINE_KEYS, TABLES, line_stream, raw_from, sales_lines, sales_raw
 from txnflow.schema import CLEAN, RECORD, REQUEST, cast_present, conform, conformance_report
 from txnflow.session import stage, staging_path
 from txnflow.sources.catalog import (
@@ -384,6 +384,14 @@ def batch_gap_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_gaps(parse_batch_names(_batch_names(spark, sf_dir)), span=16)
 
 
+@query(sql("""SELECT count(*) AS gaps, round(avg(gap), 6) AS mean_gap, max(gap) AS widest FROM (
+              SELECT date_diff('second', lag(saved_at) OVER (ORDER BY batch_id), saved_at) * 1e0 AS gap FROM catalog) WHERE gap IS NOT NULL""", "catalog"))
+def batch_gap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, mean and greatest of the gaps between batches, with the spans of ids as they are by default."""
+    gaps = batch_gaps(parse_batch_names(_batch_names(spark, sf_dir))).where("gap_seconds IS NOT NULL")
+    return gaps.agg(rows_as("gaps"), F.round(F.avg("gap_seconds"), 6).alias("mean_gap"), F.max("gap_seconds").alias("widest"))
+
+
 @query(sql("""SELECT count(*) AS total_batches, min_by(file_name, batch_id) AS first_batch,
                      max_by(file_name, (saved_at, batch_id)) AS latest_batch FROM catalog""", "catalog"))
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -901,6 +909,20 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(records.schema).parquet(out).select(*PUBLISHED, *LINE_KEYS)
 
 
+@query(sql(f"SELECT {', '.join(PUBLISHED)}, {oracles.KEYS} FROM sales_lines", "sales_lines"))
+def stream_clean_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line table arriving in files, one micro-batch each, joined and cleaned on the way; stopped half-way and gone on with."""
+    arrived, out, checkpoint = (staging_path(spark, n) for n in ("arrived-lines", "stream-steps", "checkpoint"))
+    lines = spark.read.schema(TABLES["lineitem"]).parquet(f"{sf_dir}/lineitem.parquet")
+    for part in range(2):
+        # The second half arrives when the first run has ended.
+        lines.where(F.pmod(F.xxhash64("l_orderkey"), F.lit(2)) == part).repartition(3).write.mode("append").parquet(arrived)
+        stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+        records = clean_stream(raw_from(stream, spark, sf_dir), keep=LINE_KEYS)
+        write_table(records, out, checkpoint).awaitTermination()
+    return spark.read.schema(records.schema).parquet(out).select(*PUBLISHED, *LINE_KEYS)
+
+
 @query(sql(_PUBLISHED_SQL, "sales_lines"))
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages read as a stream, saved as CSV batches, and read back."""

@@ -145,14 +145,21 @@ def test_texts_in_no_known_language_are_rejected(spark, make_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
     odd = ["Все люди рождаются свободными и равными в своем достоинстве и правах " * 3, "人人生而自由 在尊严和权利上一律平等 他们赋有理性和良心 " * 3,
            "xkqz wvbj qqxz zzkv jwqx vbkz xxqj kzvw qjxv zkwb " * 3,
-           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem i sumieniem"]
+           "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw, są oni obdarzeni rozumem i sumieniem",
+           "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti, essi sono dotati di ragione e di coscienza",
+           "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren, zij zijn begiftigd met verstand en geweten"]
     odd = [(-1 - i, text, lang, "s") for i, text in enumerate(odd) for lang in (None, "en")]
-    both = docs.unionByName(make_docs(odd).select(docs.columns))
+    # Codes and licences do not take a text out of its language.
+    english, german = (docs.where((F.col("lang") == lang) & (F.length("text") > 200)).orderBy("doc_id").first()["text"] for lang in ("en", "de"))
+    noted = [(-101, english[:60] + " token = \"2abc3ff2ca8fb1e4c565a0eb63815530a948bdde\"", "en", "s"),
+             (-102, german[:30] + "\nLicensed under the Apache License, Version 2.0.", "de", "s"), (-103, english[:200].replace(" ", "### "), "en", "s"),
+             (-104, english[:150] + " " + german[:150], "en", "s")]
+    both = docs.unionByName(make_docs(odd + noted).select(docs.columns))
     found = identify(both.select("doc_id", *[c.alias(n) for n, c in document_evidence().items()]), ("doc_id",), fit_text_model(docs))
     rejected = [r for r in found.where("NOT accepted").collect()]
     assert sorted(r.doc_id for r in rejected if r.doc_id < 0) == sorted(r[0] for r in odd)
     assert all(r.lang is None for r in rejected if r.doc_id < 0)
-    assert len(rejected) - len(odd) <= 0.005 * docs.count()
+    assert len(rejected) - len(odd) <= 0.001 * docs.count()
 
 
 def test_page_evidence(spark):

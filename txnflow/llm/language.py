@@ -16,7 +16,7 @@ A row's own vote is taken off the counts of its host and domain before they spea
 
 Only trigrams seen in training tell languages apart. A text whose trigrams, the unseen ones at the floor that all languages share, are too unlikely in
 its best language is in none of them. The level lies between that of the uniform distribution over buckets and what labelled texts that were held out of training
-reach, the nearer to the latter the more of them there are. Its ``lang``, ``text_lang`` and ``probability`` are null, and it counts nowhere.
+reach, the nearer to the latter the more of them there are, and never nearer than a third of the way. Its ``lang``, ``text_lang`` and ``probability`` are null, and it counts nowhere.
 
 A row is accepted if the posterior of its best language reaches ``accept`` and its text has letters and is in one of the languages.
 
@@ -45,9 +45,9 @@ BUCKETS = 1 << 16
 MOST_LANGUAGES = 512
 
 #: Of the sampled texts one in ``HELD_OUT`` is not trained on, of languages with ``HELD_OUT`` squared or more. They give the level of a language, ``SPREADS`` standard
-#: deviations, and ``MARGIN`` at least, below their mean; ``ENOUGH`` of them weigh as much as the uniform level. ``SHORT``: what a text of one trigram may lie below the
-#: level, less by the root of their number.
-HELD_OUT, ENOUGH, SPREADS, MARGIN, SHORT = 8, 2, 6.0, 0.5, 6.0
+#: deviations, and ``MARGIN`` at least, below their mean, and not above ``WAY`` of the way from the uniform level to it, since codes, licences and words of a second language
+#: in a text lower its mean; ``ENOUGH`` of them weigh as much as the uniform level. ``SHORT``: what a text of one trigram may lie below the level, less by the root of their number.
+HELD_OUT, ENOUGH, SPREADS, MARGIN, WAY, SHORT = 8, 2, 6.0, 0.5, 1 / 3, 6.0
 
 EVIDENCE = ("text", "declared", "suffix", "host")
 
@@ -151,8 +151,9 @@ def fit_text_model(labelled: DataFrame, language_rows: int = 5_000, smoothing: f
     level = chosen.where(held_out & F.col("lang").isin(languages)).select("text", "lang").mapInArrow(reached, "lang bigint, value double").groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("spread")).collect()
     for row in level:
-        reach, weight = row["mean"] - max(MARGIN, SPREADS * row["spread"]), row["n"] / (row["n"] + ENOUGH)
-        model.least[row["lang"]] += weight * (reach - model.least[row["lang"]])
+        uniform, weight = model.least[row["lang"]], row["n"] / (row["n"] + ENOUGH)
+        reach = min(row["mean"] - max(MARGIN, SPREADS * row["spread"]), uniform + WAY * max(0.0, row["mean"] - uniform))
+        model.least[row["lang"]] += weight * (reach - uniform)
     return model
 
 

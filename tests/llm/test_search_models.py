@@ -60,6 +60,16 @@ def test_footrule_counts_missing_pivots_as_last():
     assert orders(np.array([[1.0, 0.1]]), np.eye(2), 2).tolist() == [[0, 1]]
 
 
+def test_footrule_over_the_files_that_a_query_reads():
+    draw = np.random.default_rng(5)
+    whole = np.array([draw.permutation(12) for _ in range(40)])
+    for prefix, reads in ((12, 12), (12, 3), (7, 3), (7, 7)):
+        rows, asked = whole[:30, :prefix], whole[30:, :reads]
+        place = lambda row, pivot: list(row).index(pivot) if pivot in row else prefix
+        want = [[sum(abs(place(row, pivot) - at) for at, pivot in enumerate(query)) for row in rows] for query in asked]
+        assert InvertedFiles(rows, 12).footrule(asked).tolist() == want
+
+
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 

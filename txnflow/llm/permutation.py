@@ -1,8 +1,8 @@
 """Approximate nearest neighbours by a permutation index.
 
-A vector is represented by the order of its nearest pivots. In each block of rows these orders are posted in inverted
-files, one a pivot, holding the rows and the position the pivot has for them. A query reads the files of its own nearest pivots and
-adds up, for every row, how far positions differ (Spearman's footrule; a pivot that a row does not rank counts as
+A vector is represented by the order of its ``prefix`` nearest pivots. In each block of rows these orders are posted in inverted
+files, one a pivot, holding the rows and the position the pivot has for them. A query reads the files of its own ``reads`` nearest pivots, an eighth of all by default, and
+adds up, for every row, how far positions differ (Spearman's footrule over these pivots; a pivot that a row does not rank counts as
 if it came last). The closest part of the block by footrule is reranked by the cosine of the original vectors.
 
 * Equal vectors are one class, whose smallest ids are all that an answer can name: a vector that a third of the rows share is
@@ -11,7 +11,7 @@ if it came last). The closest part of the block by footrule is reranked by the c
   block and one group of queries, so its memory is bounded, and the best of a block are merged with a limit a query.
 * Pivots are ``pivots`` classes, those with the smallest hash of their id: a bounded sample. Every row is indexed.
 
-Recall against brute force depends on ``share``, the part of each block that is reranked, alike at every size. See the README for measured recall.
+Recall against brute force depends on ``pivots``, ``reads`` and ``share``, the part of each block that is reranked, alike at every size. See the README for measured recall.
 
 Defined results: ids or vectors that are null, vectors that are zero, hold null or non-finite components or are not of
 the most frequent length take no part; equal scores go to the smaller id; rows that repeat id and vector count once;
@@ -85,24 +85,24 @@ class InvertedFiles:
             who = np.flatnonzero(place[:, pivot] >= 0)
             own = place[who, pivot][:, None]
             change = np.abs(self.position[start:stop] - own) - (np.int16(self.prefix) - own)
-            if stop - start == self.rows and len(who) == len(asked):  # the file holds every row, in order
-                total += change
+            if stop - start == self.rows:  # the file holds every row, in order
+                total[who] += change
             elif len(who) and stop > start:
                 total[who[:, None], self.row[start:stop]] += change
         return total
 
 
 #: Queries whose distances to a block are held at once.
-TOGETHER = 64
+TOGETHER = 256
 
 
-def search_block(block: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, prefix: int, share: float, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def search_block(block: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray, prefix: int, reads: int, share: float, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows of the block, scores) of the ``k`` best rows found for each query."""
     rows, asked = np.stack(block["vec"].to_numpy()), np.stack(queries["query_vec"].to_numpy())
     files, cosines = InvertedFiles(orders(unit(rows), pivots, prefix), len(pivots)), Cosines(rows)
     keep = min(len(rows), max(k, int(np.ceil(share * len(rows)))))
     ids = block["class_id"].to_numpy()
-    ranked = orders(unit(asked), pivots, prefix)
+    ranked = orders(unit(asked), pivots, reads)
     for begin in range(0, len(asked), TOGETHER):
         part = slice(begin, begin + TOGETHER)
         for query, distance in zip(asked[part], files.footrule(ranked[part]), strict=True):
@@ -117,11 +117,11 @@ def search_block(block: pd.DataFrame, queries: pd.DataFrame, pivots: np.ndarray,
 
 
 def permutation_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_id",
-                           vector_column: str = "embedding", pivots: int = 128, prefix: int = 128, share: float = 0.2,
+                           vector_column: str = "embedding", pivots: int = 256, prefix: int = 256, reads: int = 32, share: float = 0.15,
                            block_rows: int = 2048, query_rows: int = 1024) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest other rows found for the rows where ``is_query`` holds.
 
-    ``is_query`` is an expression over ``id``.
+    ``is_query`` is an expression over ``id``; ``reads`` is ``prefix`` at most.
     """
     spark = vectors.sparkSession
     ship_package(spark)
@@ -143,6 +143,7 @@ def permutation_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     nearest_to = spark.sparkContext.broadcast(unit(np.array([row["vec"] for row in sample])))
     prefix = min(prefix, len(sample))
+    reads = min(reads, prefix)
 
     blocks = max(1, -(-classes.count() // block_rows))
     groups = max(1, -(-asked.count() // query_rows))
@@ -155,7 +156,7 @@ def permutation_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_
     def run(block: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(block) and len(part):
-            found = search_block(block, part, nearest_to.value, prefix, share, k + 1)
+            found = search_block(block, part, nearest_to.value, prefix, reads, share, k + 1)
             for query, (at, score) in zip(part["query_class"], found, strict=True):
                 out.append(pd.DataFrame({"query_class": query, "class_id": block["class_id"].to_numpy()[at],
                                          "ids": block["ids"].to_numpy()[at], "score": score}))

@@ -154,13 +154,13 @@ def permutation_neighbours(vectors: DataFrame, is_query: Column, k: int = 5, id_
     wanted = asked.select(F.col("class_id").alias("query_class"), F.col("vec").alias("query_vec"), every(blocks).alias("block"), group_of)
 
     def run(block: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(block) and len(part):
-            found = search_block(block, part, nearest_to.value, prefix, reads, share, k + 1)
-            for query, (at, score) in zip(part["query_class"], found, strict=True):
-                out.append(pd.DataFrame({"query_class": query, "class_id": block["class_id"].to_numpy()[at],
-                                         "ids": block["ids"].to_numpy()[at], "score": score}))
-        return pd.concat(out) if out else pd.DataFrame({"query_class": [], "class_id": [], "ids": [], "score": []})
+        if not len(block) or not len(part):
+            return pd.DataFrame({"query_class": [], "class_id": [], "ids": [], "score": []})
+        found = list(search_block(block, part, nearest_to.value, prefix, reads, share, k + 1))
+        at = np.concatenate([rows for rows, _ in found])
+        return pd.DataFrame({
+            "query_class": np.repeat(part["query_class"].to_numpy(), [len(rows) for rows, _ in found]), "class_id": block["class_id"].to_numpy()[at],
+            "ids": block["ids"].to_numpy()[at], "score": np.concatenate([score for _, score in found])})
 
     found = data.groupBy("block", "part").cogroup(wanted.groupBy("block", "part")).applyInPandas(
         run, "query_class bigint, class_id bigint, ids array<bigint>, score double")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from txnflow.operators.score import (
     compare_amount, compare_amount_long, compare_answers, compare_json, score, score_json, validate,
 )
+from txnflow.plans import queries
 from txnflow.schema import REQUEST
 
 AMOUNT = (5.0, 15.50, None, 12, 15, 14)
@@ -160,3 +161,25 @@ def test_comparison_of_json_requests(spark):
     assert sorted(found[1][1]["total_amount_predictions"]) == ["v1", "v2"]
     assert found[2][1]["total_amount_predictions"] == {} and found[2][0] == 200
     assert found[3] == (500, {"error": "unreadable request"})
+
+
+def test_fields_of_a_request_are_looked_up_once(spark):
+    """Type and text of a field are columns, not repeated in every expression that asks for them."""
+    df = spark.createDataFrame([('{"quantity": 1}',)], "value STRING")
+    for answers in (score_json(df, "amount", 3), compare_json(df)):
+        plan = answers._jdf.queryExecution().optimizedPlan().toString()
+        assert 0 < plan.count("schemaOfVariant(") <= 5
+
+
+def test_queries_keep_generated_code_compiled_in_any_session(spark):
+    def probe(session, sf_dir):
+        return session.range(1)
+
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(limit, "65535")
+    try:
+        queries.query()(probe)
+        assert queries.QUERIES["probe"](spark, "").count() == 1 and spark.conf.get(limit) == "8000"
+    finally:
+        queries.QUERIES.pop("probe")
+        spark.conf.set(limit, "8000")

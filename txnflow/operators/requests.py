@@ -36,44 +36,51 @@ def _quoted(text: Column) -> Column:
         F.concat(F.lit("'"), F.replace(plain, F.lit("'"), F.lit("\\'")), F.lit("'")))
 
 
-def _field(request: Column, field: T.StructField) -> Column:
-    """Whether the field is there, its value if it can be read, and the problem if not."""
-    value = F.try_variant_get(request, f"$.{field.name}", "variant")
-    text = F.try_variant_get(request, f"$.{field.name}", "string")
-    kind = F.schema_of_variant(value)
-    wanted = "int" if isinstance(field.dataType, T.IntegerType) else "float"
-    is_text, is_flag = kind == "STRING", kind == "BOOLEAN"
-    is_other = (kind == "VOID") | kind.startswith("ARRAY") | kind.startswith("OBJECT")
-    number = F.when(is_flag, (text == "true").cast("double")).when(~is_other, parse_double(text))
-    if wanted == "int":
+def _number(field: T.StructField) -> Column:
+    """The value of a field, out of its ``_kind_`` and ``_text_``, if it can be read."""
+    kind, text = F.col(f"_kind_{field.name}"), F.col(f"_text_{field.name}")
+    number = F.when(kind == "BOOLEAN", (text == "true").cast("double")).when(~_is_other(kind), parse_double(text))
+    if isinstance(field.dataType, T.IntegerType):
         # Text must be a whole number; the fraction of a number is cut off.
-        number = F.when(~is_text | F.trim(text).rlike(r"^[+-]?[0-9]+$"), number).try_cast("int")
+        number = F.when((kind != "STRING") | F.trim(text).rlike(r"^[+-]?[0-9]+$"), number).try_cast("int")
+    return number
+
+
+def _is_other(kind: Column) -> Column:
+    return (kind == "VOID") | kind.startswith("ARRAY") | kind.startswith("OBJECT")
+
+
+def _problem(field: T.StructField) -> Column:
+    """What is wrong with a field that is there; null for one that can be read."""
+    kind, text = F.col(f"_kind_{field.name}"), F.col(f"_text_{field.name}")
+    wanted = "int" if isinstance(field.dataType, T.IntegerType) else "float"
     type_name = F.when(kind == "VOID", "'NoneType'").when(kind.startswith("ARRAY"), "'list'").otherwise("'dict'")
-    problem = F.when(is_other, F.concat(F.lit(WRONG_TYPE[wanted]), type_name)).when(
-        number.isNull(), F.concat(F.lit(WRONG_TEXT[wanted]), _quoted(text)))
-    return F.struct(
-        kind.isNotNull().alias("present"), number.alias("value"), F.when(kind.isNotNull(), problem).alias("problem"))
+    return F.when(kind.isNotNull() & F.col(field.name).isNull(), F.when(
+        _is_other(kind), F.concat(F.lit(WRONG_TYPE[wanted]), type_name)).otherwise(F.concat(F.lit(WRONG_TEXT[wanted]), _quoted(text))))
 
 
 def read_requests(requests: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """``request``, ``parsed`` (a variant, null if the text is no JSON), the fields as structs, and ``keep``."""
+    """``request``, ``parsed`` (a variant, null if the text is no JSON), the fields as typed columns, and ``keep``.
+
+    What a field needs to be judged by is taken out of the variant once, in columns of their own: its type as ``_kind_``, null for
+    an absent field, and its text as ``_text_``.
+    """
     clash = sorted({"request", "response", "status", "error", "parsed", *REQUEST.names} & set(keep))
     if clash:
         raise ValueError(f"columns of these names can't be kept: {', '.join(clash)}")
     parsed = requests.select(*keep, F.col(column).alias("request"), F.try_parse_json(F.col(column)).alias("parsed"))
-    return parsed.select(*keep, "request", "parsed", *[_field(F.col("parsed"), f).alias(f"_{f.name}") for f in REQUEST.fields])
-
-
-def field_values() -> list[Column]:
-    """The fields of :func:`read_requests` as plain columns."""
-    return [F.col(f"_{name}.value").alias(name) for name in REQUEST.names]
+    whole = [*keep, "request", "parsed"]
+    found = parsed.select(*whole, *[column for name in REQUEST.names for column in (
+        F.schema_of_variant(F.try_variant_get("parsed", f"$.{name}", "variant")).alias(f"_kind_{name}"),
+        F.try_variant_get("parsed", f"$.{name}", "string").alias(f"_text_{name}"))])
+    return found.select("*", *[_number(f).alias(f.name) for f in REQUEST.fields])
 
 
 def request_error(required: Sequence[str], used: Sequence[str]) -> Column:
     """What is wrong with a request of :func:`read_requests`: no JSON, the first absent field, or the first unreadable one of those used."""
     return F.when(F.col("parsed").isNull(), F.lit(UNREADABLE)).otherwise(F.coalesce(
-        *[F.when(~F.col(f"_{f}.present"), F.lit(f"Missing field: {f}")) for f in required],
-        *[F.col(f"_{f}.problem") for f in used]))
+        *[F.when(F.col(f"_kind_{f}").isNull(), F.lit(f"Missing field: {f}")) for f in required],
+        *[_problem(REQUEST[f]) for f in used]))
 
 
 def status_of(error: Column) -> Column:

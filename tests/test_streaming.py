@@ -15,7 +15,7 @@ from txnflow.schema import RAW, RECORD
 from txnflow.sources.catalog import list_batches
 from txnflow.sources.files import read_batches, read_raw, read_raw_stream
 from txnflow.sources.messages import read_message_files, to_record, write_message_files
-from txnflow.sources.ledger import record_batches, record_missing, recorded_customers, window_ids
+from txnflow.sources.ledger import record_batches, record_missing, recorded_customers, recorded_ids, window_ids
 from txnflow.streaming.cutting import BatchCutter, drain_batches
 from txnflow.streaming.ingest import clean_stream, progress, read_progress, save_batches, write_table
 from txnflow.streaming.windows import window_totals
@@ -263,3 +263,23 @@ def test_jobs_side_by_side_keep_their_stages(spark):
     done.set()
     started.join(60)
     assert outer[1] == 3 and kept.count() == 4
+
+
+def test_ledger_files_do_not_grow_with_batches_and_one_is_replaced(spark, tmp_path):
+    root, ledger, settings = str(tmp_path / "b"), str(tmp_path / "l"), Settings(batch_format="parquet")
+
+    def save(ids, amount):
+        rows = spark.range(0, 1, 1, 1).select(F.explode(F.lit([int(n) for n in ids])).alias("batch_id")).withColumn("customer_id", F.explode(F.lit(["a", "b"])))
+        saved = to_record(rows.withColumns({"total_amount": F.lit(amount), "invoice": F.col("batch_id").cast("string")}), keep=["batch_id"])
+        saved.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(root)
+
+    save([*range(40), 1000], 1.0)
+    record_batches(spark, root, ledger, list(range(40)), settings)
+    record_batches(spark, root, ledger, [1000], settings)
+    files = {kind: len(list((tmp_path / "l" / kind).rglob("*.parquet"))) for kind in ("spend", "ranges")}
+    assert files == {"spend": 2, "ranges": 2}
+    save([7], 5.0)
+    record_batches(spark, root, ledger, [7], settings)
+    found = {r.customer_id: (r.spend, r.lines) for r in recorded_customers(spark, ledger).collect()}
+    assert found == {"a": (45.0, 41), "b": (45.0, 41)}
+    assert recorded_ids(spark, ledger) == [*range(40), 1000]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import csv
 import logging
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,16 @@ def batch_id_of(path: str | Column) -> Column:
     return F.coalesce(*found).try_cast("bigint")
 
 
+def among(number: Column, ids: Iterable[int]) -> Column:
+    """Whether a number is one of ``ids``. Stretches of neighbours are told by their ends, so that thousands of ids make a short expression."""
+    ordered = sorted(set(ids))
+    starts = [n for place, n in enumerate(ordered) if not place or ordered[place - 1] != n - 1]
+    ends = [n for place, n in enumerate(ordered) if place + 1 == len(ordered) or ordered[place + 1] != n + 1]
+    if len(starts) > 100:
+        return number.isin(ordered)
+    return reduce(or_, [number.between(start, end) for start, end in zip(starts, ends, strict=True)], F.lit(False))
+
+
 def _text_schema(names: Iterable[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
@@ -160,10 +172,10 @@ def read_batches(spark: SparkSession, root: str, fmt: str = "csv", schema: T.Str
     if fmt != "csv":
         stored = spark.read.option("ignoreMissingFiles", True).format(fmt).load(root)
         saved = conform(stored, schema, keep=[F.col("batch_id").try_cast("bigint").alias("batch_id")])
-        return saved if ids is None else saved.where(F.col("batch_id").isin(list(ids)))
+        return saved if ids is None else saved.where(among(F.col("batch_id"), ids))
     paths = [root]
     if ids is not None:
-        paths = [r.path for r in batch_files(spark, root).where(F.col("batch_id").isin(list(ids))).select("path").collect()]
+        paths = [r.path for r in batch_files(spark, root).where(among(F.col("batch_id"), ids)).select("path").collect()]
         if not paths:
             return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())]))
     # The id comes from the path of the file, so folders give no partition column.

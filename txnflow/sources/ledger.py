@@ -4,6 +4,8 @@ For each batch the ledger holds the spend and lines of every customer in it, and
 after one more batch needs the new batch and small tables, and a training set that is cut by time or by batch number opens only the
 folders it needs.
 
+A folder of the ledger holds a stretch of ``SEGMENT`` batch ids. Entering batches writes the folders they fall into anew, with the other batches there.
+
 A record that was delivered twice counts once, in its first batch. Copies carry the same publish time, so a new batch is compared with those
 earlier ones alone whose times overlap its own; records without a publish time are compared inside the batches that are recorded together.
 """
@@ -20,11 +22,14 @@ from txnflow.config import DEFAULTS, Settings
 from txnflow.operators.label import label_customers
 from txnflow.schema import RECORD
 from txnflow.session import path_exists, stage, temporary_stages
-from txnflow.sources.files import batch_files, read_batches
+from txnflow.sources.files import among, batch_files, read_batches
 
 SPEND = "customer_id string, spend decimal(38,6), lines bigint, batch_id bigint"
 RANGES = "first_time timestamp, last_time timestamp, rows bigint, batch_id bigint"
 
+# Batches of one folder of the ledger: its files are far fewer than the batches, however many of these there are.
+SEGMENT = 1000
+
 
 def _table(spark: SparkSession, ledger: str, kind: str, schema: str) -> DataFrame:
     path = f"{ledger.rstrip('/')}/{kind}"
@@ -33,6 +38,16 @@ def _table(spark: SparkSession, ledger: str, kind: str, schema: str) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def _enter(spark: SparkSession, ledger: str, kind: str, schema: str, rows: DataFrame, ids: Sequence[int]) -> None:
+    """Replace what is known of some batches by ``rows``."""
+    segment = F.expr(f"batch_id div {SEGMENT}")
+    touched = among(segment, {n // SEGMENT for n in ids})
+    kept = _table(spark, ledger, kind, schema).where(touched & ~among(F.col("batch_id"), ids)).select(*rows.columns)
+    # Staged, since the folders read here are written anew; each of them by one task.
+    whole = stage(rows.unionByName(kept).withColumn("segment", segment).repartition("segment"), kind)
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("segment").parquet(f"{ledger.rstrip('/')}/{kind}")
+
+
 def ranges(spark: SparkSession, ledger: str) -> DataFrame:
     """One row for each recorded batch."""
     return _table(spark, ledger, "ranges", RANGES)
@@ -60,18 +75,18 @@ def record_batches(spark: SparkSession, root: str, ledger: str, ids: Sequence[in
         times = stage(new.groupBy("batch_id").agg(
             F.min("timestamp").alias("first_time"), F.max("timestamp").alias("last_time"), F.count(F.lit(1)).alias("rows")), "times")
         whole = times.agg(F.min("first_time").alias("begin"), F.max("last_time").alias("end")).first()
-        known = ranges(spark, ledger).where(~F.col("batch_id").isin(list(ids)))
+        known = ranges(spark, ledger).where(~among(F.col("batch_id"), ids))
         near = [] if whole.begin is None else [
             r.batch_id for r in known.where((F.col("last_time") >= F.lit(whole.begin)) & (F.col("first_time") <= F.lit(whole.end))).collect()]
         compared = new
         if near:
             earlier = read_batches(spark, root, settings.batch_format, ids=near).where(F.col("timestamp") >= F.lit(whole.begin))
             compared = new.unionByName(earlier)
-        fresh = first_copies(compared).where(F.col("batch_id").isin(list(ids)))
+        fresh = first_copies(compared).where(among(F.col("batch_id"), ids))
         spend = fresh.where(F.col("customer_id").isNotNull()).groupBy("batch_id", "customer_id").agg(
             F.sum(F.col("total_amount").cast("decimal(28,6)")).cast("decimal(38,6)").alias("spend"), F.count(F.lit(1)).alias("lines"))
-        for kind, rows in (("spend", spend), ("ranges", times)):
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{ledger.rstrip('/')}/{kind}")
+        _enter(spark, ledger, "spend", SPEND, spend, ids)
+        _enter(spark, ledger, "ranges", RANGES, times, ids)
 
 
 def record_missing(spark: SparkSession, root: str, ledger: str, settings: Settings = DEFAULTS) -> list[int]:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from txnflow.config import FOREST, LOGISTIC, Settings
 from txnflow.operators.label import high_value_customers
+from txnflow.plans.queries import _micro_batches
 from txnflow.plans.training import TRAINED, retrain
 from txnflow.session import stage, temporary_stages
 from txnflow.operators.clean import clean
@@ -283,3 +284,23 @@ def test_ledger_files_do_not_grow_with_batches_and_one_is_replaced(spark, tmp_pa
     found = {r.customer_id: (r.spend, r.lines) for r in recorded_customers(spark, ledger).collect()}
     assert found == {"a": (45.0, 41), "b": (45.0, 41)}
     assert recorded_ids(spark, ledger) == [*range(40), 1000]
+
+
+def test_state_of_stream_duplicates_is_a_digest_that_tells_rows_apart(spark, tmp_path):
+    schema = "a string, b string, at timestamp_ntz, timestamp timestamp"
+    rows = [(a, b, at, "2020-01-01 00:00:00") for at in ("2020-01-01 00:00:00.000001", "2020-01-01 00:00:00.000002")
+            for a, b in (("x", None), (None, "x"), ("x", ""), ("", "x"), ("null", "x"), ('x","c1":"', None))]
+    frame = spark.createDataFrame(rows * 2, "a string, b string, at string, timestamp string").select(
+        "a", "b", F.col("at").cast("timestamp_ntz"), F.col("timestamp").cast("timestamp"))
+    frame.write.parquet(str(tmp_path / "in"))
+    once = distinct_rows(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), ignoring=["timestamp"], watermark="1 day")
+    assert once.columns == ["a", "b", "at", "timestamp"]
+    assert "DeduplicateWithinWatermark [_digest" in once._jdf.queryExecution().analyzed().toString()
+    assert write_table(once, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(SECONDS)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(rows)
+
+
+def test_micro_batches_do_not_grow_in_number(spark, tmp_path):
+    spark.range(0, 40, 1, 40).selectExpr("string(id) AS value").write.text(str(tmp_path / "many"))
+    spark.range(0, 4, 1, 4).selectExpr("string(id) AS value").write.text(str(tmp_path / "few"))
+    assert _micro_batches(spark, str(tmp_path / "many"), 3) == 10 and _micro_batches(spark, str(tmp_path / "few"), 3) == 3

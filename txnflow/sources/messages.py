@@ -132,8 +132,8 @@ def write_kafka(records: DataFrame, settings: Settings = DEFAULTS, checkpoint: s
 
 
 def write_message_files(records: DataFrame, path: str) -> None:
-    """File form of the topic: one JSON message per line, readable as a stream."""
-    encode_messages(records).select("key", "value").write.mode("append").json(path)
+    """File form of the topic: one JSON message per line, compressed, readable as a stream."""
+    encode_messages(records).select("key", "value").write.mode("append").json(path, compression="lz4")
 
 
 def read_message_files(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:

@@ -41,6 +41,9 @@ from txnflow.session import stage
 
 BUCKETS = 1 << 16
 
+#: Bytes of text that a task works on at once: trigrams need some forty bytes for each of them.
+SLICE = 1 << 20
+
 #: Broadcast tables stay below 128 MB.
 MOST_LANGUAGES = 512
 
@@ -116,7 +119,7 @@ def fit_text_model(labelled: DataFrame, language_rows: int = 5_000, smoothing: f
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((len(languages), BUCKETS), np.int64)
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE):
             code, owner = trigrams(batch.column(0))
             lang = np.searchsorted(languages, batch.column(1).to_numpy(zero_copy_only=False).astype(str))
             counts += np.bincount(lang[owner] * BUCKETS + code, minlength=counts.size).reshape(counts.shape)
@@ -142,7 +145,7 @@ def fit_text_model(labelled: DataFrame, language_rows: int = 5_000, smoothing: f
     shared = spark.sparkContext.broadcast(model)
 
     def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0):
+        for batch in slices(batches, 0, SLICE):
             _, whole, n, _ = shared.value.means(batch.column(0))
             lang = np.searchsorted(languages, batch.column(1).to_numpy(zero_copy_only=False).astype(str))
             value = whole[np.arange(len(n)), lang]
@@ -195,7 +198,7 @@ def identify(rows: DataFrame, keys: Sequence[str], model: TextModel, text_weight
     shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, len(keep)):
+        for batch in slices(batches, len(keep), SLICE):
             mean, whole, n, hits = shared.value.means(batch.column(len(keep)))
             weighed = mean * np.minimum(hits, text_weight)[:, None]
             log = weighed - weighed.max(axis=1, keepdims=True)

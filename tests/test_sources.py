@@ -189,3 +189,16 @@ def test_quoted_fields_are_read_as_written(spark, tmp_path):
     frame.to_csv(tmp_path / "raw.csv", index=False, encoding="ISO-8859-1")
     rows = clean(read_raw(spark, str(tmp_path / "raw.csv"))).select("invoice", "description").collect()
     assert {r.invoice: r.description for r in rows} == {str(i): text for i, text in enumerate(texts)}
+
+
+def test_odd_messages_are_read_as_text(spark):
+    whole = '{"invoice":"1","quantity":4.0,"price":2.5,"total_amount":10.0,"month":4,"day":5,"hour":6,"high_value_customer":0}'
+    values = [whole, whole.replace("4.0", '"4.0"'), whole.replace("4.0", "NaN"), whole.replace('"month":4', '"month":4.0'),
+              whole.replace('"quantity":4.0', '"quantity":4.0,"quantity":"x"'), whole[:30], "", '{"other": 1}', "[1]", '{"invoice":"NaN"}']
+    frame = spark.createDataFrame(list(enumerate(values)), "key int, value string")
+    decoded = decode_messages(frame)
+    found = {int(r.message_key): (r.invoice, str(r.quantity), r.month) for r in decoded.collect()}
+    assert {k: found[k] for k in range(5)} == {0: ("1", "4.0", 4), 1: ("1", "4.0", 4), 2: ("1", found[2][1], 4), 3: ("1", "4.0", 4), 4: ("1", "None", 4)}
+    assert not {6, 7, 8} & set(found) and found[9] == (None, "None", None)
+    # A message that sends its numbers as numbers is read as such.
+    assert "StructField(quantity,DoubleType" in decoded._jdf.queryExecution().optimizedPlan().toString()

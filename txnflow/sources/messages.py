@@ -53,20 +53,36 @@ def encode_messages(records: DataFrame) -> DataFrame:
 
 # Every field as text: a number that was sent as text is read like any other.
 _TEXT_WIRE = ", ".join(f"`{f.name}` string" for f in WIRE.fields)
+# The fields as they are sent as a rule, and the whole message if it isn't like that.
+_SENT_WIRE = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in WIRE.fields) + ", `_broken` string"
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """Records from ``value`` (text or bytes); what is skipped is in :func:`rejected_messages`."""
+    """Records from ``value`` (text or bytes); what is skipped is in :func:`rejected_messages`.
+
+    Messages that hold every number as a finite number are read as such. The others are read once more, every field as text.
+    """
     value = F.col("value").cast("string")
     key = F.col("key") if "key" in messages.columns else F.lit(None)
     # A generator gives the fields as columns: filters on them stay above it, so every
     # message is parsed once.
-    record = F.inline(F.array(F.from_json(value, _TEXT_WIRE)))
-    wire = messages.select(key.cast("string").alias("message_key"), record)
-    texts = [f.name for f in WIRE.fields if f.dataType.typeName() == "string"]
-    some_field = F.coalesce(*[F.col(f.name).cast("string") for f in WIRE.fields])
-    tidy = wire.where(some_field.isNotNull()).withColumns({name: unquote_nan(F.col(name)) for name in texts})
-    return conform(tidy, RECORD, keep=["message_key"])
+    sent = F.inline(F.array(F.from_json(value, _SENT_WIRE, {"columnNameOfCorruptRecord": "_broken"})))
+    wire = messages.select(key.cast("string").alias("message_key"), value.alias("_value"), sent)
+    numbers = [f.name for f in WIRE.fields if f.dataType.typeName() != "string"]
+    plain = F.col("_broken").isNull()
+    for name in numbers:
+        plain = plain & F.coalesce(F.abs(F.col(name).cast("double")) < F.lit(float("inf")), F.lit(False))
+    judged = wire.withColumn("_plain", plain)
+    read = judged.withColumn("_text", F.when(~F.col("_plain"), F.from_json("_value", _TEXT_WIRE)))
+    some_field = F.coalesce(*[F.col(f"_text.{f.name}") for f in WIRE.fields])
+    as_text = conform(read.where(F.col("_plain") | some_field.isNotNull()).select(
+        "message_key", "_plain", F.struct(*[F.col(name) for name in numbers]).alias("_sent"), *[
+            F.col(f"_text.{f.name}").alias(f.name) if f.name in numbers
+            else unquote_nan(F.when(F.col("_plain"), F.col(f.name)).otherwise(F.col(f"_text.{f.name}"))).alias(f.name)
+            for f in WIRE.fields]), RECORD, keep=["message_key", "_plain", "_sent"])
+    return as_text.select(*[
+        F.when(F.col("_plain"), F.col(f"_sent.{f.name}")).otherwise(F.col(f.name)).alias(f.name) if f.name in numbers else F.col(f.name)
+        for f in RECORD.fields], "message_key")
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:

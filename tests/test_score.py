@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from txnflow.operators.requests import read_requests
 from txnflow.operators.score import (
     compare_amount, compare_amount_long, compare_answers, compare_json, score, score_json, validate,
 )
@@ -171,6 +172,20 @@ def test_fields_of_a_request_are_looked_up_once(spark):
         assert 0 < plan.count("schemaOfVariant(") <= 5
 
 
+def test_plain_numbers_of_a_request_are_read_without_its_variant(spark):
+    plain = '{"quantity":5.0,"price":15.5,"month":12,"day":15,"hour":14}'
+    texts = [plain, plain.replace("12", '"12"'), plain.replace("5.0", "-0.0"), plain[:-1] + ',"hour":9}', plain + "x", plain.replace("15.5", "1e999")]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, value STRING")
+    kinds = {r.id: (r._kind_quantity, r._text_quantity, r.quantity) for r in read_requests(df, keep=["id"]).collect()}
+    assert kinds[0] == ("NUMBER", None, 5.0)
+    assert [kinds[i][2] for i in range(1, 6)] == [5.0, 0.0, None, 5.0, 5.0] and str(kinds[2][2]) == "0.0"
+    order = spark.createDataFrame([('{"price":1.5,"quantity":2}',), ('{"quantity":2,"price":1.5}',), ('{"quantity":2,}',), ('{"quantity":2 }',), ("{}",)], "value STRING")
+    assert [(r.readable, r._text_quantity, r.quantity) for r in read_requests(order).collect()] == [
+        (True, "2", 2.0), (True, None, 2.0), (False, None, None), (True, "2", 2.0), (True, None, None)]
+    found = {r.id: (r.status, json.loads(r.response).get("prediction")) for r in score_json(df, "amount", 3, keep=["id"]).collect()}
+    assert found == {0: (200, 110.83), 1: (200, 110.83), 2: (200, 0.0), 3: (500, None), 4: (200, 110.83), 5: (200, "Infinity")}
+
+
 def test_queries_keep_generated_code_compiled_in_any_session(spark):
     def probe(session, sf_dir):
         return session.range(1)

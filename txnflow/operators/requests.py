@@ -26,6 +26,16 @@ WRONG_TYPE = {
 }
 
 
+# A request as it is sent as a rule: a flat object of plain numbers, in the order of the schema. Each field stands there once at most.
+# No sign, since the text of a variant drops that of a zero.
+_DIGITS = r"(?:0|[1-9][0-9]{0,8})"
+_SENT = r"^\{" + "".join(
+    rf'(?:"{f.name}":{_DIGITS}{"" if isinstance(f.dataType, T.IntegerType) else r"(?:[.][0-9]{1,15})?(?:E-?[0-9]{1,2})?"}(?:,(?=")|(?=\}})))?'
+    for f in REQUEST.fields) + r"\}$"
+_PLAIN = "NUMBER"
+_SENT_FIELDS = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in REQUEST.fields)
+
+
 def _quoted(text: Column) -> Column:
     """The text in quotes as the messages show it: double ones if it holds single ones only."""
     plain = F.replace(text, F.lit("\\"), F.lit("\\\\"))
@@ -59,26 +69,34 @@ def _problem(field: T.StructField) -> Column:
         _is_other(kind), F.concat(F.lit(WRONG_TYPE[wanted]), type_name)).otherwise(F.concat(F.lit(WRONG_TEXT[wanted]), _quoted(text))))
 
 
-def read_requests(requests: DataFrame, column: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """``request``, ``parsed`` (a variant, null if the text is no JSON), the fields as typed columns, and ``keep``.
+def read_requests(requests: DataFrame, column: str = "value", keep: Sequence[str] = (), parse_all: bool = False) -> DataFrame:
+    """``request``, ``readable`` (whether the text is JSON), ``parsed``, the fields as typed columns, and ``keep``.
 
-    What a field needs to be judged by is taken out of the variant once, in columns of their own: its type as ``_kind_``, null for
-    an absent field, and its text as ``_text_``.
+    Requests of plain numbers are read as such, and parsed as a variant only with ``parse_all``. What a field of any other needs to be
+    judged by is taken out of its variant once, in columns of their own: its type as ``_kind_``, null for an absent field, and
+    its text as ``_text_``.
     """
-    clash = sorted({"request", "response", "status", "error", "parsed", *REQUEST.names} & set(keep))
+    clash = sorted({"request", "response", "status", "error", "readable", "parsed", *REQUEST.names} & set(keep))
     if clash:
         raise ValueError(f"columns of these names can't be kept: {', '.join(clash)}")
-    parsed = requests.select(*keep, F.col(column).alias("request"), F.try_parse_json(F.col(column)).alias("parsed"))
-    whole = [*keep, "request", "parsed"]
-    found = parsed.select(*whole, *[column for name in REQUEST.names for column in (
-        F.schema_of_variant(F.try_variant_get("parsed", f"$.{name}", "variant")).alias(f"_kind_{name}"),
-        F.try_variant_get("parsed", f"$.{name}", "string").alias(f"_text_{name}"))])
-    return found.select("*", *[_number(f).alias(f.name) for f in REQUEST.fields])
+    judged = requests.select(*keep, F.col(column).alias("request"), F.coalesce(F.col(column).rlike(_SENT), F.lit(False)).alias("_plain"))
+    parse, sent = F.try_parse_json("request"), F.from_json("request", _SENT_FIELDS)
+    parsed = judged.select(
+        *keep, "request", "_plain", (parse if parse_all else F.when(~F.col("_plain"), parse)).alias("parsed"),
+        F.when(F.col("_plain"), sent).alias("_sent"))
+    found = parsed.select("*", *[column for name in REQUEST.names for column in (
+        F.when(F.col("_plain"), F.when(F.col(f"_sent.{name}").isNotNull(), _PLAIN)).otherwise(
+            F.schema_of_variant(F.try_variant_get("parsed", f"$.{name}", "variant"))).alias(f"_kind_{name}"),
+        F.when(~F.col("_plain"), F.try_variant_get("parsed", f"$.{name}", "string")).alias(f"_text_{name}"))])
+    return found.select(
+        *keep, "request", (F.col("_plain") | F.col("parsed").isNotNull()).alias("readable"), "parsed",
+        *[f"_{part}_{name}" for name in REQUEST.names for part in ("kind", "text")],
+        *[F.when(F.col("_plain"), F.col(f"_sent.{f.name}")).otherwise(_number(f)).alias(f.name) for f in REQUEST.fields])
 
 
 def request_error(required: Sequence[str], used: Sequence[str]) -> Column:
     """What is wrong with a request of :func:`read_requests`: no JSON, the first absent field, or the first unreadable one of those used."""
-    return F.when(F.col("parsed").isNull(), F.lit(UNREADABLE)).otherwise(F.coalesce(
+    return F.when(~F.col("readable"), F.lit(UNREADABLE)).otherwise(F.coalesce(
         *[F.when(F.col(f"_kind_{f}").isNull(), F.lit(f"Missing field: {f}")) for f in required],
         *[_problem(REQUEST[f]) for f in used]))
 

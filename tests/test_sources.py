@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from txnflow.config import Settings
 from txnflow.operators.clean import clean
 from txnflow.schema import RAW, RECORD
+from txnflow.session import keep_compiled
 from txnflow.sources.catalog import (
     batch_gaps, batch_status, catalog_summary, list_batches, parse_batch_names, read_manifest,
 )
-from txnflow.sources.files import existing_paths, read_batches, read_raw, read_record_files
+from txnflow.sources.files import batch_id_of, existing_paths, read_batches, read_raw, read_record_files
 from txnflow.sources.messages import (
     decode_messages, encode_messages, kafka_sink_options, kafka_source_options, to_record, write_kafka,
 )
@@ -154,6 +155,36 @@ def test_batches_of_both_layouts_by_id(spark, tmp_path):
     assert sorted(r.batch_id for r in list_batches(spark, str(root)).collect()) == [7, 8, 12]
 
 
+def test_folders_of_many_batches_are_listed_in_few_tasks(spark, tmp_path):
+    header, row = ",".join(RECORD.names), "{},s,d,1.0,2009-12-01T07:45:00,2.0,9,UK,2.0,12,1,7,low,0,2025-05-29T14:21:37\n"
+    for i in range(100):
+        folder = tmp_path / f"batch_id={i}"
+        folder.mkdir()
+        (folder / "part-0.csv").write_text(header + "\n" + row.format(i))
+    keep_compiled(spark)
+    spark.sparkContext.setJobGroup("listing-test", "listing")
+    try:
+        saved = read_batches(spark, str(tmp_path), multi_line=False)
+        tracker = spark.sparkContext.statusTracker()
+        stages = [stage for job in tracker.getJobIdsForGroup("listing-test") for stage in tracker.getJobInfo(job).stageIds]
+        tasks = [info.numTasks for info in map(tracker.getStageInfo, stages) if info]
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    assert tasks and max(tasks) <= 64
+    assert [(r.batch_id, r.invoice) for r in saved.orderBy("batch_id").collect()] == [(i, str(i)) for i in range(100)]
+
+
+def test_a_path_is_looked_at_once_for_its_batch(spark, tmp_path):
+    (tmp_path / "batch_1_20250529_142137.csv").write_text(",".join(RECORD.names) + "\n")
+    plan = read_batches(spark, str(tmp_path)).where("batch_id > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1
+    paths = ["/a/batch_id=3/p", "/a/batch_id=3", "/a/batch_7_20250529_142137.csv", "/a/f=batch_8_20250529_142137.csv/p", "/batch_7_20250529_142137.csv/batch_id=3/p",
+             "/batch_3/p", "/a/batch_7_20250529_142137.csvx", "/a/batch_id=x/p", "/a/batch_7_20250529_142137.csv/p/q", "/a/xbatch_id=4/p"]
+    found = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i INT, p STRING").select("i", batch_id_of("p").alias("b")).orderBy("i").collect()
+    assert [r.b for r in found] == [3, None, 7, 8, 3, None, None, None, None, None]
+
+
 def test_many_record_files_and_their_headers(spark, tmp_path):
     names = list(RECORD.names)
     for i in range(60):

@@ -23,13 +23,14 @@ log = logging.getLogger(__name__)
 CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 #: Both layouts of saved batches, a folder ``batch_id=<n>`` or a file (or folder of parts) ``batch_<n>_<time>.csv``, at the end of a path only.
-BATCH_PATHS = (r"/batch_id=(\d+)/[^/]+$", r"[/=]batch_(\d+)_\d{8}_\d{6}\.csv(?:/[^/]+)?$")
+#: One pattern for both, since it is looked for in the path of every row.
+_NAMED_END = r"_\d{8}_\d{6}\.csv(?:/[^/]+)?$"
+BATCH_PATH = rf"(?:/batch_id=(?=\d+/)|[/=]batch_(?=\d+{_NAMED_END}))(\d+)(?:/[^/]+$|{_NAMED_END})"
 
 
 def batch_id_of(path: str | Column) -> Column:
     """The batch a file belongs to, by its path; null for other files."""
-    found = [F.nullif(F.regexp_extract(path, pattern, 1), F.lit("")) for pattern in BATCH_PATHS]
-    return F.coalesce(*found).try_cast("bigint")
+    return F.nullif(F.regexp_extract(path, BATCH_PATH, 1), F.lit("")).try_cast("bigint")
 
 
 def among(number: Column, ids: Iterable[int]) -> Column:
@@ -182,6 +183,7 @@ def read_batches(spark: SparkSession, root: str, fmt: str = "csv", schema: T.Str
     text = (
         spark.read.schema(_text_schema(schema.names)).options(**CSV).option("recursiveFileLookup", True)
         .option("multiLine", multi_line).option("enforceSchema", False).option("ignoreMissingFiles", True).csv(paths)
-        .withColumn("batch_id", batch_id_of("_metadata.file_path"))
+        # A generator gives the id as a column: the filter on it stays above, so every path is looked at once a row.
+        .select(*schema.names, F.explode(F.array(batch_id_of("_metadata.file_path"))).alias("batch_id"))
     )
     return conform(text.where(F.col("batch_id").isNotNull()), schema, keep=["batch_id"])

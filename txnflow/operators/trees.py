@@ -3,34 +3,49 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.feature import StandardScalerModel
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnflow.functions.numbers import sigmoid
 
 
-def _chances(node, features: Sequence[str]) -> Column:
-    """The class shares of the leaf that a row reaches from a node."""
+def _leaf_number(node, features: Sequence[str], leaves: list[list[float]]) -> str:
+    """SQL for the number of the leaf that a row reaches from a node; the class shares of each leaf go to ``leaves``."""
     if node.getClass().getSimpleName() == "LeafNode":
         counts = list(node.impurityStats().stats())
         total = sum(counts)
-        return F.array(*[F.lit(float(n / total if total else 0.0)) for n in counts])
+        leaves.append([float(n / total if total else 0.0) for n in counts])
+        return str(len(leaves) - 1)
     split = node.split()
     if split.getClass().getSimpleName() != "ContinuousSplit":
         raise ValueError("only splits by a threshold can be written as a column")
-    below = F.col(features[split.featureIndex()]).cast("double") <= F.lit(float(split.threshold()))
-    return F.when(below, _chances(node.leftChild(), features)).otherwise(_chances(node.rightChild(), features))
-
-
-def forest_prediction(model: RandomForestClassificationModel, features: Sequence[str]) -> Column:
-    """The label index with the most votes of all trees, the lowest of equal ones; ``features`` in the order of the model's vector."""
-    votes = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), [_chances(tree._call_java("rootNode"), features) for tree in model.trees])
-    return (F.array_position(votes, F.array_max(votes)) - 1).cast("double")
+    below = f"CAST(`{features[split.featureIndex()]}` AS DOUBLE) <= DOUBLE('{float(split.threshold())!r}')"
+    left = _leaf_number(node.leftChild(), features, leaves)
+    return f"CASE WHEN {below} THEN {left} ELSE {_leaf_number(node.rightChild(), features, leaves)} END"
+
+
+def with_forest_prediction(df: DataFrame, model: RandomForestClassificationModel, features: Sequence[str], name: str) -> DataFrame:
+    """Add the label index with the most votes of all trees, the lowest of equal ones; ``features`` in the order of the model's vector.
+
+    A tree gives the number of a leaf, and the shares of its leaves are a constant list for each class, so a row needs no
+    array or function call of its own. The leaf numbers are a projection of their own, each used by all classes: for results that are
+    selected or aggregated, as a filter on one would be pushed down with every tree written out once for each use.
+    """
+    numbers, votes = [], [None] * model.numClasses
+    for t, tree in enumerate(model.trees):
+        leaves: list[list[float]] = []
+        numbers.append(F.expr(_leaf_number(tree._call_java("rootNode"), features, leaves)).alias(f"_leaf_{t}"))
+        for c in range(model.numClasses):
+            share = F.get(F.lit([shares[c] for shares in leaves]), F.col(f"_leaf_{t}"))
+            votes[c] = share if votes[c] is None else votes[c] + share
+    reached = df.select("*", *numbers)
+    counted = reached.select(*df.columns, F.array(*votes).alias("_votes"))
+    best = (F.array_position("_votes", F.array_max("_votes")) - 1).cast("double")
+    return counted.select(*df.columns, best.alias(name))
 
 
 def logistic_chance(model: PipelineModel, features: Sequence[str]) -> Column:

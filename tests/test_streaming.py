@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from txnflow.config import FOREST, LOGISTIC, Settings
 from txnflow.operators.label import high_value_customers
+from txnflow.plans import queries
 from txnflow.plans.queries import _micro_batches
 from txnflow.plans.training import TRAINED, retrain
 from txnflow.session import stage, temporary_stages
@@ -304,3 +305,28 @@ def test_micro_batches_do_not_grow_in_number(spark, tmp_path):
     spark.range(0, 40, 1, 40).selectExpr("string(id) AS value").write.text(str(tmp_path / "many"))
     spark.range(0, 4, 1, 4).selectExpr("string(id) AS value").write.text(str(tmp_path / "few"))
     assert _micro_batches(spark, str(tmp_path / "many"), 3) == 10 and _micro_batches(spark, str(tmp_path / "few"), 3) == 3
+
+
+def test_large_state_is_on_disk_and_goes_on_after_a_restart(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before, out, checkpoint = spark.conf.get(provider), str(tmp_path / "out"), str(tmp_path / "cp")
+    rows = spark.range(0, 300, 1, 3).select(F.nullif(F.col("id") % 100, F.lit(7)).alias("a"), F.timestamp_seconds(F.col("id")).alias("timestamp"))
+    for _ in range(2):  # the second run gets all of the first once more, and one row that is new
+        rows.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        query = write_table(distinct_rows(stream, ignoring=["timestamp"], watermark="1 day"), out, checkpoint, large_state=True)
+        assert spark.conf.get(provider) == before
+        assert query.awaitTermination(SECONDS)
+        rows = rows.unionByName(spark.createDataFrame([(1000, None)], "a long, timestamp timestamp").withColumn("timestamp", F.timestamp_seconds(F.lit(400))))
+    assert sorted((r.a is None, r.a or 0) for r in spark.read.parquet(out).collect()) == [*[(False, n) for n in range(100) if n != 7], (False, 1000), (True, 0)]
+    assert all("RocksDBStateStoreProvider" in (tmp_path / "cp" / "offsets" / str(n)).read_text() for n in range(3))
+    assert list((tmp_path / "cp" / "state").rglob("*.changelog"))
+
+
+def test_messages_delivered_twice_are_joined_once(spark, tmp_path, monkeypatch):
+    once = clean(raw_rows(spark)).withColumn("invoice", F.expr("uuid()"))
+    monkeypatch.setattr(queries, "sales_lines", lambda *_: once)
+    topic = queries._topic(spark, str(tmp_path), copies=2)
+    sent = spark.read.schema("key string, value string").json(topic).select(F.from_json("value", "invoice string, timestamp string").alias("v")).select("v.*")
+    found = sent.groupBy("invoice").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("timestamp").alias("times")).collect()
+    assert len(found) == once.count() and {(r.n, r.times) for r in found} == {(2, 2)}

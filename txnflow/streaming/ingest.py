@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from txnflow.config import DEFAULTS, Settings
 from txnflow.operators.clean import clean
-from txnflow.session import delete_paths
+from txnflow.session import delete_paths, state_on_disk
 from txnflow.sources.files import CSV
 from txnflow.sources.messages import to_record, to_wire
 
@@ -40,13 +41,18 @@ def trigger_of(drain: bool, settings: Settings) -> dict[str, object]:
 
 
 def write_table(stream: DataFrame, path: str, checkpoint: str, drain: bool = True,
-                settings: Settings = DEFAULTS) -> StreamingQuery:
-    """Append a stream to a parquet table with Spark's exactly-once file sink."""
-    return (
+                settings: Settings = DEFAULTS, large_state: bool = False) -> StreamingQuery:
+    """Append a stream to a parquet table with Spark's exactly-once file sink.
+
+    State is kept in the executors' memory, or on their disks if ``large_state``; a checkpoint that is there goes on with what it began with.
+    """
+    writer = (
         stream.writeStream.format("parquet").option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger_of(drain, settings)).start()
+        .trigger(**trigger_of(drain, settings))
     )
+    with state_on_disk(stream.sparkSession) if large_state else nullcontext():
+        return writer.start()
 
 
 def save_batches(records: DataFrame, root: str, checkpoint: str, on_batch: OnBatch | None = None,
